@@ -1,0 +1,125 @@
+"""Event-log diagnosis of the retail workload over the given tables.
+
+Event logging is a launch-time setting, so the log of a workload is
+recorded by a child Spark application (``python -m skewkit.plans.diagnosis
+BASE LOG_DIR WORK_DIR``) started with logging on and the UI off; the calling
+session then reads that log with the event-log tables and diagnostics. The
+workload runs the bad/fixed pairs of the reference over the given tables,
+each under its own job description:
+
+* ``shuffle_join_agg`` vs ``broadcast_join_agg`` (shuffle gone?),
+* ``skewed_repartition`` vs ``salted_repartition`` (one task holding 80 %),
+* ``small_files_write`` vs ``compacted_write`` (files per write).
+
+If the calling session already logs events (``spark.eventLog.enabled``),
+nothing is recorded twice only when the caller passes its own log folder.
+"""
+
+from __future__ import annotations
+
+import os
+import subprocess
+import sys
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from skewkit.functions.expressions import salt_bucket
+from skewkit.operators import diagnostics as dg
+from skewkit.operators.profile import partition_balance
+from skewkit.plans import retail, star
+from skewkit.session import local_session, scratch_path
+from skewkit.sinks.writers import sized_write, write_parquet
+from skewkit.sources import eventlog as ev
+
+WORKLOAD_TIMEOUT_S = 1800
+_RECORDED: dict[tuple[str, str], str] = {}
+
+
+def run_workload(spark: SparkSession, base: str, work_dir: str) -> None:
+    sc = spark.sparkContext
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    sc.setJobDescription("shuffle_join_agg")
+    retail.shuffle_join_agg(spark, base).collect()
+    sc.setJobDescription("broadcast_join_agg")
+    retail.broadcast_join_agg(spark, base).collect()
+
+    skewed = star.skewed_sales(spark, base)
+    sc.setJobDescription("skewed_repartition")
+    partition_balance(skewed.repartition(parts, "skew_key")).collect()
+    sc.setJobDescription("salted_repartition")
+    salted = skewed.withColumn("_salt", salt_bucket(parts, "sale_id", "product_id", "amount", "sale_ts"))
+    partition_balance(salted.repartition(parts, "skew_key", "_salt")).collect()
+
+    totals = retail.category_date_totals(spark, base)
+    sc.setJobDescription("small_files_write")
+    write_parquet(totals.repartition(4 * parts), f"{work_dir}/small_files")
+    sc.setJobDescription("compacted_write")
+    sized_write(totals, f"{work_dir}/compacted")
+    sc.setJobDescription(None)
+
+
+def record(base: str, log_dir: str, work_dir: str, cpus: int = 4) -> None:
+    """Run the workload in this process with event logging into ``log_dir``."""
+    spark = local_session(cpus, shuffle_partitions=2 * cpus, app="skewkit-recorded", extra={
+        "spark.eventLog.enabled": "true",
+        "spark.eventLog.dir": log_dir,
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    })
+    try:
+        run_workload(spark, base, work_dir)
+    finally:
+        spark.stop()
+
+
+def recorded_log(spark: SparkSession, base: str) -> str:
+    """Folder with the event log of the workload over ``base`` (recorded once per session)."""
+    key = (spark.sparkContext.applicationId, os.path.abspath(base) if "://" not in base else base)
+    if key in _RECORDED:
+        return _RECORDED[key]
+    log_dir = scratch_path(spark, "eventlog")
+    work_dir = scratch_path(spark, "eventlog-work")
+    local_log = log_dir[len("file:"):] if log_dir.startswith("file:") else log_dir
+    if "://" not in local_log:
+        os.makedirs(local_log, exist_ok=True)
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = dict(os.environ)
+    env["PYTHONPATH"] = root + os.pathsep + env.get("PYTHONPATH", "")
+    subprocess.run([sys.executable, "-m", "skewkit.plans.diagnosis", base, log_dir, work_dir],
+                   check=True, timeout=WORKLOAD_TIMEOUT_S, env=env,
+                   stdout=subprocess.DEVNULL, stderr=subprocess.DEVNULL)
+    _RECORDED[key] = log_dir
+    return log_dir
+
+
+def tables(spark: SparkSession, base: str) -> dict[str, DataFrame]:
+    return ev.read_event_tables(spark, recorded_log(spark, base))
+
+
+def _q(fn):
+    def run(spark: SparkSession, base: str) -> DataFrame:
+        return fn(tables(spark, base))
+    run.__name__ = fn.__name__
+    return run
+
+
+QUERIES = {
+    "eventlog_tasks": _q(lambda t: t["tasks"]),
+    "eventlog_stages": _q(lambda t: t["stages"]),
+    "eventlog_executors": _q(lambda t: t["executors"]),
+    "eventlog_apps": _q(lambda t: t["applications"]),
+    "eventlog_apps_summary": _q(lambda t: dg.applications_summary(t["applications"], t["tasks"])),
+    "eventlog_shuffle_by_stage": _q(lambda t: dg.shuffle_by_stage(t["tasks"], t["jobs"])),
+    "eventlog_task_skew": _q(lambda t: dg.task_skew(t["tasks"], t["jobs"])),
+    "eventlog_executor_load": _q(lambda t: dg.executor_load(t["tasks"])),
+    "eventlog_memory": _q(lambda t: dg.memory_pressure(t["tasks"], t["executors"])),
+    "eventlog_write_sizes": _q(lambda t: dg.write_sizes(t["tasks"], t["jobs"])),
+    "eventlog_compare": _q(lambda t: dg.compare_runs(
+        dg.run_totals(t["tasks"], t["jobs"], by="description"), "shuffle_join_agg", "broadcast_join_agg")),
+    "eventlog_findings": _q(lambda t: dg.findings(t["tasks"], t["jobs"], t["executors"])),
+}
+
+
+if __name__ == "__main__":
+    record(sys.argv[1], sys.argv[2], sys.argv[3])
