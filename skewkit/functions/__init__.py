@@ -1,6 +1,8 @@
 from skewkit.functions.expressions import (  # noqa: F401
     MONEY_TYPE,
     SKEW_LABELS,
+    cents,
+    cents_to_money,
     col_of,
     hash_uniform,
     money,

@@ -10,9 +10,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Money is summed as DECIMAL(18,2) and cast back to DOUBLE: plain double sums
-# depend on the order partial sums are merged in, so they differ between runs
-# with a different partitioning and between engines.
+# Money is summed exactly, as whole cents in a BIGINT, and the total is turned
+# into DOUBLE once: plain double sums depend on the order partial sums are
+# merged in, so they differ between runs with another partitioning and
+# between engines. A BIGINT sum stays in fixed-width aggregation buffers
+# (a DECIMAL sum widens to DECIMAL(28,2) and runs on BigDecimal), and holds
+# totals up to 9.2e16 currency units; with ANSI mode on, an overflow fails
+# the query instead of wrapping.
 MONEY_TYPE = "decimal(18,2)"
 
 # 2^53: the largest power of two whose multiples are exact in a double, used to
@@ -25,13 +29,27 @@ def col_of(c: str | Column) -> Column:
 
 
 def money(c: str | Column) -> Column:
-    """A money value as the exact decimal used for summing."""
+    """A money value as DECIMAL(18,2)."""
     return col_of(c).cast(MONEY_TYPE)
 
 
+def cents(c: str | Column) -> Column:
+    """A money value (at most two decimals) as whole cents, rounded half up."""
+    return F.round(col_of(c) * F.lit(100)).cast("long")
+
+
+def cents_to_money(total_cents: Column) -> Column:
+    """Summed cents back to currency units as DOUBLE, rounded once from the exact value."""
+    return (total_cents.cast("decimal(38,0)") / F.lit(100)).cast("double")
+
+
 def money_sum(c: str | Column) -> Column:
-    """Exact sum of a money column, returned as DOUBLE."""
-    return F.sum(money(c)).cast("double")
+    """Exact sum of a money column, returned as DOUBLE.
+
+    Equals ``CAST(SUM(CAST(c AS DECIMAL(18,2))) AS DOUBLE)`` for values with
+    at most two decimals.
+    """
+    return cents_to_money(F.sum(cents(c)))
 
 
 def hash_uniform(*cols: str | Column, seed: int = 0) -> Column:

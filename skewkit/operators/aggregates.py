@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skewkit.functions.expressions import MONEY_TYPE, salt_bucket
+from skewkit.functions.expressions import cents, cents_to_money, money_sum, salt_bucket
 
 _FUNCS = {"sum", "count", "min", "max", "avg", "money"}
 
@@ -26,7 +26,7 @@ class Agg:
     """One aggregate: ``fn`` over ``column`` named ``alias``.
 
     ``fn``: sum, count (``column="*"`` counts rows), min, max, avg, or money
-    (exact DECIMAL(18,2) sum returned as DOUBLE).
+    (exact sum in whole cents, returned as DOUBLE).
     """
 
     fn: str
@@ -45,7 +45,7 @@ def _c(name: str) -> Column:
 def _direct(a: Agg) -> Column:
     c = _c(a.column)
     if a.fn == "money":
-        return F.sum(c.cast(MONEY_TYPE)).cast("double").alias(a.alias)
+        return money_sum(c).alias(a.alias)
     if a.fn == "count":
         return F.count(c).alias(a.alias)
     return getattr(F, a.fn)(c).alias(a.alias)
@@ -80,8 +80,8 @@ def salted_aggregate(
         c = _c(a.column)
         p = f"_p{i}"
         if a.fn == "money":
-            partial.append(F.sum(c.cast(MONEY_TYPE)).alias(p))
-            final.append(F.sum(p).cast("double").alias(a.alias))
+            partial.append(F.sum(cents(c)).alias(p))
+            final.append(cents_to_money(F.sum(p)).alias(a.alias))
         elif a.fn == "sum":
             partial.append(F.sum(c).alias(p))
             final.append(F.sum(p).alias(a.alias))

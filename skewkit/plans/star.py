@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skewkit.functions.expressions import null_region, quantity_int, skew_key
+from skewkit.functions.expressions import money_sum, null_region, quantity_int, skew_key
 from skewkit.sources.tables import read_table
 
 
@@ -58,5 +58,5 @@ def order_labels(spark: SparkSession, base: str) -> DataFrame:
     o = read_table(spark, base, "orders", ["o_orderkey", "o_totalprice"])
     return o.groupBy(skew_key("o_orderkey").alias("skew_key")).agg(
         F.count(F.lit(1)).alias("n_orders"),
-        F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("order_total"),
+        money_sum("o_totalprice").alias("order_total"),
     )
