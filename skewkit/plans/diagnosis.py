@@ -31,6 +31,7 @@ from skewkit.plans import retail, star
 from skewkit.session import local_session, scratch_path
 from skewkit.sinks.writers import sized_write, write_parquet
 from skewkit.sources import eventlog as ev
+from skewkit.streaming import eventlog_stream as es
 
 WORKLOAD_TIMEOUT_S = 1800
 _RECORDED: dict[tuple[str, str], str] = {}
@@ -97,6 +98,14 @@ def tables(spark: SparkSession, base: str) -> dict[str, DataFrame]:
     return ev.read_event_tables(spark, recorded_log(spark, base))
 
 
+def stream_windows(spark: SparkSession, base: str) -> DataFrame:
+    """Per-minute task load of the recorded log, ingested with Structured Streaming."""
+    log = recorded_log(spark, base)
+    out, ck = scratch_path(spark, "eventlog-windows"), scratch_path(spark, "eventlog-windows-ckpt")
+    es.ingest_available(spark, log, out, ck, window="1 minute", watermark="10 minutes", mode="update")
+    return es.latest_windows(spark, out)
+
+
 def _q(fn):
     def run(spark: SparkSession, base: str) -> DataFrame:
         return fn(tables(spark, base))
@@ -118,6 +127,7 @@ QUERIES = {
     "eventlog_compare": _q(lambda t: dg.compare_runs(
         dg.run_totals(t["tasks"], t["jobs"], by="description"), "shuffle_join_agg", "broadcast_join_agg")),
     "eventlog_findings": _q(lambda t: dg.findings(t["tasks"], t["jobs"], t["executors"])),
+    "eventlog_stream_windows": stream_windows,
 }
 
 

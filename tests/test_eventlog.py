@@ -112,3 +112,17 @@ def test_recorded_workload(spark):
     assert ("small_files_write", "small_files") in found
     assert ("compacted_write", "small_files") not in found
     assert ("salted_repartition", "task_skew") not in found
+
+
+def test_stream_windows_match_batch(spark):
+    from skewkit.session import scratch_path
+    from skewkit.streaming.eventlog_stream import ingest_available, latest_windows
+
+    log = diagnosis.recorded_log(spark, SF_SMALL)
+    batch = ev.read_event_tables(spark, log)["tasks"]
+    out, ck = scratch_path(spark, "t-out"), scratch_path(spark, "t-ck")
+    ingest_available(spark, log, out, ck, mode="update")
+    ingest_available(spark, log, out, ck, mode="update")  # re-run: nothing new, nothing doubled
+    win = latest_windows(spark, out)
+    assert win.agg(F.sum("tasks")).first()[0] == batch.count()
+    assert win.agg(F.sum("shuffle_write_bytes")).first()[0] == batch.agg(F.sum("shuffle_write_bytes")).first()[0]
