@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skewkit.functions.expressions import money_sum, money_sum_sql, null_region_sql, skew_key_sql
+from skewkit.functions.expressions import money_sum, money_sum_sql, null_region_sql, salt_bucket, skew_key_sql
 from skewkit.operators.aggregates import Agg, count_by, group_aggregate, salted_aggregate
 from skewkit.operators.joins import (
     broadcast_join,
@@ -21,11 +21,13 @@ from skewkit.operators.joins import (
     shuffle_join,
 )
 from skewkit.operators.ordering import ranked, sort_within_partitions, top_k
-from skewkit.operators.profile import key_distribution
+from skewkit.operators.profile import key_distribution, partition_balance
 from skewkit.operators.reuse import multi_analysis
 from skewkit.plans import star
 from skewkit.session import scratch_path
 from skewkit.sinks.writers import sized_write, write_parquet
+from skewkit.sources.files import file_census
+from skewkit.sources.generators import skew_rekey
 from skewkit.sources.tables import read_table
 
 UNKNOWN_REGION = "UNKNOWN"
@@ -79,6 +81,26 @@ def write_read_back(spark: SparkSession, base: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+# --- Row counts of the given tables ----------------------------------------
+
+COUNTED_TABLES = ("lineitem", "orders", "customer", "part", "supplier", "nation", "region", "events")
+
+
+def table_counts(spark: SparkSession, base: str) -> DataFrame:
+    """Rows per table; each count reads no column data (row-group metadata only)."""
+    parts = [read_table(spark, base, t, []).agg(F.count(F.lit(1)).alias("n_rows"))
+             .select(F.lit(t).alias("table_name"), "n_rows") for t in COUNTED_TABLES]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def unhinted_join_agg(spark: SparkSession, base: str) -> DataFrame:
+    """The category totals with no hint: the planner and AQE pick the join."""
+    return _category_totals(star.sales(spark, base).join(star.products(spark, base), "product_id"))
+
+
 # --- B15 / B16 ordering -----------------------------------------------------
 
 def category_ranked(spark: SparkSession, base: str) -> DataFrame:
@@ -106,6 +128,20 @@ def left_outer_summary(spark: SparkSession, base: str) -> DataFrame:
     return left_outer_join(flags, segments, "flag", "segment")
 
 
+def null_key_left_join(spark: SparkSession, base: str) -> DataFrame:
+    """Customers (about 30 % NULL region) left-joined to segment counts.
+
+    NULL keys never match, so their rows keep NULL right columns; an inner
+    join would drop them.
+    """
+    segments = (read_table(spark, base, "customer", ["c_mktsegment"])
+                .groupBy(F.col("c_mktsegment").alias("region")).agg(F.count(F.lit(1)).alias("segment_size")))
+    joined = left_outer_join(star.customers(spark, base), segments, "region")
+    return (joined.fillna({"region": UNKNOWN_REGION})
+            .groupBy("region")
+            .agg(F.count(F.lit(1)).alias("n_customers"), F.count("segment_size").alias("n_matched")))
+
+
 def cross_summary(spark: SparkSession, base: str) -> DataFrame:
     """Category totals next to every region count (right side capped and broadcast)."""
     return guarded_cross_join(broadcast_join_agg(spark, base), region_counts(spark, base))
@@ -157,6 +193,37 @@ def join_fanout_q(spark: SparkSession, base: str) -> DataFrame:
     return join_fanout(star.skewed_sales(spark, base), orders, "skew_key", "skew_key", "skew_key")
 
 
+# --- B18 partition balance, B19 file census, B2 skew injection -------------
+
+def _balance_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def partition_balance_skewed(spark: SparkSession, base: str) -> DataFrame:
+    """Rows per partition after hash-partitioning on the skewed key (one task gets 80 %)."""
+    s = star.skewed_sales(spark, base)
+    return partition_balance(s.repartition(_balance_partitions(spark), "skew_key"))
+
+
+def partition_balance_salted(spark: SparkSession, base: str) -> DataFrame:
+    """The same rows partitioned on (key, salt): the hot key is spread over all tasks."""
+    n = _balance_partitions(spark)
+    s = star.skewed_sales(spark, base)
+    salted = s.withColumn("_salt", salt_bucket(n, "sale_id", "product_id", "amount", "sale_ts"))
+    return partition_balance(salted.repartition(n, "skew_key", "_salt"))
+
+
+def file_census_q(spark: SparkSession, base: str) -> DataFrame:
+    """Files, bytes and small files per directory of the given tables."""
+    return file_census(spark, base)
+
+
+def generated_skew_profile(spark: SparkSession, base: str) -> DataFrame:
+    """lineitem re-keyed with the generator's product shares, profiled per key."""
+    li = read_table(spark, base, "lineitem", ["l_orderkey", "l_linenumber"])
+    return key_distribution(skew_rekey(li, ["l_orderkey", "l_linenumber"]), "product_id", "product_id")
+
+
 # --- B17 partition-local sort -----------------------------------------------
 
 def sorted_within_partitions(spark: SparkSession, base: str) -> DataFrame:
@@ -202,6 +269,13 @@ def multi_analysis_q(spark: SparkSession, base: str) -> DataFrame:
 
 QUERIES = {
     "scan_sales": scan_sales,
+    "table_counts": table_counts,
+    "unhinted_join_agg": unhinted_join_agg,
+    "null_key_left_join": null_key_left_join,
+    "partition_balance_skewed": partition_balance_skewed,
+    "partition_balance_salted": partition_balance_salted,
+    "file_census": file_census_q,
+    "generated_skew_profile": generated_skew_profile,
     "sales_summary": sales_summary,
     "broadcast_join_agg": broadcast_join_agg,
     "shuffle_join_agg": shuffle_join_agg,
@@ -262,6 +336,16 @@ GROUP BY f.skew_key, f.flag"""
 
 
 SQL = {
+    "table_counts": "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, COUNT(*) AS n_rows FROM {t}" for t in COUNTED_TABLES),
+    "unhinted_join_agg": _CATEGORY_SQL,
+    "null_key_left_join": f"""
+SELECT COALESCE(c.region, '{UNKNOWN_REGION}') AS region, COUNT(*) AS n_customers,
+       COUNT(s.segment_size) AS n_matched
+FROM (SELECT {null_region_sql('c_custkey', 'c_mktsegment')} AS region FROM customer) c
+LEFT JOIN (SELECT c_mktsegment AS region, COUNT(*) AS segment_size FROM customer GROUP BY 1) s
+  ON c.region = s.region
+GROUP BY 1""",
     "scan_sales": """
 SELECT l_orderkey AS sale_id, l_partkey AS product_id, l_extendedprice AS amount,
        CAST(l_quantity AS INT) AS quantity, CAST(l_shipdate AS DATE) AS sale_date, l_returnflag AS flag
