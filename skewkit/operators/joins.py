@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skewkit.functions.expressions import row_bytes, salt_bucket
-from skewkit.session import checkpoint_dir
+from skewkit.session import advisory_partition_bytes, checkpoint_dir, shuffle_partitions
 
 # Defaults for the broadcast bound. A broadcast side is collected to the
 # driver and copied to every executor, so the bound is about driver and
@@ -158,40 +158,47 @@ def join_fanout(
 
 # --- Salted join -------------------------------------------------------------
 
-def _target_tasks(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
 def hot_keys(
     big: DataFrame,
     key: str,
     rows_per_salt: int | None = None,
-    max_salts: int = 1024,
+    max_salts: int | None = None,
     target_tasks: int | None = None,
+    target_bytes: int | None = None,
 ) -> DataFrame:
     """Keys of ``big`` too large for one task, with a salt count each (``key, _n_salts``).
 
-    A key is hot when it holds more than ``rows_per_salt`` rows; by default
-    that is the mean task size, ``|big| / target_tasks`` (``target_tasks``
-    defaults to the session's shuffle partitions). ``n_salts =
-    ceil(rows / rows_per_salt)`` (at most ``max_salts``), so a key with a third
-    of all rows is split over about a third of the tasks while ordinary keys
-    keep one. There are at most ``target_tasks`` hot keys by construction,
-    and the total comes from a one-row aggregate, not from the driver.
+    A key is hot when it holds more rows than one task should: by default the
+    smaller of the mean task, ``|big| / target_tasks``, and the rows of
+    ``target_bytes`` (``target_tasks`` defaults to the session's shuffle
+    partitions, ``target_bytes`` to AQE's advisory partition size), or
+    ``rows_per_salt`` when given. ``n_salts = ceil(rows / limit)``, at most
+    ``max_salts`` (default ``target_tasks``: more salts than tasks spread
+    nothing further, and AQE's skew-join split can still cut a partition).
+    A key with a third of all rows is so split over about a third of the
+    tasks while ordinary keys keep one.
+
+    One aggregation over ``big`` (partial per map task, so the shuffle holds
+    one row per key and task); totals come from a one-row aggregate joined
+    back by broadcast, not from the driver.
     """
-    counts = big.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    spark = big.sparkSession
+    tasks = target_tasks or shuffle_partitions(spark)
+    cap = max_salts or tasks
+    counts = (big.where(F.col(key).isNotNull()).groupBy(key)
+              .agg(F.count(F.lit(1)).alias("_rows"), F.sum(row_bytes(big.schema)).alias("_bytes")))
     if rows_per_salt is not None:
-        limit = F.lit(int(rows_per_salt))
-        scoped = counts.withColumn("_limit", limit)
+        scoped = counts.withColumn("_limit", F.lit(max(1, int(rows_per_salt))).cast("long"))
     else:
-        tasks = target_tasks or _target_tasks(big)
-        total = counts.agg(F.sum("_rows").alias("_total"))
+        per_task_bytes = target_bytes or advisory_partition_bytes(spark)
+        total = counts.agg(F.sum("_rows").alias("_total_rows"), F.sum("_bytes").alias("_total_bytes"))
+        mean_task = F.ceil(F.col("_total_rows") / F.lit(tasks))
+        by_bytes = F.ceil(F.lit(per_task_bytes) * F.col("_total_rows") / F.greatest(F.col("_total_bytes"), F.lit(1)))
         scoped = counts.crossJoin(F.broadcast(total)).withColumn(
-            "_limit", F.greatest(F.ceil(F.col("_total") / F.lit(tasks)), F.lit(1))
-        )
+            "_limit", F.greatest(F.least(mean_task, by_bytes), F.lit(1)))
     return scoped.where(F.col("_rows") > F.col("_limit")).select(
         key,
-        F.least(F.ceil(F.col("_rows") / F.col("_limit")), F.lit(max_salts)).cast("int").alias("_n_salts"),
+        F.least(F.ceil(F.col("_rows") / F.col("_limit")), F.lit(cap)).cast("int").alias("_n_salts"),
     )
 
 
@@ -202,7 +209,7 @@ def salted_join(
     how: str = "inner",
     hot: DataFrame | None = None,
     rows_per_salt: int | None = None,
-    max_salts: int = 1024,
+    max_salts: int | None = None,
     salt_cols: Sequence[str] | None = None,
 ) -> DataFrame:
     """Equi-join on ``key`` with hot keys of ``big`` split over several tasks.

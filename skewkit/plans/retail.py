@@ -242,8 +242,7 @@ def category_date_totals(spark: SparkSession, base: str) -> DataFrame:
 def compacted_write(spark: SparkSession, base: str) -> DataFrame:
     """(category, date) totals written in size-targeted files, then read back."""
     path = scratch_path(spark, "category_date")
-    sized_write(category_date_totals(spark, base), path, target_file_bytes=64 * 1024 * 1024,
-                cluster_by=["category", "sale_date"])
+    sized_write(category_date_totals(spark, base), path, cluster_by=["category", "sale_date"])
     return spark.read.parquet(path)
 
 

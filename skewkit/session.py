@@ -6,6 +6,7 @@ settings; it only reads them. ``local_session`` is for tests and the bench.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -42,6 +43,32 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/skewkit/{name}-{uuid.uuid4().hex[:12]}"
 
 
+_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30,
+          "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40, "p": 1 << 50, "pb": 1 << 50}
+
+
+def parse_bytes(text: str) -> int:
+    """Spark's byte-size strings ("64MB", "256m", "1g", "67108864") as bytes."""
+    m = re.fullmatch(r"\s*(\d+)\s*([a-zA-Z]*)\s*", str(text))
+    if not m or m.group(2).lower() not in _UNITS:
+        raise ValueError(f"not a byte size: {text!r}")
+    return int(m.group(1)) * _UNITS[m.group(2).lower()]
+
+
+def conf_bytes(spark: SparkSession, key: str, default: str) -> int:
+    """A byte-size setting of the session (read only)."""
+    return parse_bytes(spark.conf.get(key, default) or default)
+
+
+def advisory_partition_bytes(spark: SparkSession) -> int:
+    """The size AQE aims for per shuffle partition."""
+    return conf_bytes(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB")
+
+
+def shuffle_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def local_session(cpus: int = 8, shuffle_partitions: int | None = None, app: str = "skewkit",
                   extra: dict[str, str] | None = None) -> SparkSession:
     """A local[cpus] session with AQE on and the UI off (tests, bench)."""

@@ -52,19 +52,32 @@ def plan_files(df: DataFrame, target_file_bytes: int = DEFAULT_TARGET_FILE_BYTES
 def sized_write(
     df: DataFrame,
     path: str,
-    target_file_bytes: int = DEFAULT_TARGET_FILE_BYTES,
+    target_file_bytes: int | None = None,
     mode: str = "overwrite",
     cluster_by: Sequence[str] = (),
     max_files: int = 10_000,
-) -> WritePlan:
-    """Write ``df`` as about ``bytes / target`` files instead of one per shuffle partition.
-
-    ``repartition(n)`` (a full, balanced shuffle) rather than ``coalesce(n)``:
-    coalescing would also shrink the parallelism of the stage that computes
-    ``df``. With ``cluster_by`` rows are range-partitioned on those columns so
-    each file covers a narrow key range. ``maxRecordsPerFile`` caps every
-    file even when the estimate was low.
+) -> WritePlan | None:
+    """Write ``df`` as files of about a target size instead of one per shuffle partition.
+
+    Default (``target_file_bytes=None``): one pass. A ``rebalance`` hint adds
+    a shuffle whose partitions AQE splits or merges to its advisory size from
+    the real shuffle statistics, so each write task gets about that much
+    data; with ``cluster_by`` rows of equal keys stay together and are sorted
+    inside each file. No rows are counted beforehand.
+
+    With an explicit ``target_file_bytes``: measure first (one aggregate pass,
+    see :func:`plan_files`), then ``repartition(n)`` (balanced; unlike
+    ``coalesce(n)`` it does not shrink the parallelism of the stage computing
+    ``df``) or range-partition on ``cluster_by``; ``maxRecordsPerFile`` caps
+    every file even when the estimate was low. This computes ``df`` twice;
+    use it for small or cheap inputs.
     """
+    if target_file_bytes is None:
+        out = df.hint("rebalance", *cluster_by)
+        if cluster_by:
+            out = out.sortWithinPartitions(*cluster_by)
+        out.write.mode(mode).parquet(path)
+        return None
     plan = plan_files(df, target_file_bytes, max_files)
     if cluster_by:
         out = df.repartitionByRange(plan.files, *cluster_by).sortWithinPartitions(*cluster_by)

@@ -72,3 +72,13 @@ def test_sized_write_and_census(spark):
     assert census["sized"]["files"] >= 1
     assert spark.read.parquet(os.path.join(d, "sized")).count() == 200_000
     assert list_files(spark, d).count() == census["small"]["files"] + census["sized"]["files"]
+
+
+def test_rebalanced_write_is_single_pass_and_complete(spark):
+    d = tempfile.mkdtemp(prefix="skewkit-test-")
+    df = spark.range(0, 50_000, 1, 64).withColumn("k", F.col("id") % 5)
+    assert sized_write(df, os.path.join(d, "r"), cluster_by=["k"]) is None
+    back = spark.read.parquet(os.path.join(d, "r"))
+    assert back.count() == 50_000
+    n_files = file_census(spark, d).first()["files"]
+    assert n_files < 64
