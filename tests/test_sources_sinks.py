@@ -82,3 +82,15 @@ def test_rebalanced_write_is_single_pass_and_complete(spark):
     assert back.count() == 50_000
     n_files = file_census(spark, d).first()["files"]
     assert n_files < 64
+
+
+def test_scale_settings_and_byte_strings():
+    from skewkit.plans.settings import scale_settings
+    from skewkit.session import parse_bytes
+
+    s = scale_settings(100 * 1024**4, 8000)
+    assert int(s["spark.sql.shuffle.partitions"]) == 819200
+    assert scale_settings(1024, 8)["spark.sql.shuffle.partitions"] == "16"
+    assert parse_bytes("64MB") == 64 << 20 and parse_bytes("1g") == 1 << 30 and parse_bytes("123") == 123
+    with pytest.raises(ValueError):
+        parse_bytes("12 parsecs")
