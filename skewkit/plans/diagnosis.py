@@ -28,7 +28,7 @@ from skewkit.functions.expressions import salt_bucket
 from skewkit.operators import diagnostics as dg
 from skewkit.operators.profile import partition_balance
 from skewkit.plans import retail, star
-from skewkit.session import local_session, scratch_path
+from skewkit.session import app_id, local_session, scratch_path
 from skewkit.sinks.writers import sized_write, write_parquet
 from skewkit.sources import eventlog as ev
 from skewkit.streaming import eventlog_stream as es
@@ -76,7 +76,7 @@ def record(base: str, log_dir: str, work_dir: str, cpus: int = 4) -> None:
 
 def recorded_log(spark: SparkSession, base: str) -> str:
     """Folder with the event log of the workload over ``base`` (recorded once per session)."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(base) if "://" not in base else base)
+    key = (app_id(spark), os.path.abspath(base) if "://" not in base else base)
     if key in _RECORDED:
         return _RECORDED[key]
     log_dir = scratch_path(spark, "eventlog")

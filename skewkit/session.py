@@ -13,27 +13,48 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+def _context(spark: SparkSession):
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - sessions without a context handle (Spark Connect)
+        return None
+
+
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    sc = _context(spark)
+    master = sc.master if sc is not None else (spark.conf.get("spark.master", "") or "")
+    return master.startswith("local")
+
+
+def app_id(spark: SparkSession) -> str:
+    sc = _context(spark)
+    return sc.applicationId if sc is not None else (spark.conf.get("spark.app.id", "") or "")
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the cluster.
 
-    Read from the session (``spark.checkpoint.dir`` or the context's current
-    checkpoint dir). Only a local-mode session without one gets a fresh
-    temporary folder; on a cluster a missing setting is an error, because a
-    machine-local folder would be lost with its executor.
+    Read from the session (the context's checkpoint dir or
+    ``spark.checkpoint.dir``). Only a local-mode session without one gets a
+    fresh temporary folder; on a cluster a missing setting is an error,
+    because a machine-local folder would be lost with its executor.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    sc = _context(spark)
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
-    conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    conf = spark.conf.get("spark.checkpoint.dir", None)
+    if not conf and sc is not None:
+        conf = sc.getConf().get("spark.checkpoint.dir", None)
+    if conf and sc is None:
+        return conf
     if not conf:
         if not _is_local(spark):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/ABFS/GCS)")
         conf = tempfile.mkdtemp(prefix="skewkit-ckpt-")
+        if sc is None:
+            spark.conf.set("spark.checkpoint.dir", conf)
+            return conf
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
 
