@@ -158,6 +158,9 @@ def join_fanout(
 
 # --- Salted join -------------------------------------------------------------
 
+# Upper bound on the rows of a hot-key table (key + salt count each).
+MAX_HOT_KEYS = 100_000
+
 def hot_keys(
     big: DataFrame,
     key: str,
@@ -165,6 +168,7 @@ def hot_keys(
     max_salts: int | None = None,
     target_tasks: int | None = None,
     target_bytes: int | None = None,
+    max_hot_keys: int = MAX_HOT_KEYS,
 ) -> DataFrame:
     """Keys of ``big`` too large for one task, with a salt count each (``key, _n_salts``).
 
@@ -176,7 +180,9 @@ def hot_keys(
     ``max_salts`` (default ``target_tasks``: more salts than tasks spread
     nothing further, and AQE's skew-join split can still cut a partition).
     A key with a third of all rows is so split over about a third of the
-    tasks while ordinary keys keep one.
+    tasks while ordinary keys keep one. The limit is never below
+    ``|big| / max_hot_keys``, so the hot-key table has at most
+    ``max_hot_keys`` rows and always fits a broadcast.
 
     One aggregation over ``big`` (partial per map task, so the shuffle holds
     one row per key and task); totals come from a one-row aggregate joined
@@ -194,8 +200,9 @@ def hot_keys(
         total = counts.agg(F.sum("_rows").alias("_total_rows"), F.sum("_bytes").alias("_total_bytes"))
         mean_task = F.ceil(F.col("_total_rows") / F.lit(tasks))
         by_bytes = F.ceil(F.lit(per_task_bytes) * F.col("_total_rows") / F.greatest(F.col("_total_bytes"), F.lit(1)))
+        floor = F.ceil(F.col("_total_rows") / F.lit(max_hot_keys))
         scoped = counts.crossJoin(F.broadcast(total)).withColumn(
-            "_limit", F.greatest(F.least(mean_task, by_bytes), F.lit(1)))
+            "_limit", F.greatest(F.least(mean_task, by_bytes), floor, F.lit(1)))
     return scoped.where(F.col("_rows") > F.col("_limit")).select(
         key,
         F.least(F.ceil(F.col("_rows") / F.col("_limit")), F.lit(cap)).cast("int").alias("_n_salts"),
