@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skewkit.functions.expressions import row_bytes, salt_bucket
-from skewkit.session import advisory_partition_bytes, checkpoint_dir, shuffle_partitions
+from skewkit.session import advisory_partition_bytes, materialize, shuffle_partitions
 
 # Defaults for the broadcast bound. A broadcast side is collected to the
 # driver and copied to every executor, so the bound is about driver and
@@ -231,16 +231,15 @@ def salted_join(
 
     ``hot`` (columns ``key, _n_salts``) may be passed in, e.g. from a profile;
     by default it is computed from ``big`` (see :func:`hot_keys`) and written
-    to the shared checkpoint folder, so the profile runs once and survives
-    executor loss. It is broadcast only after measuring it.
+    as a table to the shared checkpoint folder, so the profile runs once and
+    survives executor loss. It is broadcast only after measuring it.
     """
     if how.lower() not in {"inner", "left", "leftouter", "left_outer"}:
         raise ValueError("salted_join supports only inner and left joins")
     _check_columns(big, [key], "left")
     _check_columns(small, [key], "right")
     if hot is None:
-        checkpoint_dir(big.sparkSession)
-        hot = hot_keys(big, key, rows_per_salt, max_salts).checkpoint(eager=True)
+        hot = materialize(hot_keys(big, key, rows_per_salt, max_salts), "hot-keys")
     hot = hot.select(key, "_n_salts")
     hot_b = F.broadcast(hot) if measure_side(hot).fits else hot
     cols = list(salt_cols) if salt_cols else [c for c in big.columns]

@@ -14,7 +14,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skewkit.session import checkpoint_dir
+from skewkit.session import materialize
 
 
 @contextmanager
@@ -42,12 +42,11 @@ def multi_analysis(
 
     ``columns`` maps every output column to its SQL type; an analysis that
     lacks a column gets a typed NULL there, and a leading ``analysis`` column
-    holds its tag. The union is materialised into the shared checkpoint
-    folder while the input is cached, then the cache is released; the
-    returned DataFrame reads the checkpoint, so it depends neither on the
+    holds its tag. The union is written as a table into the shared
+    checkpoint folder while the input is cached, then the cache is released;
+    the returned DataFrame reads that table, so it depends neither on the
     cached blocks nor on the original lineage.
     """
-    checkpoint_dir(df.sparkSession)
     with reused(df, consumers=len(analyses)) as cached:
         parts = []
         for tag, fn in analyses:
@@ -60,4 +59,4 @@ def multi_analysis(
         union = parts[0]
         for p in parts[1:]:
             union = union.unionByName(p)
-        return union.checkpoint(eager=True)
+        return materialize(union, "multi-analysis")

@@ -90,6 +90,19 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+def materialize(df, name: str):
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
+
+    Cuts the lineage like ``checkpoint()`` but computes ``df`` once (an eager
+    reliable checkpoint of an unpersisted Dataset computes it twice) and
+    stores it columnar; survives the loss of any executor.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def local_session(cpus: int = 8, shuffle_partitions: int | None = None, app: str = "skewkit",
                   extra: dict[str, str] | None = None) -> SparkSession:
     """A local[cpus] session with AQE on and the UI off (tests, bench)."""
