@@ -10,7 +10,7 @@ many (very many map tasks) or when a partial state is large.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -112,3 +112,49 @@ def count_by(df: DataFrame, key: str, counted: str, alias: str, null_label: str
     """Count non-NULL ``counted`` per ``key``; NULL keys optionally relabelled."""
     src = label_nulls(df, {key: null_label}) if null_label is not None else df
     return src.groupBy(key).agg(F.count(F.col(counted)).alias(alias))
+
+
+def grouping_set_summaries(
+    df: DataFrame,
+    analyses: Sequence[tuple[str, Sequence[str], Sequence[Agg]]],
+    columns: Mapping[str, str],
+) -> DataFrame:
+    """Several group-bys over one input in one pass, as one tagged table.
+
+    ``analyses`` are ``(tag, keys, aggs)``. A single ``GROUPING SETS``
+    aggregate scans ``df`` once: each row is expanded once per set before the
+    partial aggregation, so the shuffle carries partial rows of every set and
+    nothing is cached. ``grouping_id()`` tells the sets apart (also from
+    NULLs in the data). Output: ``analysis`` plus ``columns`` (name → SQL
+    type); a column an analysis does not produce is NULL in its rows.
+    """
+    keys_per_set = [tuple(k) for _, k, _ in analyses]
+    if len(set(keys_per_set)) != len(keys_per_set):
+        raise ValueError("two analyses group by the same keys; merge their aggregates")
+    all_keys: list[str] = []
+    for ks in keys_per_set:
+        all_keys += [k for k in ks if k not in all_keys]
+    aggs: dict[str, Agg] = {}
+    for _, _, agg_list in analyses:
+        for a in agg_list:
+            if a.alias in aggs and aggs[a.alias] != a:
+                raise ValueError(f"aggregate alias {a.alias!r} used for two different aggregates")
+            aggs[a.alias] = a
+    n = len(all_keys)
+    gid = {tag: sum(1 << (n - 1 - i) for i, c in enumerate(all_keys) if c not in ks)
+           for tag, ks, _ in analyses}
+    grouped = df.groupingSets([list(ks) for ks in keys_per_set], *all_keys).agg(
+        *[_direct(a) for a in aggs.values()], F.grouping_id().alias("_gid"))
+    tag_col = None
+    for tag, g in gid.items():
+        tag_col = (F.when(F.col("_gid") == g, F.lit(tag)) if tag_col is None
+                   else tag_col.when(F.col("_gid") == g, F.lit(tag)))
+    out = [tag_col.alias("analysis")]
+    for name, dtype in columns.items():
+        owners = [tag for tag, ks, agg_list in analyses if name in ks or name in {a.alias for a in agg_list}]
+        if owners and name in df.columns + list(aggs):
+            keep = F.col("_gid").isin([gid[t] for t in owners])
+            out.append(F.when(keep, F.col(name)).cast(dtype).alias(name))
+        else:
+            out.append(F.lit(None).cast(dtype).alias(name))
+    return grouped.select(*out)

@@ -64,3 +64,19 @@ def test_count_by_labels_nulls(spark):
 def test_unsupported_aggregate():
     with pytest.raises(ValueError):
         Agg("median", "x", "m")
+
+
+def test_grouping_set_summaries_equal_separate_group_bys(spark):
+    from skewkit.operators.aggregates import grouping_set_summaries
+
+    df = _df(spark).withColumn("g", F.col("id") % 3)
+    out = grouping_set_summaries(df, [
+        ("by_k", ["k"], [Agg("count", "*", "n"), Agg("money", "amount", "total")]),
+        ("by_g", ["g"], [Agg("count", "*", "n")]),
+    ], {"k": "string", "g": "bigint", "n": "bigint", "total": "double"})
+    got = {(r["analysis"], r["k"], r["g"]): (r["n"], r["total"]) for r in out.collect()}
+    for r in group_aggregate(df, ["k"], [Agg("count", "*", "n"), Agg("money", "amount", "total")]).collect():
+        assert got[("by_k", r["k"], None)] == (r["n"], r["total"])  # NULL data key kept apart from the set tag
+    for r in group_aggregate(df, ["g"], [Agg("count", "*", "n")]).collect():
+        assert got[("by_g", None, r["g"])] == (r["n"], None)
+    assert len(got) == df.select("k").distinct().count() + 3
