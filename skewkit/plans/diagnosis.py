@@ -57,7 +57,8 @@ def run_workload(spark: SparkSession, base: str, work_dir: str) -> None:
     sc.setJobDescription("small_files_write")
     write_parquet(totals.repartition(4 * parts), f"{work_dir}/small_files")
     sc.setJobDescription("compacted_write")
-    sized_write(totals, f"{work_dir}/compacted")
+    # measured mode: this session keeps AQE coalescing off so the bad runs stay visible
+    sized_write(totals, f"{work_dir}/compacted", target_file_bytes=128 * 1024 * 1024)
     sc.setJobDescription(None)
 
 

@@ -80,3 +80,23 @@ def test_grouping_set_summaries_equal_separate_group_bys(spark):
     for r in group_aggregate(df, ["g"], [Agg("count", "*", "n")]).collect():
         assert got[("by_g", None, r["g"])] == (r["n"], None)
     assert len(got) == df.select("k").distinct().count() + 3
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    data=st.lists(
+        st.tuples(st.sampled_from(["a_b", "", "PROMO_ESPECIAL", None]),
+                  st.integers(min_value=0, max_value=10**7).map(lambda c: c / 100),
+                  st.one_of(st.none(), st.integers(min_value=-5, max_value=99))),
+        max_size=60),
+    n_salts=st.integers(min_value=1, max_value=9),
+)
+def test_salted_aggregate_property(spark, data, n_salts):
+    df = spark.createDataFrame([(i,) + r for i, r in enumerate(data)], "id long, k string, amount double, q int")
+    aggs = AGGS[:-1]  # avg compared separately above (floating point)
+    cols = ["k"] + [a.alias for a in aggs]
+    assert rows(salted_aggregate(df, ["k"], aggs, n_salts=n_salts), cols) == rows(group_aggregate(df, ["k"], aggs), cols)

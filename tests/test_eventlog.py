@@ -102,9 +102,33 @@ def test_compare_runs(spark, log_dir):
     assert cmp["tasks"]["before"] == 15 and cmp["tasks"]["ratio"] == 2.0
 
 
+def _raw_task_ends(log_dir):
+    for prefix in ("file://", "file:"):
+        if log_dir.startswith(prefix):
+            log_dir = log_dir[len(prefix):]
+            break
+    n = 0
+    for root, _, files in os.walk(log_dir):
+        for name in files:
+            if name.startswith(("events_", "local-", "app-")) and not name.endswith(".crc"):
+                path = os.path.join(root, name)
+                if name.endswith(".zstd"):
+                    import zstandard
+                    with open(path, "rb") as fh:
+                        text = zstandard.ZstdDecompressor().stream_reader(fh).read().decode()
+                else:
+                    with open(path) as fh:
+                        text = fh.read()
+                n += sum(1 for line in text.splitlines() if '"Event":"SparkListenerTaskEnd"' in line
+                         or '"Event": "SparkListenerTaskEnd"' in line)
+    return n
+
+
 def test_recorded_workload(spark):
     """The recorded run over the given tables: broadcast removes the big shuffle."""
+    log = diagnosis.recorded_log(spark, SF_SMALL)
     t = diagnosis.tables(spark, SF_SMALL)
+    assert t["tasks"].count() == _raw_task_ends(log) > 0
     totals = {r["run"]: r for r in dg.run_totals(t["tasks"], t["jobs"], by="description").collect()}
     assert totals["broadcast_join_agg"]["shuffle_write_bytes"] < totals["shuffle_join_agg"]["shuffle_write_bytes"]
     found = {(r["description"], r["finding"]) for r in dg.findings(t["tasks"], t["jobs"]).collect()}

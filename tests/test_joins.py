@@ -26,7 +26,9 @@ def _fact(spark):
 
 
 def _dim(spark):
-    return spark.createDataFrame([("A_B", "hot"), ("", "empty"), ("Q", "never")], "k string, label string")
+    # duplicate dimension key 'A_B' (fan-out: every matching fact row joins twice)
+    return spark.createDataFrame([("A_B", "hot"), ("A_B", "hot-2"), ("", "empty"), ("Q", "never")],
+                                 "k string, label string")
 
 
 def test_measure_side_is_bounded(spark):
@@ -81,7 +83,7 @@ def test_join_fanout_matches_join(spark):
     f, d = _fact(spark), _dim(spark)
     fan = join_fanout(f, d, "k")
     total = fan.select("total_pairs").first()[0]
-    assert total == f.join(d, "k").count()
+    assert total == f.join(d, "k").count() == 1600 * 2 + 200
     assert {r["join_key"] for r in fan.collect()} == {"A_B", ""}
 
 
@@ -114,9 +116,9 @@ def test_salted_join_spreads_the_hot_key(spark):
         plain_parts = plain.groupBy(F.spark_partition_id().alias("p")).count().collect()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", prev)
-    assert len(plain_parts) == 1 and plain_parts[0]["count"] == 1600
+    assert len(plain_parts) == 1 and plain_parts[0]["count"] == 3200
     assert len(per_part) > 1
-    assert max(r["count"] for r in per_part) < 1600
+    assert max(r["count"] for r in per_part) < 3200
 
 
 def test_salted_join_rejects_outer(spark):
