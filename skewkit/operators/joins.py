@@ -29,7 +29,7 @@ _BROADCAST_HOWS = {"inner", "left", "leftouter", "left_outer", "semi", "leftsemi
 
 @dataclass(frozen=True)
 class SideSize:
-    """Rows and payload bytes of a join side, counted up to ``max_rows + 1``."""
+    """Exact rows and payload bytes of a join side, against the broadcast bound."""
 
     rows: int
     bytes: int
@@ -44,10 +44,15 @@ class SideSize:
 def measure_side(
     df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES
 ) -> SideSize:
-    """Bounded size of ``df``: one small job that stops reading after ``max_rows + 1`` rows."""
-    probe = df.limit(max_rows + 1)
+    """Exact size of ``df`` (rows and payload bytes) from one aggregate job.
+
+    Partial aggregation sends one row per partition through the shuffle, so
+    even a side that turns out large is measured by a distributed scan and
+    never funnelled into one task (a ``limit`` probe would shuffle up to
+    ``max_rows`` rows of every partition into a single one).
+    """
     width = row_bytes(df.schema)
-    row = probe.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("b")).first()
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("b")).first()
     return SideSize(int(row["n"]), int(row["b"]), max_rows, max_bytes)
 
 

@@ -31,10 +31,10 @@ def _dim(spark):
                                  "k string, label string")
 
 
-def test_measure_side_is_bounded(spark):
+def test_measure_side(spark):
     df = spark.range(1000)
     s = measure_side(df, max_rows=10)
-    assert s.rows == 11 and not s.fits
+    assert s.rows == 1000 and not s.fits
     s2 = measure_side(df, max_rows=5000)
     assert s2.rows == 1000 and s2.bytes == 8000 and s2.fits
 
