@@ -12,6 +12,8 @@ distributed scan without a join to the start events.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -59,7 +61,7 @@ EVENT_SCHEMA = _s(
 # Rolled logs live in eventlog_v2_<app>/; single-file logs are named <app>
 # with an optional codec and ".inprogress" suffix.
 _ROLLED = r"eventlog_v2_([^/]+)/[^/]*$"
-_SINGLE = r"([^/]+?)(\.(lz4|lzf|snappy|zstd))?(\.inprogress)?$"
+_SINGLE = r"([^/]+?)(\.(lz4|lzf|snappy|zstd|zst))?(\.inprogress)?$"
 
 
 def _app_from_path(path: Column) -> Column:
@@ -67,13 +69,88 @@ def _app_from_path(path: Column) -> Column:
     return F.when(rolled != "", rolled).otherwise(F.regexp_extract(path, _SINGLE, 1))
 
 
+_COMPRESSED = r"\.(zstd|zst|lz4|lzf|snappy)(\.inprogress)?$"
+_LINES_PER_BATCH = 20_000
+
+
+def _decode_log_files(batches):
+    """mapInPandas body: log files → (path, line) rows, in bounded batches.
+
+    Each file is read as a stream (zstd decompressed across frames) and emitted
+    ``_LINES_PER_BATCH`` lines at a time, so no task holds a whole
+    decompressed log. A truncated last frame (a log still being written)
+    ends that file at the last complete line.
+    """
+    import io
+
+    import pandas as pd
+    import zstandard
+
+    for pdf in batches:
+        for path, content in zip(pdf["path"], pdf["content"]):
+            if re.search(r"\.zstd?(\.inprogress)?$", path):
+                raw = zstandard.ZstdDecompressor().stream_reader(io.BytesIO(bytes(content)), read_across_frames=True)
+            elif re.search(_COMPRESSED, path):
+                raise ValueError(f"{path}: only zstd-compressed or plain event logs can be read; "
+                                 "set spark.eventLog.compression.codec=zstd or spark.eventLog.compress=false")
+            else:
+                raw = io.BytesIO(bytes(content))
+            text = io.TextIOWrapper(raw, encoding="utf-8", errors="replace")
+            buf: list[str] = []
+            try:
+                for line in text:
+                    if line.endswith("\n"):
+                        buf.append(line)
+                    if len(buf) >= _LINES_PER_BATCH:
+                        yield pd.DataFrame({"path": path, "line": buf})
+                        buf = []
+            except zstandard.ZstdError:
+                pass
+            if buf:
+                yield pd.DataFrame({"path": path, "line": buf})
+
+
+def parse_log_lines(lines: DataFrame) -> DataFrame:
+    """``(path, line)`` rows → typed events with ``app_id``."""
+    return (lines.select(F.from_json("line", EVENT_SCHEMA).alias("e"), F.col("path").alias("_path"))
+            .select("e.*", "_path")
+            .where(F.col("Event").isNotNull())
+            .withColumn("app_id", _app_from_path(F.col("_path"))).drop("_path"))
+
+
+def decode_log_files(files: DataFrame) -> DataFrame:
+    """``binaryFile`` rows (``path, content``) → ``(path, line)`` rows."""
+    return files.select("path", "content").mapInPandas(_decode_log_files, "path string, line string")
+
+
 def read_events(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """All events under ``path`` with ``app_id`` (from the file path) added."""
-    paths = [path] if isinstance(path, str) else list(path)
-    raw = (spark.read.schema(EVENT_SCHEMA).option("recursiveFileLookup", "true")
-           .option("mode", "PERMISSIVE").json(paths))
-    return raw.where(F.col("Event").isNotNull()).withColumn(
-        "app_id", _app_from_path(F.col("_metadata.file_path")))
+    """All events under ``path`` with ``app_id`` (from the file path) added.
+
+    Plain JSON-lines logs go through the splittable JSON reader. Compressed
+    logs cannot be split, so they are read one file per task through the
+    ``binaryFile`` source and decoded in a ``mapInPandas`` step, then parsed
+    with the same explicit schema (``from_json``). Rolled logs keep each file
+    at ``spark.eventLog.rolling.maxFileSize``, which bounds a task's input.
+    """
+    roots = [path] if isinstance(path, str) else list(path)
+    listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(roots)
+               .select("path", "length").where(F.col("length") > 0))
+    paths = [r["path"] for r in listing.select("path").collect()]
+    plain = [p for p in paths if not re.search(_COMPRESSED, p)]
+    packed = [p for p in paths if re.search(_COMPRESSED, p)]
+    parts = []
+    if plain:
+        parts.append(spark.read.schema(EVENT_SCHEMA).option("mode", "PERMISSIVE").json(plain)
+                     .where(F.col("Event").isNotNull())
+                     .withColumn("app_id", _app_from_path(F.col("_metadata.file_path"))))
+    if packed:
+        parts.append(parse_log_lines(decode_log_files(spark.read.format("binaryFile").load(packed))))
+    if not parts:
+        return spark.createDataFrame([], EVENT_SCHEMA).withColumn("app_id", F.lit(None).cast("string"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def _m(path: str) -> Column:

@@ -19,15 +19,24 @@ from pyspark.sql import functions as F
 
 from skewkit.sources import eventlog as ev
 
+# The fixed schema of the binaryFile source (a stream needs it stated).
+BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
+
 
 def event_stream(spark: SparkSession, log_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming events of every log under ``log_dir`` (single files and rolled folders)."""
-    reader = spark.readStream.schema(ev.EVENT_SCHEMA).option("recursiveFileLookup", "true")
+    """Streaming events of every log under ``log_dir`` (single files and rolled folders).
+
+    Files arrive through the ``binaryFile`` stream source (one file per row,
+    plain or zstd) and are decoded by the same line decoder and schema as
+    the batch reader, so compressed logs, which a text reader cannot split,
+    are read whole by one task each.
+    """
+    reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
+              .option("recursiveFileLookup", "true").option("pathGlobFilter", "[!.]*"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    raw = reader.json(log_dir)
-    return raw.where(F.col("Event").isNotNull()).withColumn(
-        "app_id", ev._app_from_path(F.col("_metadata.file_path")))
+    files = reader.load(log_dir).where(F.col("length") > 0)
+    return ev.parse_log_lines(ev.decode_log_files(files))
 
 
 def task_stream(spark: SparkSession, log_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
