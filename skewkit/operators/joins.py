@@ -101,13 +101,21 @@ def broadcast_join(
 
 
 def left_outer_join(
-    left: DataFrame, right: DataFrame, left_on: str | Sequence[str], right_on: str | Sequence[str] | None = None
+    left: DataFrame,
+    right: DataFrame,
+    left_on: str | Sequence[str],
+    right_on: str | Sequence[str] | None = None,
+    max_rows: int = BROADCAST_MAX_ROWS,
+    max_bytes: int = BROADCAST_MAX_BYTES,
 ) -> DataFrame:
     """Left outer join; unmatched left rows get NULL right columns.
 
     With equal key names the key is emitted once (USING join); with different
     names both are kept. Missing keys raise a clear error up front instead of
-    an analysis error deep in the plan.
+    an analysis error deep in the plan. The right side is broadcast when its
+    measured size fits the bound: the left side is then never shuffled on a
+    key that may be few-valued or mostly NULL (all NULL keys would land in
+    one shuffle partition).
     """
     lk = _as_list(left_on)
     rk = lk if right_on is None else _as_list(right_on)
@@ -115,10 +123,11 @@ def left_outer_join(
         raise ValueError(f"left keys {lk} and right keys {rk} differ in number")
     _check_columns(left, lk, "left")
     _check_columns(right, rk, "right")
+    r = F.broadcast(right) if measure_side(right, max_rows, max_bytes).fits else right
     if lk == rk:
-        return left.join(right, lk, "left")
-    cond = [left[a] == right[b] for a, b in zip(lk, rk)]
-    return left.join(right, cond, "left")
+        return left.join(r, lk, "left")
+    cond = [left[a] == r[b] for a, b in zip(lk, rk)]
+    return left.join(r, cond, "left")
 
 
 class CrossJoinTooLarge(ValueError):

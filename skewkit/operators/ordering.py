@@ -42,11 +42,16 @@ def sort_within_partitions(
 ) -> DataFrame:
     """Rows sorted inside each partition, no total order.
 
-    Without ``partition_cols`` there is no exchange at all; with them the rows
-    are first hash-partitioned (one shuffle), e.g. to cluster a file layout.
+    Without ``partition_cols`` there is no exchange at all. With them the
+    rows are first range-partitioned on ``partition_cols + sort_cols`` (one
+    sampled shuffle), e.g. to cluster a file layout: each partition covers a
+    narrow range of the keys, and a key too large for one partition is split
+    by its sort values over several, where hash partitioning would put all
+    of it (or all NULL keys) into one task.
     """
     out = df
     if partition_cols:
-        out = (out.repartition(num_partitions, *partition_cols) if num_partitions
-               else out.repartition(*partition_cols))
+        keys = list(partition_cols) + [c for c in sort_cols if c not in partition_cols]
+        out = (out.repartitionByRange(num_partitions, *keys) if num_partitions
+               else out.repartitionByRange(*keys))
     return out.sortWithinPartitions(*sort_cols)

@@ -44,6 +44,18 @@ def partition_balance(df: DataFrame) -> DataFrame:
     return df.groupBy(F.spark_partition_id().alias("partition_id")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def hash_partition_balance(df: DataFrame, cols: list[str], num_partitions: int) -> DataFrame:
+    """Rows each partition would get from ``repartition(num_partitions, *cols)``.
+
+    Uses the partition id Spark's hash partitioning assigns,
+    ``pmod(hash(cols), n)`` (Murmur3, as ``F.hash``), counted with a partial
+    aggregate: the balance of a skewed partitioning is measured without
+    running the skewed shuffle itself. Columns ``partition_id, n_rows``.
+    """
+    pid = F.pmod(F.hash(*[F.col(c) for c in cols]), F.lit(num_partitions)).alias("partition_id")
+    return df.groupBy(pid).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def balance_summary(balance: DataFrame) -> DataFrame:
     """One row: partitions with rows, max, median, max/median, largest share."""
     return balance.agg(

@@ -27,7 +27,7 @@ from skewkit.operators.joins import (
     shuffle_join,
 )
 from skewkit.operators.ordering import ranked, sort_within_partitions, top_k
-from skewkit.operators.profile import key_distribution, partition_balance
+from skewkit.operators.profile import hash_partition_balance, key_distribution
 from skewkit.operators.reuse import multi_analysis
 from skewkit.plans import star
 from skewkit.session import scratch_path
@@ -206,9 +206,12 @@ def _balance_partitions(spark: SparkSession) -> int:
 
 
 def partition_balance_skewed(spark: SparkSession, base: str) -> DataFrame:
-    """Rows per partition after hash-partitioning on the skewed key (one task gets 80 %)."""
+    """Rows per partition that hash-partitioning on the skewed key would give (one gets 80 %).
+
+    Measured from the partition ids, without running that skewed shuffle.
+    """
     s = star.skewed_sales(spark, base)
-    return partition_balance(s.repartition(_balance_partitions(spark), "skew_key"))
+    return hash_partition_balance(s, ["skew_key"], _balance_partitions(spark))
 
 
 def partition_balance_salted(spark: SparkSession, base: str) -> DataFrame:
@@ -216,7 +219,7 @@ def partition_balance_salted(spark: SparkSession, base: str) -> DataFrame:
     n = _balance_partitions(spark)
     s = star.skewed_sales(spark, base)
     salted = s.withColumn("_salt", salt_bucket(n, "sale_id", "product_id", "amount", "sale_ts"))
-    return partition_balance(salted.repartition(n, "skew_key", "_salt"))
+    return hash_partition_balance(salted, ["skew_key", "_salt"], n)
 
 
 def file_census_q(spark: SparkSession, base: str) -> DataFrame:

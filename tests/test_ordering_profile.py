@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from conftest import plan_text
 from skewkit.operators.ordering import ranked, sort_within_partitions, top_k
-from skewkit.operators.profile import balance_summary, key_distribution, partition_balance
+from skewkit.operators.profile import balance_summary, hash_partition_balance, key_distribution, partition_balance
 
 
 def test_top_k_ties_and_plan(spark):
@@ -43,3 +43,26 @@ def test_partition_balance(spark):
     assert sum(r["n_rows"] for r in bal.collect()) == 1000
     s = balance_summary(bal).first()
     assert s["partitions"] == 4 and s["largest_share"] == 0.25
+
+
+def test_hash_partition_balance_predicts_repartition(spark):
+    prev = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = spark.range(5000).withColumn("k", F.when(F.col("id") % 10 < 8, "hot").otherwise((F.col("id") % 7).cast("string")))
+        actual = {r["partition_id"]: r["n_rows"] for r in partition_balance(df.repartition(6, "k")).collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", prev)
+    predicted = {r["partition_id"]: r["n_rows"] for r in hash_partition_balance(df, ["k"], 6).collect()}
+    assert predicted == actual
+    assert max(predicted.values()) >= 4000
+
+
+def test_range_clustering_splits_a_large_key(spark):
+    df = spark.range(4000).withColumn("k", F.when(F.col("id") < 3000, "big").otherwise("small"))
+    out = sort_within_partitions(df, ["id"], ["k"], 4)
+    parts = [p for p in out.rdd.glom().collect() if p]
+    assert sum(1 for p in parts if any(r["k"] == "big" for r in p)) > 1
+    for p in parts:
+        keys = [(r["k"], r["id"]) for r in p]
+        assert [x[1] for x in keys] == sorted(x[1] for x in keys)
