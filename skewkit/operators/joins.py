@@ -156,9 +156,9 @@ def join_fanout(
     """Rows a join would produce, per key and in total, without running it.
 
     ``pairs = left_rows * right_rows`` per key; ``total_pairs`` is the sum over
-    keys. Both sides are reduced to one row per key before the (small) join;
-    the total comes from a one-row aggregate, so no global window funnels all
-    keys through one task.
+    keys. Both sides are reduced to one row per key before the join; the
+    total is an uncorrelated scalar subquery over the per-key rows, so no
+    global window funnels all keys through one task.
     """
     right_key = right_key or left_key
     _check_columns(left, [left_key], "left")
@@ -166,8 +166,8 @@ def join_fanout(
     lc = left.groupBy(F.col(left_key).alias(key_alias)).agg(F.count(F.lit(1)).alias("left_rows"))
     rc = right.groupBy(F.col(right_key).alias(key_alias)).agg(F.count(F.lit(1)).alias("right_rows"))
     per_key = lc.join(rc, key_alias, "inner").withColumn("pairs", F.col("left_rows") * F.col("right_rows"))
-    total = per_key.agg(F.sum("pairs").cast("long").alias("total_pairs"))
-    return per_key.crossJoin(F.broadcast(total))
+    total = per_key.agg(F.sum("pairs").cast("long")).scalar()
+    return per_key.withColumn("total_pairs", total)
 
 
 # --- Salted join -------------------------------------------------------------
@@ -199,8 +199,8 @@ def hot_keys(
     ``max_hot_keys`` rows and always fits a broadcast.
 
     One aggregation over ``big`` (partial per map task, so the shuffle holds
-    one row per key and task); totals come from a one-row aggregate joined
-    back by broadcast, not from the driver.
+    one row per key and task); totals are an uncorrelated scalar subquery
+    over the per-key counts, not a value on the driver.
     """
     spark = big.sparkSession
     tasks = target_tasks or shuffle_partitions(spark)
@@ -211,12 +211,12 @@ def hot_keys(
         scoped = counts.withColumn("_limit", F.lit(max(1, int(rows_per_salt))).cast("long"))
     else:
         per_task_bytes = target_bytes or advisory_partition_bytes(spark)
-        total = counts.agg(F.sum("_rows").alias("_total_rows"), F.sum("_bytes").alias("_total_bytes"))
-        mean_task = F.ceil(F.col("_total_rows") / F.lit(tasks))
-        by_bytes = F.ceil(F.lit(per_task_bytes) * F.col("_total_rows") / F.greatest(F.col("_total_bytes"), F.lit(1)))
-        floor = F.ceil(F.col("_total_rows") / F.lit(max_hot_keys))
-        scoped = counts.crossJoin(F.broadcast(total)).withColumn(
-            "_limit", F.greatest(F.least(mean_task, by_bytes), floor, F.lit(1)))
+        total = counts.select(F.struct(F.sum("_rows").alias("rows"), F.sum("_bytes").alias("bytes"))).scalar()
+        rows, nbytes = total.getField("rows"), total.getField("bytes")
+        mean_task = F.ceil(rows / F.lit(tasks))
+        by_bytes = F.ceil(F.lit(per_task_bytes) * rows / F.greatest(nbytes, F.lit(1)))
+        floor = F.ceil(rows / F.lit(max_hot_keys))
+        scoped = counts.withColumn("_limit", F.greatest(F.least(mean_task, by_bytes), floor, F.lit(1)))
     return scoped.where(F.col("_rows") > F.col("_limit")).select(
         key,
         F.least(F.ceil(F.col("_rows") / F.col("_limit")), F.lit(cap)).cast("int").alias("_n_salts"),

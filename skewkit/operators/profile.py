@@ -14,22 +14,21 @@ def key_distribution(df: DataFrame, key: str | Column, key_alias: str = "key") -
     """Rows per key, share of all rows, and size relative to the median key.
 
     Columns: ``key_alias, n, share, ratio_to_median`` (n descending). The
-    totals come from one-row aggregates joined back by broadcast, so no
-    global window collects all keys into one task.
+    total and the median come from one uncorrelated scalar subquery over the
+    per-key counts, so no global window collects all keys into one task.
     """
     k = F.col(key) if isinstance(key, str) else key
     counts = df.groupBy(k.alias(key_alias)).agg(F.count(F.lit(1)).alias("n"))
-    stats = counts.agg(
-        F.sum("n").alias("_total"),
-        F.percentile_approx("n", 0.5, _ACCURACY).alias("_median"),
-    )
+    stats = counts.select(F.struct(
+        F.sum("n").alias("total"),
+        F.percentile_approx("n", 0.5, _ACCURACY).alias("median"),
+    )).scalar()
     return (
-        counts.crossJoin(F.broadcast(stats))
-        .select(
+        counts.select(
             key_alias,
             "n",
-            (F.col("n") / F.col("_total")).alias("share"),
-            (F.col("n") / F.col("_median")).alias("ratio_to_median"),
+            (F.col("n") / stats.getField("total")).alias("share"),
+            (F.col("n") / stats.getField("median")).alias("ratio_to_median"),
         )
         .orderBy(F.col("n").desc(), F.col(key_alias).asc())
     )
