@@ -2,8 +2,11 @@
 
 Event logging is a launch-time setting, so the log of a workload is
 recorded by a child Spark application (``python -m skewkit.plans.diagnosis
-BASE LOG_DIR WORK_DIR``) started with logging on and the UI off; the calling
-session then reads that log with the event-log tables and diagnostics. The
+BASE LOG_DIR WORK_DIR MASTER PARTITIONS``) started with logging on and the UI
+off, on the same master as the calling session (so on a cluster the
+workload runs distributed; ``local[4]`` only when the caller is local); the
+calling session then reads that log with the event-log tables and
+diagnostics. The
 workload runs the bad/fixed pairs of the reference over the given tables,
 each under its own job description:
 
@@ -27,7 +30,7 @@ from pyspark.sql import functions as F
 
 from skewkit.operators import diagnostics as dg
 from skewkit.plans import retail
-from skewkit.session import app_id, local_session, scratch_path
+from skewkit.session import app_id, local_session, master_of, scratch_path, shuffle_partitions
 from skewkit.sinks.writers import sized_write, write_parquet
 from skewkit.sources import eventlog as ev
 from skewkit.streaming import eventlog_stream as es
@@ -61,9 +64,9 @@ def run_workload(spark: SparkSession, base: str, work_dir: str) -> None:
     sc.setJobDescription(None)
 
 
-def record(base: str, log_dir: str, work_dir: str, cpus: int = 4) -> None:
+def record(base: str, log_dir: str, work_dir: str, master: str = "local[4]", partitions: int = 8) -> None:
     """Run the workload in this process with event logging into ``log_dir``."""
-    spark = local_session(cpus, shuffle_partitions=2 * cpus, app="skewkit-recorded", extra={
+    spark = local_session(4, shuffle_partitions=partitions, app="skewkit-recorded", master=master, extra={
         "spark.eventLog.enabled": "true",
         "spark.eventLog.dir": log_dir,
         "spark.sql.adaptive.coalescePartitions.enabled": "false",
@@ -87,7 +90,11 @@ def recorded_log(spark: SparkSession, base: str) -> str:
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     env = dict(os.environ)
     env["PYTHONPATH"] = root + os.pathsep + env.get("PYTHONPATH", "")
-    subprocess.run([sys.executable, "-m", "skewkit.plans.diagnosis", base, log_dir, work_dir],
+    master = master_of(spark)
+    child_master = "local[4]" if master.startswith("local") else master
+    partitions = 8 if master.startswith("local") else shuffle_partitions(spark)
+    subprocess.run([sys.executable, "-m", "skewkit.plans.diagnosis", base, log_dir, work_dir,
+                    child_master, str(partitions)],
                    check=True, timeout=WORKLOAD_TIMEOUT_S, env=env,
                    stdout=subprocess.DEVNULL, stderr=subprocess.DEVNULL)
     _RECORDED[key] = log_dir
@@ -132,4 +139,5 @@ QUERIES = {
 
 
 if __name__ == "__main__":
-    record(sys.argv[1], sys.argv[2], sys.argv[3])
+    record(sys.argv[1], sys.argv[2], sys.argv[3],
+           sys.argv[4] if len(sys.argv) > 4 else "local[4]", int(sys.argv[5]) if len(sys.argv) > 5 else 8)

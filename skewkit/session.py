@@ -103,11 +103,16 @@ def materialize(df, name: str):
     return spark.read.parquet(path)
 
 
+def master_of(spark: SparkSession) -> str:
+    sc = _context(spark)
+    return sc.master if sc is not None else (spark.conf.get("spark.master", "local[*]") or "local[*]")
+
+
 def local_session(cpus: int = 8, shuffle_partitions: int | None = None, app: str = "skewkit",
-                  extra: dict[str, str] | None = None) -> SparkSession:
-    """A local[cpus] session with AQE on and the UI off (tests, bench)."""
+                  extra: dict[str, str] | None = None, master: str | None = None) -> SparkSession:
+    """A session with AQE on and the UI off: ``local[cpus]`` (tests, bench) or ``master``."""
     b = (
-        SparkSession.builder.master(f"local[{cpus}]")
+        SparkSession.builder.master(master or f"local[{cpus}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
         .config("spark.sql.adaptive.enabled", "true")
