@@ -28,7 +28,6 @@ import sys
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from skewkit.operators import diagnostics as dg
 from skewkit.plans import retail

@@ -94,3 +94,21 @@ def test_scale_settings_and_byte_strings():
     assert parse_bytes("64MB") == 64 << 20 and parse_bytes("1g") == 1 << 30 and parse_bytes("123") == 123
     with pytest.raises(ValueError):
         parse_bytes("12 parsecs")
+
+
+def test_generators_match_declared_schemas(spark):
+    from skewkit.schema import CUSTOMERS, PRODUCTS, SALES
+
+    def shape(df):
+        return [(f.name, f.dataType) for f in df.schema.fields]
+
+    assert shape(generate_sales(spark, 10)) == shape(spark.createDataFrame([], SALES))
+    assert shape(generate_products(spark, 10)) == shape(spark.createDataFrame([], PRODUCTS))
+    assert shape(generate_customers(spark, 10)) == shape(spark.createDataFrame([], CUSTOMERS))
+
+
+def test_object_store_paths_pass_through():
+    from skewkit.sources.tables import table_path
+
+    assert table_path("s3://bucket/prefix/", "lineitem") == "s3://bucket/prefix/lineitem.parquet"
+    assert table_path(SF_SMALL, "lineitem").endswith("lineitem.parquet")
