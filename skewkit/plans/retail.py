@@ -27,7 +27,7 @@ from skewkit.operators.joins import (
     shuffle_join,
 )
 from skewkit.operators.ordering import ranked, sort_within_partitions, top_k
-from skewkit.operators.profile import hash_partition_balance, key_distribution
+from skewkit.operators.profile import hash_partition_balance, key_distribution, partition_balance
 from skewkit.operators.reuse import multi_analysis
 from skewkit.plans import star
 from skewkit.session import scratch_path
@@ -205,6 +205,11 @@ def _balance_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+def partition_balance_scan(spark: SparkSession, base: str) -> DataFrame:
+    """Rows per physical partition of the sales scan as Spark splits the files."""
+    return partition_balance(star.sales(spark, base))
+
+
 def partition_balance_skewed(spark: SparkSession, base: str) -> DataFrame:
     """Rows per partition that hash-partitioning on the skewed key would give (one gets 80 %).
 
@@ -292,6 +297,7 @@ QUERIES = {
     "table_counts": table_counts,
     "unhinted_join_agg": unhinted_join_agg,
     "null_key_left_join": null_key_left_join,
+    "partition_balance": partition_balance_scan,
     "partition_balance_skewed": partition_balance_skewed,
     "partition_balance_salted": partition_balance_salted,
     "file_census": file_census_q,
