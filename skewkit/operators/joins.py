@@ -232,9 +232,15 @@ def salted_join(
     rows_per_salt: int | None = None,
     max_salts: int | None = None,
     salt_cols: Sequence[str] | None = None,
+    broadcast_max_rows: int = BROADCAST_MAX_ROWS,
+    broadcast_max_bytes: int = BROADCAST_MAX_BYTES,
 ) -> DataFrame:
     """Equi-join on ``key`` with hot keys of ``big`` split over several tasks.
 
+    When ``small`` measures within the broadcast bound it is simply
+    broadcast: no shuffle of ``big`` at all, so nothing to salt. Salting is
+    the path beyond the bound (``broadcast_max_rows=0`` forces it):
+
     Each row of ``big`` with a hot key gets a repeatable salt in
     ``0..n_salts-1`` (a hash of its columns, so retries give the same salt);
     the ``small`` rows of that key are replicated once per salt; the join runs
@@ -252,6 +258,8 @@ def salted_join(
         raise ValueError("salted_join supports only inner and left joins")
     _check_columns(big, [key], "left")
     _check_columns(small, [key], "right")
+    if broadcast_max_rows > 0 and measure_side(small, broadcast_max_rows, broadcast_max_bytes).fits:
+        return big.join(F.broadcast(small), key, how)
     if hot is None:
         hot = materialize(hot_keys(big, key, rows_per_salt, max_salts), "hot-keys")
     hot = hot.select(key, "_n_salts")

@@ -186,10 +186,16 @@ def salted_join_q(spark: SparkSession, base: str) -> DataFrame:
 
 
 def salted_left_join_q(spark: SparkSession, base: str) -> DataFrame:
-    """Left variant: only labels with at least 100 orders are on the right."""
+    """Left variant: only labels with at least 100 orders are on the right.
+
+    Runs the salted shuffle path on purpose (``broadcast_max_rows=0``), the
+    path taken when the right side is beyond the broadcast bound, so that the
+    salting itself stays under the oracle check; ``salted_join`` shows the
+    default, which broadcasts this small side.
+    """
     fact = star.skewed_sales(spark, base).select("sale_id", "skew_key", "flag", "amount", "sale_ts")
     labels = star.order_labels(spark, base).where(F.col("n_orders") >= 100)
-    joined = salted_join(fact, labels, "skew_key", "left")
+    joined = salted_join(fact, labels, "skew_key", "left", broadcast_max_rows=0)
     return _salted_join_summary(joined)
 
 

@@ -92,7 +92,7 @@ def test_join_fanout_matches_join(spark):
 def test_salted_join_equals_plain_join(spark, how, rows_per_salt):
     f, d = _fact(spark), _dim(spark)
     plain = f.join(d, "k", how)
-    salted = salted_join(f, d, "k", how, rows_per_salt=rows_per_salt)
+    salted = salted_join(f, d, "k", how, rows_per_salt=rows_per_salt, broadcast_max_rows=0)
     assert rows(salted, ["id", "k", "v", "label"]) == rows(plain, ["id", "k", "v", "label"])
 
 
@@ -110,7 +110,7 @@ def test_salted_join_spreads_the_hot_key(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         f, d = _fact(spark), _dim(spark)
-        out = salted_join(f, d, "k", "inner", rows_per_salt=200)
+        out = salted_join(f, d, "k", "inner", rows_per_salt=200, broadcast_max_rows=0)
         per_part = out.where(F.col("k") == "A_B").groupBy(F.spark_partition_id().alias("p")).count().collect()
         plain = f.join(d.hint("merge"), "k").where(F.col("k") == "A_B")
         plain_parts = plain.groupBy(F.spark_partition_id().alias("p")).count().collect()
@@ -121,6 +121,13 @@ def test_salted_join_spreads_the_hot_key(spark):
     assert max(r["count"] for r in per_part) < 3200
 
 
+def test_salted_join_broadcasts_a_small_side(spark):
+    out = salted_join(_fact(spark), _dim(spark), "k", "left")
+    out.collect()
+    p = plan_text(out)
+    assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p
+
+
 def test_salted_join_rejects_outer(spark):
     with pytest.raises(ValueError):
         salted_join(_fact(spark), _dim(spark), "k", "full")
