@@ -10,7 +10,7 @@ many (very many map tasks) or when a partial state is large.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -74,6 +74,13 @@ def salted_aggregate(
         raise ValueError("n_salts must be >= 1")
     cols = list(salt_cols) if salt_cols else list(df.columns)
     salted = df.withColumn("_salt", salt_bucket(n_salts, *[F.col(f"`{c}`") for c in cols]))
+    partial, final = _partial_final(aggs)
+    stage1 = salted.groupBy(*keys, "_salt").agg(*partial)
+    return stage1.groupBy(*keys).agg(*final)
+
+
+def _partial_final(aggs: Sequence[Agg]) -> tuple[list[Column], list[Column]]:
+    """Mergeable partial states of ``aggs`` and the expressions that merge them."""
     partial: list[Column] = []
     final: list[Column] = []
     for i, a in enumerate(aggs):
@@ -95,8 +102,36 @@ def salted_aggregate(
             partial.append(F.sum(c).alias(p + "s"))
             partial.append(F.count(c).alias(p + "n"))
             final.append((F.sum(p + "s") / F.sum(p + "n")).cast("double").alias(a.alias))
-    stage1 = salted.groupBy(*keys, "_salt").agg(*partial)
-    return stage1.groupBy(*keys).agg(*final)
+    return partial, final
+
+
+def aggregate_before_join(
+    fact: DataFrame,
+    dim: DataFrame,
+    key: str,
+    fact_keys: Sequence[str],
+    dim_keys: Sequence[str],
+    aggs: Sequence[Agg],
+    join: Callable[[DataFrame, DataFrame, str], DataFrame] | None = None,
+) -> DataFrame:
+    """``fact ⋈ dim`` on ``key``, grouped by ``key + dim_keys + fact_keys``, aggregating first.
+
+    The fact is reduced to mergeable partial states per ``(key, fact_keys)``
+    before the join, so the join reads one row per group instead of one per
+    fact row; the partial states are merged after the join. The result equals
+    join-then-aggregate, also when ``dim`` repeats a key (each partial row
+    then joins every copy, as each fact row would). The merge needs no
+    further shuffle: its input is already hash-partitioned on a subset of
+    its group keys (by the first aggregate, or by the join's exchange).
+    ``join`` defaults to the size-checked :func:`broadcast_join`.
+    """
+    from skewkit.operators.joins import broadcast_join
+
+    join = join or broadcast_join
+    partial, final = _partial_final(aggs)
+    reduced = fact.groupBy(key, *fact_keys).agg(*partial)
+    joined = join(reduced, dim.select(key, *dim_keys), key)
+    return joined.groupBy(key, *dim_keys, *fact_keys).agg(*final)
 
 
 def label_nulls(df: DataFrame, labels: dict[str, str]) -> DataFrame:

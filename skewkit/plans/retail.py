@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from skewkit.functions.expressions import money_sum, money_sum_sql, null_region_sql, salt_bucket, skew_key_sql
 from skewkit.operators.aggregates import (
     Agg,
+    aggregate_before_join,
     count_by,
     group_aggregate,
     grouping_set_summaries,
@@ -61,9 +62,13 @@ def scan_sales(spark: SparkSession, base: str) -> DataFrame:
 # --- B6 flagship, B5 / B4 joins ---------------------------------------------
 
 def sales_summary(spark: SparkSession, base: str) -> DataFrame:
-    """Per (product, category, flag): exact total, number of sales, mean quantity."""
-    joined = broadcast_join(star.sales(spark, base), star.products(spark, base), "product_id")
-    return group_aggregate(joined, ["product_id", "category", "flag"], SUMMARY_AGGS)
+    """Per (product, category, flag): exact total, number of sales, mean quantity.
+
+    Sales are reduced per (product, flag) before the size-checked broadcast
+    join with products, then merged per (product, category, flag).
+    """
+    return aggregate_before_join(star.sales(spark, base), star.products(spark, base), "product_id",
+                                 ["flag"], ["category"], SUMMARY_AGGS)
 
 
 def _category_totals(joined: DataFrame) -> DataFrame:
@@ -114,8 +119,8 @@ def category_ranked(spark: SparkSession, base: str) -> DataFrame:
 
 
 def top_products(spark: SparkSession, base: str) -> DataFrame:
-    joined = broadcast_join(star.sales(spark, base), star.products(spark, base), "product_id")
-    totals = joined.groupBy("product_id", "product_name").agg(money_sum("amount").alias("total_amount"))
+    totals = aggregate_before_join(star.sales(spark, base), star.products(spark, base), "product_id",
+                                   [], ["product_name"], (Agg("money", "amount", "total_amount"),))
     return top_k(totals, TOP_K, ["total_amount"], ["product_id"])
 
 

@@ -100,3 +100,21 @@ def test_salted_aggregate_property(spark, data, n_salts):
     aggs = AGGS[:-1]  # avg compared separately above (floating point)
     cols = ["k"] + [a.alias for a in aggs]
     assert rows(salted_aggregate(df, ["k"], aggs, n_salts=n_salts), cols) == rows(group_aggregate(df, ["k"], aggs), cols)
+
+
+@pytest.mark.parametrize("duplicate_dim_key", [False, True])
+def test_aggregate_before_join_equals_join_then_aggregate(spark, duplicate_dim_key):
+    from skewkit.operators.aggregates import aggregate_before_join
+    from skewkit.operators.joins import shuffle_join
+
+    fact = _df(spark).withColumn("p", F.col("id") % 17).withColumn("flag", F.col("id") % 3)
+    dims = [(i, f"cat{i % 4}") for i in range(15)]  # keys 15, 16 have no dimension row
+    if duplicate_dim_key:
+        dims += [(1, "cat1"), (2, "other")]  # same category twice, and a second category
+    dim = spark.createDataFrame(dims, "p long, category string")
+    aggs = AGGS[:-1]
+    want = group_aggregate(fact.join(dim, "p"), ["p", "category", "flag"], aggs)
+    cols = ["p", "category", "flag"] + [a.alias for a in aggs]
+    for join in (None, shuffle_join):
+        got = aggregate_before_join(fact, dim, "p", ["flag"], ["category"], aggs, join)
+        assert rows(got, cols) == rows(want, cols)
