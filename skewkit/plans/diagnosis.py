@@ -37,6 +37,9 @@ from skewkit.sources import eventlog as ev
 from skewkit.streaming import eventlog_stream as es
 
 WORKLOAD_TIMEOUT_S = 1800
+# Part of the recorded-log cache key: a change of workload or log format
+# must not reuse an older recording.
+_LOG_FORMAT = "workload-v2-plain-json"
 _RECORDED: dict[tuple[str, str], str] = {}
 
 
@@ -70,6 +73,8 @@ def record(base: str, log_dir: str, work_dir: str, master: str = "local[4]", par
     spark = local_session(4, shuffle_partitions=partitions, app="skewkit-recorded", master=master, extra={
         "spark.eventLog.enabled": "true",
         "spark.eventLog.dir": log_dir,
+        # plain JSON lines: the JVM JSON reader splits them, no decoding step
+        "spark.eventLog.compress": "false",
         "spark.sql.adaptive.coalescePartitions.enabled": "false",
     })
     try:
@@ -96,7 +101,8 @@ def _inputs_fingerprint(base: str) -> str | None:
         for f in sorted(files):
             st = os.stat(os.path.join(root, f))
             entries.append(f"{os.path.relpath(os.path.join(root, f), local)}:{st.st_size}:{st.st_mtime_ns}")
-    return hashlib.sha256((os.path.abspath(local) + "|" + "|".join(sorted(entries))).encode()).hexdigest()[:16]
+    key = "|".join([_LOG_FORMAT, os.path.abspath(local)] + sorted(entries))
+    return hashlib.sha256(key.encode()).hexdigest()[:16]
 
 
 def recorded_log(spark: SparkSession, base: str) -> str:

@@ -12,6 +12,7 @@ distributed scan without a join to the start events.
 
 from __future__ import annotations
 
+import os
 import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -123,6 +124,33 @@ def decode_log_files(files: DataFrame) -> DataFrame:
     return files.select("path", "content").mapInPandas(_decode_log_files, "path string, line string")
 
 
+def _local_root(path: str) -> str | None:
+    for prefix in ("file://", "file:"):
+        if path.startswith(prefix):
+            return path[len(prefix):]
+    return None if "://" in path else path
+
+
+def _list_log_files(spark: SparkSession, roots: list[str]) -> list[str]:
+    """Non-empty, non-hidden files under ``roots``.
+
+    Local folders are walked on the driver (instant); any other file system
+    is listed by Spark itself through the ``binaryFile`` source with the
+    content column pruned.
+    """
+    local = [_local_root(r) for r in roots]
+    if all(r is not None for r in local):
+        out = []
+        for r in local:
+            for d, _, files in os.walk(r):
+                out += [os.path.join(d, f) for f in sorted(files)
+                        if not f.startswith((".", "_")) and os.path.getsize(os.path.join(d, f)) > 0]
+        return out
+    listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(roots)
+               .select("path", "length").where(F.col("length") > 0))
+    return [r["path"] for r in listing.select("path").collect()]
+
+
 def read_events(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """All events under ``path`` with ``app_id`` (from the file path) added.
 
@@ -133,9 +161,7 @@ def read_events(spark: SparkSession, path: str | list[str]) -> DataFrame:
     at ``spark.eventLog.rolling.maxFileSize``, which bounds a task's input.
     """
     roots = [path] if isinstance(path, str) else list(path)
-    listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(roots)
-               .select("path", "length").where(F.col("length") > 0))
-    paths = [r["path"] for r in listing.select("path").collect()]
+    paths = _list_log_files(spark, roots)
     plain = [p for p in paths if not re.search(_COMPRESSED, p)]
     packed = [p for p in paths if re.search(_COMPRESSED, p)]
     parts = []
