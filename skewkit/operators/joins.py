@@ -56,6 +56,32 @@ def measure_side(
     return SideSize(int(row["n"]), int(row["b"]), max_rows, max_bytes)
 
 
+# The three-tier broadcast rule (always below 10 MB, worth
+# considering below 200 MB, otherwise left to the planner and AQE).
+BROADCAST_ALWAYS_BYTES = 10 * 1024 * 1024
+BROADCAST_CONSIDER_BYTES = 200 * 1024 * 1024
+
+
+def join_strategy(
+    small: DataFrame,
+    always_bytes: int = BROADCAST_ALWAYS_BYTES,
+    consider_bytes: int = BROADCAST_CONSIDER_BYTES,
+    max_rows: int = BROADCAST_MAX_ROWS,
+) -> tuple[str, SideSize]:
+    """``"broadcast"``, ``"consider"`` or ``"planner"`` for ``small`` from its measured size.
+
+    ``consider`` means a broadcast is safe for memory but should be weighed
+    against the executors' memory and the number of joins sharing it; pass
+    such a side to :func:`broadcast_join` with ``max_bytes`` raised on purpose.
+    """
+    size = measure_side(small, max_rows, consider_bytes)
+    if size.rows <= max_rows and size.bytes <= always_bytes:
+        return "broadcast", size
+    if size.fits:
+        return "consider", size
+    return "planner", size
+
+
 def _check_columns(df: DataFrame, cols: Sequence[str], side: str) -> None:
     missing = [c for c in cols if c not in df.columns]
     if missing:

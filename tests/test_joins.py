@@ -131,3 +131,13 @@ def test_salted_join_broadcasts_a_small_side(spark):
 def test_salted_join_rejects_outer(spark):
     with pytest.raises(ValueError):
         salted_join(_fact(spark), _dim(spark), "k", "full")
+
+
+def test_join_strategy_tiers(spark):
+    from skewkit.operators.joins import join_strategy
+
+    small = spark.range(100)
+    assert join_strategy(small)[0] == "broadcast"
+    assert join_strategy(small, always_bytes=100, consider_bytes=10_000)[0] == "consider"
+    assert join_strategy(small, always_bytes=10, consider_bytes=100)[0] == "planner"
+    assert join_strategy(small)[1].bytes == 800
