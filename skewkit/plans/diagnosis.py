@@ -155,8 +155,22 @@ def recorded_log(spark: SparkSession, base: str) -> str:
     return log_dir
 
 
+_INGESTED: dict[str, str] = {}
+
+
 def tables(spark: SparkSession, base: str) -> dict[str, DataFrame]:
-    return ev.read_event_tables(spark, recorded_log(spark, base))
+    """Event tables of the recorded workload, from its log ingested once as Parquet."""
+    log = recorded_log(spark, base)
+    if log not in _INGESTED:
+        local = _local(log)
+        marker = os.path.join(local + ".events", "_SUCCESS") if local is not None else None
+        if marker is not None and os.path.exists(marker):
+            _INGESTED[log] = local + ".events"
+        else:
+            out = (local + ".events") if local is not None else scratch_path(spark, "eventlog-events")
+            ev.ingest_events(spark, log, out)
+            _INGESTED[log] = out
+    return ev.event_tables(spark.read.parquet(_INGESTED[log]))
 
 
 def stream_windows(spark: SparkSession, base: str) -> DataFrame:

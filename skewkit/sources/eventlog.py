@@ -278,8 +278,22 @@ def applications(events: DataFrame) -> DataFrame:
     return out.withColumn("duration_ms", F.col("end_time") - F.col("start_time"))
 
 
+def event_tables(events: DataFrame) -> dict[str, DataFrame]:
+    """The five tables from one events DataFrame (raw or ingested)."""
+    return {"tasks": tasks(events), "stages": stages(events), "jobs": jobs(events),
+            "executors": executors(events), "applications": applications(events)}
+
+
 def read_event_tables(spark: SparkSession, path: str | list[str]) -> dict[str, DataFrame]:
-    """The five tables from one read of the logs."""
-    ev = read_events(spark, path)
-    return {"tasks": tasks(ev), "stages": stages(ev), "jobs": jobs(ev), "executors": executors(ev),
-            "applications": applications(ev)}
+    """The five tables straight from the logs."""
+    return event_tables(read_events(spark, path))
+
+
+def ingest_events(spark: SparkSession, path: str | list[str], out_path: str) -> DataFrame:
+    """Parse the logs once and keep the typed events as a Parquet table.
+
+    One pass over the JSON; later diagnostics read the columnar table, where
+    Spark prunes nested columns to the fields each query uses.
+    """
+    read_events(spark, path).write.mode("overwrite").parquet(out_path)
+    return spark.read.parquet(out_path)
