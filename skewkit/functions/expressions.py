@@ -129,7 +129,11 @@ def field_bytes(field: T.StructField) -> Column:
     for t, w in _FIXED_WIDTH.items():
         if isinstance(dt, t):
             return F.lit(w)
-    # Nested values: their JSON text length is a fair upper estimate.
+    if isinstance(dt, T.ArrayType):
+        for t, w in _FIXED_WIDTH.items():
+            if isinstance(dt.elementType, t):
+                return F.greatest(F.coalesce(F.size(c), F.lit(0)), F.lit(0)) * F.lit(w) + F.lit(16)
+    # Other nested values: their JSON text length is a fair upper estimate.
     return F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0))
 
 

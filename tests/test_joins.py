@@ -141,3 +141,8 @@ def test_join_strategy_tiers(spark):
     assert join_strategy(small, always_bytes=100, consider_bytes=10_000)[0] == "consider"
     assert join_strategy(small, always_bytes=10, consider_bytes=100)[0] == "planner"
     assert join_strategy(small)[1].bytes == 800
+
+
+def test_measure_side_arrays(spark):
+    df = spark.createDataFrame([([1.0, 2.0, 3.0],), ([],), (None,)], "v array<float>")
+    assert measure_side(df).bytes == (3 * 4 + 16) + 16 + 16
