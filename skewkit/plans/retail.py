@@ -278,8 +278,12 @@ MULTI_COLUMNS = {
 
 
 def multi_analysis_q(spark: SparkSession, base: str) -> DataFrame:
-    """One persisted join, three analyses: by category, by date, by product and name."""
-    joined = broadcast_join(star.sales(spark, base), star.products(spark, base), "product_id")
+    """One persisted join, three analyses: by category, by date, by product and name.
+
+    Only the columns the analyses read are cached.
+    """
+    joined = broadcast_join(star.sales(spark, base), star.products(spark, base), "product_id").select(
+        "sale_id", "product_id", "amount", "sale_ts", "product_name", "category")
     analyses = [
         ("by_category", lambda d: d.groupBy("category").agg(money_sum("amount").alias("total_amount"),
                                                             F.count("sale_id").alias("n_sales"))),
