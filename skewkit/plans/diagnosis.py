@@ -177,7 +177,9 @@ def stream_windows(spark: SparkSession, base: str) -> DataFrame:
     """Per-minute task load of the recorded log, ingested with Structured Streaming."""
     log = recorded_log(spark, base)
     out, ck = scratch_path(spark, "eventlog-windows"), scratch_path(spark, "eventlog-windows-ckpt")
-    es.ingest_available(spark, log, out, ck, window="1 minute", watermark="10 minutes", mode="update")
+    # the recorded log is plain JSON lines by construction (spark.eventLog.compress=false)
+    es.ingest_available(spark, log, out, ck, window="1 minute", watermark="10 minutes", mode="update",
+                        compressed=False)
     return es.latest_windows(spark, out)
 
 

@@ -23,14 +23,25 @@ from skewkit.sources import eventlog as ev
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
 
-def event_stream(spark: SparkSession, log_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+def event_stream(spark: SparkSession, log_dir: str, max_files_per_trigger: int | None = None,
+                 compressed: bool = True) -> DataFrame:
     """Streaming events of every log under ``log_dir`` (single files and rolled folders).
 
-    Files arrive through the ``binaryFile`` stream source (one file per row,
-    plain or zstd) and are decoded by the same line decoder and schema as
-    the batch reader, so compressed logs, which a text reader cannot split,
-    are read whole by one task each.
+    ``compressed=True`` (any log, plain or zstd): files arrive through the
+    ``binaryFile`` stream source, one file per row, and are decoded by the
+    same line decoder and schema as the batch reader, so compressed logs,
+    which a text reader cannot split, are read whole by one task each.
+    ``compressed=False`` (folders of plain JSON-lines logs, e.g. written with
+    ``spark.eventLog.compress=false``): the JSON stream source parses them
+    in the JVM with the explicit schema.
     """
+    if not compressed:
+        reader = spark.readStream.schema(ev.EVENT_SCHEMA).option("recursiveFileLookup", "true")
+        if max_files_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+        raw = reader.json(log_dir)
+        return raw.where(F.col("Event").isNotNull()).withColumn(
+            "app_id", ev._app_from_path(F.col("_metadata.file_path")))
     reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
               .option("recursiveFileLookup", "true").option("pathGlobFilter", "[!.]*"))
     if max_files_per_trigger:
@@ -39,9 +50,10 @@ def event_stream(spark: SparkSession, log_dir: str, max_files_per_trigger: int |
     return ev.parse_log_lines(ev.decode_log_files(files))
 
 
-def task_stream(spark: SparkSession, log_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+def task_stream(spark: SparkSession, log_dir: str, max_files_per_trigger: int | None = None,
+                compressed: bool = True) -> DataFrame:
     """Streaming task table, with ``finished_at`` as an event-time timestamp."""
-    return ev.tasks(event_stream(spark, log_dir, max_files_per_trigger)).withColumn(
+    return ev.tasks(event_stream(spark, log_dir, max_files_per_trigger, compressed)).withColumn(
         "finished_at", F.timestamp_millis("finish_time"))
 
 
@@ -68,7 +80,8 @@ def windowed_task_load(tasks: DataFrame, window: str = "1 minute", watermark: st
 
 
 def ingest_available(spark: SparkSession, log_dir: str, out_dir: str, checkpoint: str,
-                     window: str = "1 minute", watermark: str = "10 minutes", mode: str = "update") -> None:
+                     window: str = "1 minute", watermark: str = "10 minutes", mode: str = "update",
+                     compressed: bool = True) -> None:
     """Process every log file present now into Parquet, then stop.
 
     ``availableNow`` runs the stream to the end of the current input in
@@ -83,7 +96,7 @@ def ingest_available(spark: SparkSession, log_dir: str, out_dir: str, checkpoint
       newest version of each window. A retried batch rewrites identical
       rows under the same id, so the log stays correct under retries.
     """
-    agg = windowed_task_load(task_stream(spark, log_dir), window, watermark)
+    agg = windowed_task_load(task_stream(spark, log_dir, compressed=compressed), window, watermark)
     if mode == "append":
         w = (agg.writeStream.format("parquet").outputMode("append")
              .option("path", out_dir))

@@ -148,6 +148,9 @@ def test_stream_windows_match_batch(spark):
     ingest_available(spark, log, out, ck, mode="update")  # re-run: nothing new, nothing doubled
     win = latest_windows(spark, out)
     assert win.agg(F.sum("tasks")).first()[0] == batch.count()
+    out2, ck2 = scratch_path(spark, "t-out2"), scratch_path(spark, "t-ck2")
+    ingest_available(spark, log, out2, ck2, mode="update", compressed=False)  # JVM JSON source
+    assert latest_windows(spark, out2).agg(F.sum("tasks")).first()[0] == batch.count()
     assert win.agg(F.sum("shuffle_write_bytes")).first()[0] == batch.agg(F.sum("shuffle_write_bytes")).first()[0]
 
 
