@@ -231,7 +231,9 @@ def hot_keys(
     spark = big.sparkSession
     tasks = target_tasks or shuffle_partitions(spark)
     cap = max_salts or tasks
-    counts = (big.where(F.col(key).isNotNull()).groupBy(key)
+    # NULL is counted as a group too: NULL keys never match, but a left join
+    # still shuffles them, and all of them hash to the same partition.
+    counts = (big.groupBy(key)
               .agg(F.count(F.lit(1)).alias("_rows"), F.sum(row_bytes(big.schema)).alias("_bytes")))
     if rows_per_salt is not None:
         scoped = counts.withColumn("_limit", F.lit(max(1, int(rows_per_salt))).cast("long"))
@@ -273,7 +275,10 @@ def salted_join(
     on ``(key, salt)``. Other keys use salt 0 and are not replicated. Salt is
     its own column, never glued into the key. Only ``inner`` and ``left`` (with
     ``big`` on the left) are offered: under right/full outer the replicated
-    copies would each emit an unmatched row.
+    copies would each emit an unmatched row. NULL keys of ``big`` count as a
+    group of their own: under a left join they are spread by salt like a hot
+    key instead of all landing in one partition (they match nothing either
+    way).
 
     ``hot`` (columns ``key, _n_salts``) may be passed in, e.g. from a profile;
     by default it is computed from ``big`` (see :func:`hot_keys`) and written
@@ -288,17 +293,22 @@ def salted_join(
         return big.join(F.broadcast(small), key, how)
     if hot is None:
         hot = materialize(hot_keys(big, key, rows_per_salt, max_salts), "hot-keys")
-    hot = hot.select(key, "_n_salts")
+    hot = hot.select(F.col(key).alias("_hot_key"), "_n_salts")
     hot_b = F.broadcast(hot) if measure_side(hot).fits else hot
     cols = list(salt_cols) if salt_cols else [c for c in big.columns]
     n = F.coalesce(F.col("_n_salts"), F.lit(1))
+
+    def with_salt_count(df: DataFrame) -> DataFrame:
+        # null-safe, so a hot NULL group gets its salt count as well
+        return df.join(hot_b, F.col(key).eqNullSafe(F.col("_hot_key")), "left").drop("_hot_key")
+
     big_s = (
-        big.join(hot_b, key, "left")
+        with_salt_count(big)
         .withColumn("_salt", salt_bucket(n, *[F.col(f"`{c}`") for c in cols]))
         .drop("_n_salts")
     )
     small_s = (
-        small.join(hot_b, key, "left")
+        with_salt_count(small.where(F.col(key).isNotNull()))  # NULL keys match nothing
         .withColumn("_salt", F.explode(F.sequence(F.lit(0), n - F.lit(1))))
         .drop("_n_salts")
     )

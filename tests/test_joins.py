@@ -146,3 +146,20 @@ def test_join_strategy_tiers(spark):
 def test_measure_side_arrays(spark):
     df = spark.createDataFrame([([1.0, 2.0, 3.0],), ([],), (None,)], "v array<float>")
     assert measure_side(df).bytes == (3 * 4 + 16) + 16 + 16
+
+
+def test_salted_left_join_spreads_null_keys(spark):
+    prev = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        data = [(i, None if i % 3 == 0 else f"k{i % 50}", 1.0) for i in range(3000)]  # a third NULL
+        f = spark.createDataFrame(data, "id long, k string, v double")
+        d = spark.createDataFrame([(f"k{i}", i) for i in range(50)] + [(None, -1)], "k string, label long")
+        out = salted_join(f, d, "k", "left", rows_per_salt=100, broadcast_max_rows=0)
+        nulls = out.where(F.col("k").isNull())
+        parts = nulls.groupBy(F.spark_partition_id().alias("p")).count().collect()
+        assert nulls.count() == 1000 and nulls.where(F.col("label").isNotNull()).count() == 0
+        assert len(parts) > 1 and max(r["count"] for r in parts) < 1000
+        assert rows(out, ["id", "k", "v", "label"]) == rows(f.join(d, "k", "left"), ["id", "k", "v", "label"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", prev)
