@@ -56,6 +56,7 @@ def sized_write(
     mode: str = "overwrite",
     cluster_by: Sequence[str] = (),
     max_files: int = 10_000,
+    files: int | None = None,
 ) -> WritePlan | None:
     """Write ``df`` as files of about a target size instead of one per shuffle partition.
 
@@ -71,7 +72,18 @@ def sized_write(
     ``df``) or range-partition on ``cluster_by``; ``maxRecordsPerFile`` caps
     every file even when the estimate was low. This computes ``df`` twice;
     use it for small or cheap inputs.
+
+    With ``files``: exactly that many write tasks (one file each, none
+    empty unless there are fewer rows), by a balanced ``repartition(files)``
+    or a range partitioning on ``cluster_by``; one pass, no measuring.
     """
+    if files is not None:
+        if files < 1:
+            raise ValueError("files must be >= 1")
+        out = (df.repartitionByRange(files, *cluster_by).sortWithinPartitions(*cluster_by) if cluster_by
+               else df.repartition(files))
+        out.write.mode(mode).parquet(path)
+        return None
     if target_file_bytes is None:
         out = df.hint("rebalance", *cluster_by)
         if cluster_by:

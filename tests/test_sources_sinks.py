@@ -112,3 +112,11 @@ def test_object_store_paths_pass_through():
 
     assert table_path("s3://bucket/prefix/", "lineitem") == "s3://bucket/prefix/lineitem.parquet"
     assert table_path(SF_SMALL, "lineitem").endswith("lineitem.parquet")
+
+
+def test_sized_write_exact_file_count(spark):
+    d = tempfile.mkdtemp(prefix="skewkit-test-")
+    df = spark.range(0, 30_000, 1, 64)
+    sized_write(df, os.path.join(d, "f"), files=12)
+    assert file_census(spark, d).first()["files"] == 12
+    assert spark.read.parquet(os.path.join(d, "f")).count() == 30_000
