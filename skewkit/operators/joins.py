@@ -201,6 +201,7 @@ def join_fanout(
 # Upper bound on the rows of a hot-key table (key + salt count each).
 MAX_HOT_KEYS = 100_000
 
+
 def hot_keys(
     big: DataFrame,
     key: str,
