@@ -62,23 +62,54 @@ def salted_aggregate(
     aggs: Sequence[Agg],
     n_salts: int = 16,
     salt_cols: Sequence[str] | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Same rows as :func:`group_aggregate`, computed in two grouped stages.
 
     Stage 1 groups by ``keys + salt`` (salt = repeatable hash of the row in
-    ``0..n_salts-1``, kept in its own column so keys are never rewritten);
-    stage 2 merges the partials by ``keys``. Only mergeable aggregates are
-    accepted; avg is carried as sum and count.
+    ``0..n-1``, kept in its own column so keys are never rewritten); stage 2
+    merges the partials by ``keys``. Only mergeable aggregates are accepted;
+    avg is carried as sum and count.
+
+    Without ``hot`` every group is split ``n_salts`` ways. With ``hot``
+    (``keys`` + ``_n_salts``, e.g. from :func:`hot_groups`; small by
+    construction and broadcast) only those groups are split, each by its own
+    count, and every other group keeps a single partial row, so stage 1 does
+    not multiply the rows of a high-cardinality key.
     """
     if n_salts < 1:
         raise ValueError("n_salts must be >= 1")
     cols = list(salt_cols) if salt_cols else list(df.columns)
-    salted = df.withColumn("_salt", salt_bucket(n_salts, *[F.col(f"`{c}`") for c in cols]))
+    if hot is None:
+        n: Column = F.lit(n_salts)
+        src = df
+    else:
+        h = hot.select(*[F.col(k).alias(f"_hot_{i}") for i, k in enumerate(keys)], "_n_salts")
+        cond = [F.col(k).eqNullSafe(F.col(f"_hot_{i}")) for i, k in enumerate(keys)]
+        src = df.join(F.broadcast(h), cond, "left").drop(*[f"_hot_{i}" for i in range(len(keys))])
+        n = F.coalesce(F.col("_n_salts"), F.lit(1))
+    salted = src.withColumn("_salt", salt_bucket(n, *[F.col(f"`{c}`") for c in cols]))
+    if hot is not None:
+        salted = salted.drop("_n_salts")
     partial, final = _partial_final(aggs)
     stage1 = salted.groupBy(*keys, "_salt").agg(*partial)
     return stage1.groupBy(*keys).agg(*final)
 
 
+def hot_groups(df: DataFrame, keys: Sequence[str], rows_per_salt: int, max_hot: int = 100_000) -> DataFrame:
+    """Groups of ``df`` larger than ``rows_per_salt`` rows: ``keys + _n_salts``.
+
+    One partial aggregation. ``rows_per_salt`` is raised to at least
+    ``|df| / max_hot`` (a scalar subquery), so at most ``max_hot`` groups are
+    returned and the table can be broadcast.
+    """
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    total = counts.agg(F.sum("_rows")).scalar()
+    limit = F.greatest(F.lit(int(rows_per_salt)), F.ceil(total / F.lit(max_hot)), F.lit(1))
+    return counts.where(F.col("_rows") > limit).select(
+        *keys, F.ceil(F.col("_rows") / limit).cast("int").alias("_n_salts"))
+
+
 def _partial_final(aggs: Sequence[Agg]) -> tuple[list[Column], list[Column]]:
     """Mergeable partial states of ``aggs`` and the expressions that merge them."""
     partial: list[Column] = []

@@ -118,3 +118,15 @@ def test_aggregate_before_join_equals_join_then_aggregate(spark, duplicate_dim_k
     for join in (None, shuffle_join):
         got = aggregate_before_join(fact, dim, "p", ["flag"], ["category"], aggs, join)
         assert rows(got, cols) == rows(want, cols)
+
+
+def test_salted_aggregate_hot_groups_only(spark):
+    from skewkit.operators.aggregates import hot_groups
+
+    df = _df(spark)
+    hot = hot_groups(df, ["k"], rows_per_salt=400)
+    got_hot = {r["k"]: r["_n_salts"] for r in hot.collect()}
+    assert set(got_hot) == {"PROMO_ESPECIAL"} and got_hot["PROMO_ESPECIAL"] == 6  # 2400 rows / 400
+    aggs = AGGS[:-1]
+    cols = ["k"] + [a.alias for a in aggs]
+    assert rows(salted_aggregate(df, ["k"], aggs, hot=hot), cols) == rows(group_aggregate(df, ["k"], aggs), cols)
