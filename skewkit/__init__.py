@@ -12,8 +12,9 @@ Sub-packages:
                   left outer, guarded cross), aggregates (plain, salted
                   two-stage), ordering, profiles, cached reuse, event-log
                   diagnostics.
-* ``plans``     – the retail star mapped onto the driver tables and the
-                  composed queries registered in ``__spark_entry__``.
+* ``plans``     – the retail star mapped onto the driver tables, the
+                  composed queries registered in ``__spark_entry__``, the
+                  reference's retail job end to end, and data-sized settings.
 * ``streaming`` – incremental ingestion of event logs as they are written.
 """
 
