@@ -180,7 +180,7 @@ def stream_windows(spark: SparkSession, base: str) -> DataFrame:
     # the recorded log is plain JSON lines by construction (spark.eventLog.compress=false)
     es.ingest_available(spark, log, out, ck, window="1 minute", watermark="10 minutes", mode="update",
                         compressed=False)
-    return es.latest_windows(spark, out)
+    return es.merged_windows(spark, out)
 
 
 def _q(fn):

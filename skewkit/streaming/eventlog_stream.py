@@ -57,26 +57,33 @@ def task_stream(spark: SparkSession, log_dir: str, max_files_per_trigger: int |
         "finished_at", F.timestamp_millis("finish_time"))
 
 
+# (column, merge function) of the per-window metrics; all of them merge exactly
+_WINDOW_METRICS = (
+    ("tasks", "sum"), ("failed_tasks", "sum"), ("run_time_ms", "sum"), ("gc_time_ms", "sum"),
+    ("shuffle_read_bytes", "sum"), ("shuffle_write_bytes", "sum"), ("memory_spilled", "sum"),
+    ("disk_spilled", "sum"), ("max_task_ms", "max"),
+)
+
+
+def _window_load(tasks: DataFrame, window: str) -> DataFrame:
+    grouped = tasks.groupBy("app_id", F.window("finished_at", window).alias("window"))
+    return grouped.agg(
+        F.count(F.lit(1)).alias("tasks"),
+        F.sum(F.col("failed").cast("int")).cast("long").alias("failed_tasks"),
+        F.sum("run_time_ms").alias("run_time_ms"),
+        F.sum("gc_time_ms").alias("gc_time_ms"),
+        F.sum("shuffle_read_bytes").alias("shuffle_read_bytes"),
+        F.sum("shuffle_write_bytes").alias("shuffle_write_bytes"),
+        F.sum("memory_spilled").alias("memory_spilled"),
+        F.sum("disk_spilled").alias("disk_spilled"),
+        F.max("duration_ms").alias("max_task_ms"),
+    ).select("app_id", F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
+             *[m for m, _ in _WINDOW_METRICS])
+
+
 def windowed_task_load(tasks: DataFrame, window: str = "1 minute", watermark: str = "10 minutes") -> DataFrame:
-    """Per application and time window: tasks, failures, run time, shuffle, spill, GC."""
-    return (
-        tasks.withWatermark("finished_at", watermark)
-        .groupBy("app_id", F.window("finished_at", window).alias("window"))
-        .agg(
-            F.count(F.lit(1)).alias("tasks"),
-            F.sum(F.col("failed").cast("int")).cast("long").alias("failed_tasks"),
-            F.sum("run_time_ms").alias("run_time_ms"),
-            F.sum("gc_time_ms").alias("gc_time_ms"),
-            F.sum("shuffle_read_bytes").alias("shuffle_read_bytes"),
-            F.sum("shuffle_write_bytes").alias("shuffle_write_bytes"),
-            F.sum("memory_spilled").alias("memory_spilled"),
-            F.sum("disk_spilled").alias("disk_spilled"),
-            F.max("duration_ms").alias("max_task_ms"),
-        )
-        .select("app_id", F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
-                "tasks", "failed_tasks", "run_time_ms", "gc_time_ms", "shuffle_read_bytes", "shuffle_write_bytes",
-                "memory_spilled", "disk_spilled", "max_task_ms")
-    )
+    """Per application and time window: tasks, failures, run time, shuffle, spill, GC (stateful, watermarked)."""
+    return _window_load(tasks.withWatermark("finished_at", watermark), window)
 
 
 def ingest_available(spark: SparkSession, log_dir: str, out_dir: str, checkpoint: str,
@@ -86,35 +93,37 @@ def ingest_available(spark: SparkSession, log_dir: str, out_dir: str, checkpoint
 
     ``availableNow`` runs the stream to the end of the current input in
     bounded batches; the checkpoint folder (on shared storage) records which
-    files and windows are done, so a re-run only adds new ones and a lost
-    executor or driver restarts from the last committed batch.
-
-    * ``mode="append"``: a window is written once, after the watermark has
-      passed its end (windows still open stay in state).
-    * ``mode="update"``: every batch appends the windows it changed, tagged
-      with its batch id, to a change log; :func:`latest_windows` reads the
-      newest version of each window. A retried batch rewrites identical
-      rows under the same id, so the log stays correct under retries.
+    files are done, so a re-run only adds new ones and a lost executor or
+    driver restarts from the last committed batch.
+
+    * ``mode="append"``: stateful windowed aggregation with a watermark; a
+      window is written once, after the watermark has passed its end
+      (windows still open stay in the state store).
+    * ``mode="update"``: stateless. Each micro-batch aggregates its own new
+      tasks per window as an ordinary batch job (AQE sizes it; no state store
+      whose partition count is fixed at the first run) and overwrites its own
+      ``batch_id=N`` folder, so a retried batch replaces its output instead
+      of adding to it. :func:`merged_windows` merges the partials per window
+      (all metrics are sums or maxima).
     """
-    agg = windowed_task_load(task_stream(spark, log_dir, compressed=compressed), window, watermark)
+    tasks = task_stream(spark, log_dir, compressed=compressed)
     if mode == "append":
-        w = (agg.writeStream.format("parquet").outputMode("append")
-             .option("path", out_dir))
+        w = (windowed_task_load(tasks, window, watermark).writeStream.format("parquet")
+             .outputMode("append").option("path", out_dir))
     elif mode == "update":
         def write_batch(batch: DataFrame, batch_id: int) -> None:
-            batch.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("append").parquet(out_dir)
+            _window_load(batch, window).write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
 
-        w = agg.writeStream.outputMode("update").foreachBatch(write_batch)
+        w = tasks.writeStream.foreachBatch(write_batch)
     else:
         raise ValueError("mode must be 'append' or 'update'")
     q = w.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
 
 
-def latest_windows(spark: SparkSession, out_dir: str) -> DataFrame:
-    """Newest version of every (application, window) from an update-mode change log."""
-    log = spark.read.parquet(out_dir)
-    values = [c for c in log.columns if c not in ("app_id", "window_start", "batch_id")]
-    latest = log.groupBy("app_id", "window_start").agg(
-        F.max_by(F.struct(*values), "batch_id").alias("v"))
-    return latest.select("app_id", "window_start", *[F.col(f"v.{c}").alias(c) for c in values])
+def merged_windows(spark: SparkSession, out_dir: str) -> DataFrame:
+    """Every (application, window) of an update-mode output, its batch partials merged."""
+    parts = spark.read.parquet(out_dir)
+    merge = {"sum": F.sum, "max": F.max}
+    return parts.groupBy("app_id", "window_start", "window_end").agg(
+        *[merge[f](m).alias(m) for m, f in _WINDOW_METRICS])
