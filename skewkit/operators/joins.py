@@ -236,16 +236,17 @@ def hot_keys(
     # still shuffles them, and all of them hash to the same partition.
     counts = (big.groupBy(key)
               .agg(F.count(F.lit(1)).alias("_rows"), F.sum(row_bytes(big.schema)).alias("_bytes")))
+    total = counts.select(F.struct(F.sum("_rows").alias("rows"), F.sum("_bytes").alias("bytes"))).scalar()
+    rows, nbytes = total.getField("rows"), total.getField("bytes")
+    floor = F.ceil(rows / F.lit(max_hot_keys))
     if rows_per_salt is not None:
-        scoped = counts.withColumn("_limit", F.lit(max(1, int(rows_per_salt))).cast("long"))
+        wanted = F.lit(max(1, int(rows_per_salt)))
     else:
         per_task_bytes = target_bytes or advisory_partition_bytes(spark)
-        total = counts.select(F.struct(F.sum("_rows").alias("rows"), F.sum("_bytes").alias("bytes"))).scalar()
-        rows, nbytes = total.getField("rows"), total.getField("bytes")
         mean_task = F.ceil(rows / F.lit(tasks))
         by_bytes = F.ceil(F.lit(per_task_bytes) * rows / F.greatest(nbytes, F.lit(1)))
-        floor = F.ceil(rows / F.lit(max_hot_keys))
-        scoped = counts.withColumn("_limit", F.greatest(F.least(mean_task, by_bytes), floor, F.lit(1)))
+        wanted = F.least(mean_task, by_bytes)
+    scoped = counts.withColumn("_limit", F.greatest(wanted, floor, F.lit(1)).cast("long"))
     return scoped.where(F.col("_rows") > F.col("_limit")).select(
         key,
         F.least(F.ceil(F.col("_rows") / F.col("_limit")), F.lit(cap)).cast("int").alias("_n_salts"),

@@ -163,3 +163,9 @@ def test_salted_left_join_spreads_null_keys(spark):
         assert rows(out, ["id", "k", "v", "label"]) == rows(f.join(d, "k", "left"), ["id", "k", "v", "label"])
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", prev)
+
+
+def test_hot_key_table_is_bounded(spark):
+    df = spark.range(5000).withColumn("k", (F.col("id") % 1000).cast("string"))
+    # every key holds 5 rows; rows_per_salt=1 would make all 1000 keys hot without the bound
+    assert hot_keys(df, "k", rows_per_salt=1, max_hot_keys=100).count() <= 100
