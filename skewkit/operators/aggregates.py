@@ -73,7 +73,7 @@ def salted_aggregate(
 
     Without ``hot`` every group is split ``n_salts`` ways. With ``hot``
     (``keys`` + ``_n_salts``, e.g. from :func:`hot_groups`; small by
-    construction and broadcast) only those groups are split, each by its own
+    construction, broadcast after measuring) only those groups are split, each by its own
     count, and every other group keeps a single partial row, so stage 1 does
     not multiply the rows of a high-cardinality key.
     """
@@ -86,7 +86,10 @@ def salted_aggregate(
     else:
         h = hot.select(*[F.col(k).alias(f"_hot_{i}") for i, k in enumerate(keys)], "_n_salts")
         cond = [F.col(k).eqNullSafe(F.col(f"_hot_{i}")) for i, k in enumerate(keys)]
-        src = df.join(F.broadcast(h), cond, "left").drop(*[f"_hot_{i}" for i in range(len(keys))])
+        from skewkit.operators.joins import measure_side
+
+        h = F.broadcast(h) if measure_side(h).fits else h
+        src = df.join(h, cond, "left").drop(*[f"_hot_{i}" for i in range(len(keys))])
         n = F.coalesce(F.col("_n_salts"), F.lit(1))
     salted = src.withColumn("_salt", salt_bucket(n, *[F.col(f"`{c}`") for c in cols]))
     if hot is not None:
