@@ -141,10 +141,13 @@ def recorded_log(spark: SparkSession, base: str) -> str:
     master = master_of(spark)
     child_master = "local[4]" if master.startswith("local") else master
     partitions = 8 if master.startswith("local") else shuffle_partitions(spark)
-    subprocess.run([sys.executable, "-m", "skewkit.plans.diagnosis", base, log_dir, work_dir,
-                    child_master, str(partitions)],
-                   check=True, timeout=WORKLOAD_TIMEOUT_S, env=env,
-                   stdout=subprocess.DEVNULL, stderr=subprocess.DEVNULL)
+    proc = subprocess.run([sys.executable, "-m", "skewkit.plans.diagnosis", base, log_dir, work_dir,
+                           child_master, str(partitions)],
+                          timeout=WORKLOAD_TIMEOUT_S, env=env, stdout=subprocess.DEVNULL,
+                          stderr=subprocess.PIPE, text=True)
+    if proc.returncode != 0:
+        tail = "\n".join(proc.stderr.strip().splitlines()[-20:])
+        raise RuntimeError(f"recording the workload over {base} failed (exit {proc.returncode}):\n{tail}")
     if marker is not None:
         # point the marker's folder at this complete run: later readers use only it
         final = os.path.dirname(marker)
