@@ -208,7 +208,9 @@ def near_duplicates(docs: DataFrame, threshold: float = SIMILARITY, id_col: str
     def ordered(pairs: DataFrame) -> DataFrame:
         return pairs.where("x != y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
-    wanted = base.where("doc_id IS NOT NULL").join(members.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    # a sort-merge join at any size, so that small and large inputs run by one plan
+    candidates = members.select(F.col("node").alias("doc_id")).distinct().hint("merge")
+    wanted = base.where("doc_id IS NOT NULL").join(candidates, "doc_id", "left_semi")
     sets = materialize(wanted.dropDuplicates(["doc_id"]).mapInPandas(_sets, "doc_id bigint, shingles binary"), "shingle-sets")
     star = materialize(ordered(members.join(centres, ["band", "key"]).select(
         F.col("node").alias("x"), F.col("centre").alias("y"))), "star-pairs")
