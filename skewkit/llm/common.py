@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
@@ -94,6 +95,38 @@ class RollingHash:
         return (prefix[width:] - prefix[:n]) * self._down[:n] if n > 0 else np.zeros(0, dtype=U64)
 
 
+_WORDS = RollingHash(10, 0x9E6F1C5B7A3D2E4F)
+_WORD_BYTE = np.array([chr(b).isalnum() if b < 128 else True for b in range(256)])
+
+
+def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All words of many texts in order: (text index, 64-bit hash, place in its text).
+
+    Words are runs of lower-cased ASCII letters, digits and non-ASCII characters.
+    """
+    data = [(t or "").lower().encode() + b"\n" for t in texts]
+    sizes = np.fromiter(map(len, data), np.int64, len(data))
+    buf = np.frombuffer(b"".join(data), dtype=np.uint8)
+    edge = np.diff(np.concatenate(([0], _WORD_BYTE[buf].view(np.int8), [0])))
+    start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    doc = np.searchsorted(np.cumsum(sizes), start, side="right")
+    h = mix64(_WORDS.spans(_WORDS.prefix(buf), start, end) ^ ((end - start).astype(U64) * GOLDEN))
+    first = np.concatenate(([0], np.cumsum(np.bincount(doc, minlength=len(data)))))[:-1]
+    return doc, h, np.arange(len(h)) - first[doc]
+
+
+def text_batches(texts: list[str | None], size: int) -> Iterator[tuple[int, int]]:
+    """Index ranges of about ``size`` characters, so that what is made from a batch stays small."""
+    start, held = 0, 0
+    for i, t in enumerate(texts):
+        held += len(t or "")
+        if held >= size:
+            yield start, i + 1
+            start, held = i + 1, 0
+    if start < len(texts):
+        yield start, len(texts)
+
+
 def global_rank(df: DataFrame, order: list[str], name: str, rank: str = "rank") -> DataFrame:
     """``df`` with its 0-based position under ``order``, by a range-partitioned sort.
 

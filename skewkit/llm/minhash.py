@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skewkit.llm.common import GOLDEN, MIX1, U64, RollingHash, mix64, step
+from skewkit.llm.common import GOLDEN, MIX1, U64, mix64, step, text_batches, word_hashes
 from skewkit.llm.components import components
 from skewkit.session import materialize
 
@@ -28,28 +28,16 @@ REGISTERS = BANDS * ROWS
 BLOCK = 8
 #: Signatures are made for about this many bytes of text at a time.
 BATCH_BYTES = 1 << 21
-_HASH = RollingHash(10, 0x9E6F1C5B7A3D2E4F)
-_WORD_BYTE = np.array([chr(b).isalnum() if b < 128 else True for b in range(256)])
 
 
 def shingles(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Distinct shingles of many texts: (text index, 64-bit shingle, count), and a hash of each text's words (0: none).
 
-    Words are runs of lower-cased ASCII letters, digits and other non-ASCII
-    characters. A text of fewer than five words has one shingle, all of them.
+    A text of fewer than five words has one shingle, all of them.
     """
-    data = [(t or "").lower().encode() + b"\n" for t in texts]
-    sizes = np.fromiter(map(len, data), np.int64, len(data))
-    buf = np.frombuffer(b"".join(data), dtype=np.uint8)
-    word = _WORD_BYTE[buf]
-    edge = np.diff(np.concatenate(([0], word.view(np.int8), [0])))
-    start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    doc = np.searchsorted(np.cumsum(sizes), start, side="right")
-    h = mix64(_HASH.spans(_HASH.prefix(buf), start, end) ^ ((end - start).astype(U64) * GOLDEN))
-    n_words = np.bincount(doc, minlength=len(data))
-    first = np.concatenate(([0], np.cumsum(n_words)))[:-1]
-    whole = np.zeros(len(data), dtype=U64)
-    at = np.arange(len(h)) - first[doc]
+    doc, h, at = word_hashes(texts)
+    n_words = np.bincount(doc, minlength=len(texts))
+    whole = np.zeros(len(texts), dtype=U64)
     np.add.at(whole, doc, mix64(h ^ (at.astype(U64) * MIX1)))
     s = np.zeros(len(h), dtype=U64)
     left = n_words[doc] - at
@@ -117,21 +105,10 @@ def similarity(a: np.ndarray, wa: np.ndarray, b: np.ndarray, wb: np.ndarray) ->
     return float((x[common] / (above_x[at] + t * below_y[at])).sum())
 
 
-def _batches(texts: list[str | None]) -> Iterator[tuple[int, int]]:
-    start, size = 0, 0
-    for i, t in enumerate(texts):
-        size += len(t or "")
-        if size >= BATCH_BYTES:
-            yield start, i + 1
-            start, size = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
-
-
 def _sketch(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in frames:
         texts = pdf["text"].tolist()
-        for lo, hi in _batches(texts):
+        for lo, hi in text_batches(texts, BATCH_BYTES):
             doc, s, n, whole = shingles(texts[lo:hi])
             sig = signatures(doc, s, weights(n), hi - lo)
             keys = np.zeros((hi - lo, BANDS), dtype=U64)
@@ -146,7 +123,7 @@ def _sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Sets for the exact comparison: sorted shingles (32 bits are enough within a pair) and capped counts."""
     for pdf in frames:
         texts = pdf["text"].tolist()
-        for lo, hi in _batches(texts):
+        for lo, hi in text_batches(texts, BATCH_BYTES):
             doc, s, n, _ = shingles(texts[lo:hi])
             ends = np.searchsorted(doc, np.arange(hi - lo + 1))
             out = []

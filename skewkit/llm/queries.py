@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skewkit.llm import bpe, exact_dedup, langid, minhash, mixing, sorted_passes
+from skewkit.llm import (
+    bpe,
+    chaining,
+    edit_counts,
+    exact_dedup,
+    langid,
+    minhash,
+    mixing,
+    personal_data,
+    repeated_bytes,
+    sorted_passes,
+)
 from skewkit.llm.common import documents, ship
 
 
@@ -15,15 +26,36 @@ def op1_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify_documents(documents(spark, sf_dir))
 
 
+def op2_chained_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return chaining.repeated_passages(documents(spark, sf_dir))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     return bpe.encode_documents(documents(spark, sf_dir))
 
 
+def op4_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return repeated_bytes.remove_repeats(documents(spark, sf_dir), keep_bytes=False)
+
+
 def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return personal_data.find_personal_data(documents(spark, sf_dir).select("doc_id", "text"))
+
+
+def op7_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every document before and after edits that its own row gives."""
+    ship(spark)
+    return edit_counts.count_edited(documents(spark, sf_dir), edit_counts.own_edits())
+
+
 def op8_vector_passes(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     return sorted_passes.near_duplicate_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
@@ -41,8 +73,12 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_mixture": op1_language_mixture,
+    "op2_chained_passages": op2_chained_passages,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_repeated_bytes": op4_repeated_bytes,
     "op5_source_mix": op5_source_mix,
+    "op6_personal_data": op6_personal_data,
+    "op7_edit_counts": op7_edit_counts,
     "op8_vector_passes": op8_vector_passes,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_prob_minhash": op10_prob_minhash,
