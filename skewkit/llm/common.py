@@ -115,6 +115,16 @@ def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.nda
     return doc, h, np.arange(len(h)) - first[doc]
 
 
+def sliding_min(v: np.ndarray, width: int) -> np.ndarray:
+    """Minimum of every ``width`` neighbours, in a fixed number of passes (prefix and suffix minima of blocks)."""
+    n = len(v) - width + 1
+    pad = -len(v) % width
+    blocks = np.concatenate((v, np.full(pad, np.iinfo(np.uint64).max, dtype=U64))).reshape(-1, width)
+    left = np.minimum.accumulate(blocks, axis=1).ravel()
+    right = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
+    return np.minimum(right[:n], left[width - 1:width - 1 + n])
+
+
 def text_batches(texts: list[str | None], size: int) -> Iterator[tuple[int, int]]:
     """Index ranges of about ``size`` characters, so that what is made from a batch stays small."""
     start, held = 0, 0

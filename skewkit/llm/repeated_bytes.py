@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skewkit.llm.common import U64, RollingHash, mix64, step
+from skewkit.llm.common import U64, RollingHash, mix64, sliding_min, step
 from skewkit.llm.suffix_groups import suffix_array
 from skewkit.session import materialize
 
@@ -42,16 +42,6 @@ _A = RollingHash(41, 0xD1342543DE82EF95)
 _B = RollingHash(42, 0xA0761D6478BD642F)
 
 
-def _sliding_min(v: np.ndarray, width: int) -> np.ndarray:
-    """Minimum of every ``width`` neighbours, in a fixed number of passes (prefix and suffix minima of blocks)."""
-    n = len(v) - width + 1
-    pad = -len(v) % width
-    blocks = np.concatenate((v, np.full(pad, np.iinfo(np.uint64).max, dtype=U64))).reshape(-1, width)
-    left = np.minimum.accumulate(blocks, axis=1).ravel()
-    right = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
-    return np.minimum(right[:n], left[width - 1:width - 1 + n])
-
-
 def anchor_runs(data: bytes, width: int = WIDTH, seed: int = SEED) -> tuple[np.ndarray, ...]:
     """Runs of strings with one anchor: (anchor hash, context hash, first start, last start, anchor position)."""
     n = len(data)
@@ -65,7 +55,7 @@ def anchor_runs(data: bytes, width: int = WIDTH, seed: int = SEED) -> tuple[np.n
     for lo in range(0, strings, SLICE):
         hi = min(strings, lo + SLICE)
         part = h[lo:hi + span - 1]
-        least = _sliding_min((part & ~_INDEX) | np.arange(len(part), dtype=U64), span)
+        least = sliding_min((part & ~_INDEX) | np.arange(len(part), dtype=U64), span)
         picked[lo:hi] = lo + (least & _INDEX).astype(np.int64)
     first = np.flatnonzero(np.concatenate(([True], picked[1:] != picked[:-1])))
     last = np.concatenate((first[1:], [strings])) - 1
