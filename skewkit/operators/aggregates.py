@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skewkit.functions.expressions import cents, cents_to_money, money_sum, salt_bucket
+from skewkit.session import materialize, shuffle_partitions
 
 _FUNCS = {"sum", "count", "min", "max", "avg", "money"}
 
@@ -60,7 +61,7 @@ def salted_aggregate(
     df: DataFrame,
     keys: Sequence[str],
     aggs: Sequence[Agg],
-    n_salts: int = 16,
+    n_salts: int | None = None,
     salt_cols: Sequence[str] | None = None,
     hot: DataFrame | None = None,
 ) -> DataFrame:
@@ -71,12 +72,14 @@ def salted_aggregate(
     merges the partials by ``keys``. Only mergeable aggregates are accepted;
     avg is carried as sum and count.
 
-    Without ``hot`` every group is split ``n_salts`` ways. With ``hot``
+    Without ``hot`` every group is split ``n_salts`` ways (default: the session's
+    shuffle partitions). With ``hot``
     (``keys`` + ``_n_salts``, e.g. from :func:`hot_groups`; small by
     construction, broadcast after measuring) only those groups are split, each by its own
     count, and every other group keeps a single partial row, so stage 1 does
     not multiply the rows of a high-cardinality key.
     """
+    n_salts = shuffle_partitions(df.sparkSession) if n_salts is None else n_salts
     if n_salts < 1:
         raise ValueError("n_salts must be >= 1")
     cols = list(salt_cols) if salt_cols else list(df.columns)
@@ -99,16 +102,18 @@ def salted_aggregate(
     return stage1.groupBy(*keys).agg(*final)
 
 
-def hot_groups(df: DataFrame, keys: Sequence[str], rows_per_salt: int, max_hot: int = 100_000) -> DataFrame:
+def hot_groups(df: DataFrame, keys: Sequence[str], rows_per_salt: int | None = None) -> DataFrame:
     """Groups of ``df`` larger than ``rows_per_salt`` rows: ``keys + _n_salts``.
 
-    One partial aggregation. ``rows_per_salt`` is raised to at least
-    ``|df| / max_hot`` (a scalar subquery), so at most ``max_hot`` groups are
-    returned and the table can be broadcast.
+    By default a part holds the rows of a mean task. The counts are written once
+    to the shared folder; every group above the limit is returned.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    total = counts.agg(F.sum("_rows")).scalar()
-    limit = F.greatest(F.lit(int(rows_per_salt)), F.ceil(total / F.lit(max_hot)), F.lit(1))
+    counts = materialize(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")), "group-counts")
+    if rows_per_salt is None:
+        limit = F.ceil(counts.agg(F.sum("_rows")).scalar() / F.lit(shuffle_partitions(df.sparkSession)))
+    else:
+        limit = F.lit(int(rows_per_salt))
+    limit = F.greatest(limit, F.lit(1))
     return counts.where(F.col("_rows") > limit).select(
         *keys, F.ceil(F.col("_rows") / limit).cast("int").alias("_n_salts"))
 

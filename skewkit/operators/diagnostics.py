@@ -59,10 +59,10 @@ def stage_summary(tasks: DataFrame) -> DataFrame:
     """Every per-stage metric of the diagnostics from one aggregation over the tasks.
 
     Conditional aggregates keep the task subsets apart: skew uses finished
-    (not failed) tasks, write sizes the tasks that wrote rows. Records of a
+    (neither failed nor killed) tasks, write sizes the tasks that wrote rows. Records of a
     task are rows read from files plus rows read from shuffle.
     """
-    ok = ~F.col("failed")
+    ok = ~F.col("failed") & ~F.col("killed")
     rec = F.coalesce(F.col("input_records"), F.lit(0)) + F.coalesce(F.col("shuffle_read_records"), F.lit(0))
     ok_rec = F.when(ok, rec)
     writing = ok & (F.col("output_records") > 0)

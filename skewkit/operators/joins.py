@@ -23,6 +23,7 @@ from skewkit.session import advisory_partition_bytes, materialize, shuffle_parti
 BROADCAST_MAX_ROWS = 2_000_000
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
+_SALTED_HOWS = {"inner", "left", "leftouter", "left_outer"}
 _BROADCAST_HOWS = {"inner", "left", "leftouter", "left_outer", "semi", "leftsemi", "left_semi",
                    "anti", "leftanti", "left_anti", "cross"}
 
@@ -114,15 +115,16 @@ def broadcast_join(
 ) -> DataFrame:
     """Equi-join that broadcasts ``small`` when its measured size fits the bound.
 
-    Past the bound (or for join types that cannot build on the right) the
-    planner chooses; with AQE on it can still switch to a broadcast at run
-    time from real shuffle sizes, or split skewed partitions of a merge join.
+    Past the bound an inner or left join on one key splits its hot and NULL
+    keys (:func:`salted_join`); other joins are left to the planner and AQE.
     """
     keys = _as_list(on)
     _check_columns(big, keys, "left")
     _check_columns(small, keys, "right")
     if how.lower() in _BROADCAST_HOWS and measure_side(small, max_rows, max_bytes).fits:
         return big.join(F.broadcast(small), keys, how)
+    if len(keys) == 1 and how.lower() in _SALTED_HOWS:
+        return salted_join(big, small, keys[0], how, broadcast_max_rows=0)
     return big.join(small, keys, how)
 
 
@@ -149,7 +151,11 @@ def left_outer_join(
         raise ValueError(f"left keys {lk} and right keys {rk} differ in number")
     _check_columns(left, lk, "left")
     _check_columns(right, rk, "right")
-    r = F.broadcast(right) if measure_side(right, max_rows, max_bytes).fits else right
+    fits = measure_side(right, max_rows, max_bytes).fits
+    if not fits and len(lk) == 1 and (lk == rk or lk[0] not in right.columns):
+        # hot keys are split, NULL keys spread; the right key stays as a column of its own name
+        return salted_join(left, right if lk == rk else right.withColumn(lk[0], F.col(rk[0])), lk[0], "left", broadcast_max_rows=0)
+    r = F.broadcast(right) if fits else right
     if lk == rk:
         return left.join(r, lk, "left")
     cond = [left[a] == r[b] for a, b in zip(lk, rk)]
@@ -160,14 +166,17 @@ class CrossJoinTooLarge(ValueError):
     pass
 
 
-def guarded_cross_join(left: DataFrame, right: DataFrame, max_right_rows: int = 10_000) -> DataFrame:
-    """Every left row paired with every right row, for a small right side only.
+def guarded_cross_join(left: DataFrame, right: DataFrame, max_right_rows: int | None = None) -> DataFrame:
+    """Every left row paired with every right row, for two aggregated tables.
 
-    The right side is measured first; above ``max_right_rows`` the call is
-    refused, because the output grows as |left| x |right|. The right side is
-    broadcast (a nested-loop join over a small build side, no shuffle of left).
+    The right side is measured first and broadcast within the broadcast bound
+    (a nested-loop join, no shuffle of left); past it the planner chooses.
+    The output grows as |left| x |right|, so a caller may set ``max_right_rows``, above which
+    the call is refused.
     """
-    size = measure_side(right, max_right_rows, BROADCAST_MAX_BYTES)
+    size = measure_side(right, max_right_rows or BROADCAST_MAX_ROWS, BROADCAST_MAX_BYTES)
+    if not size.fits and max_right_rows is None:
+        return left.crossJoin(right)
     if not size.fits:
         raise CrossJoinTooLarge(
             f"right side has more than {max_right_rows} rows or {BROADCAST_MAX_BYTES} bytes; "
@@ -191,66 +200,56 @@ def join_fanout(
     _check_columns(right, [right_key], "right")
     lc = left.groupBy(F.col(left_key).alias(key_alias)).agg(F.count(F.lit(1)).alias("left_rows"))
     rc = right.groupBy(F.col(right_key).alias(key_alias)).agg(F.count(F.lit(1)).alias("right_rows"))
-    per_key = lc.join(rc, key_alias, "inner").withColumn("pairs", F.col("left_rows") * F.col("right_rows"))
-    total = per_key.agg(F.sum("pairs").cast("long")).scalar()
+    # counts have at most 19 digits, so products fit DECIMAL(38,0) where BIGINT would overflow
+    wide = [F.col(c).cast("decimal(19,0)") for c in ("left_rows", "right_rows")]
+    per_key = lc.join(rc, key_alias, "inner").withColumn("pairs", (wide[0] * wide[1]).cast("decimal(38,0)"))
+    total = per_key.agg(F.sum("pairs").cast("decimal(38,0)")).scalar()
     return per_key.withColumn("total_pairs", total)
 
 
 # --- Salted join -------------------------------------------------------------
 
-# Upper bound on the rows of a hot-key table (key + salt count each).
-MAX_HOT_KEYS = 100_000
+# Salted parts per task: with several, parts that hash to one partition even out.
+PARTS_PER_TASK = 8
 
 
 def hot_keys(
     big: DataFrame,
     key: str,
     rows_per_salt: int | None = None,
-    max_salts: int | None = None,
     target_tasks: int | None = None,
     target_bytes: int | None = None,
-    max_hot_keys: int = MAX_HOT_KEYS,
 ) -> DataFrame:
-    """Keys of ``big`` too large for one task, with a salt count each (``key, _n_salts``).
+    """Keys of ``big`` too large for one part, with a salt count each (``key, _n_salts``).
 
-    A key is hot when it holds more rows than one task should: by default the
-    smaller of the mean task, ``|big| / target_tasks``, and the rows of
-    ``target_bytes`` (``target_tasks`` defaults to the session's shuffle
+    A key is hot when it holds more rows than one part should: by default the
+    smaller of ``|big| / target_tasks`` and the rows of ``target_bytes``
+    (``target_tasks`` defaults to ``PARTS_PER_TASK`` times the session's shuffle
     partitions, ``target_bytes`` to AQE's advisory partition size), or
-    ``rows_per_salt`` when given. ``n_salts = ceil(rows / limit)``, at most
-    ``max_salts`` (default ``target_tasks``: more salts than tasks spread
-    nothing further, and AQE's skew-join split can still cut a partition).
-    A key with a third of all rows is so split over about a third of the
-    tasks while ordinary keys keep one. The limit is never below
-    ``|big| / max_hot_keys``, so the hot-key table has at most
-    ``max_hot_keys`` rows and always fits a broadcast.
-
-    One aggregation over ``big`` (partial per map task, so the shuffle holds
-    one row per key and task); totals are an uncorrelated scalar subquery
-    over the per-key counts, not a value on the driver.
+    ``rows_per_salt`` when given. ``n_salts = ceil(rows / limit)``, without
+    a cap: a key of any size is cut to parts of that limit.
+
+    The counts per key are written once to the shared folder (one partial
+    aggregation over ``big``); the totals are read from that table.
     """
     spark = big.sparkSession
-    tasks = target_tasks or shuffle_partitions(spark)
-    cap = max_salts or tasks
+    tasks = target_tasks or PARTS_PER_TASK * shuffle_partitions(spark)
     # NULL is counted as a group too: NULL keys never match, but a left join
     # still shuffles them, and all of them hash to the same partition.
-    counts = (big.groupBy(key)
-              .agg(F.count(F.lit(1)).alias("_rows"), F.sum(row_bytes(big.schema)).alias("_bytes")))
-    total = counts.select(F.struct(F.sum("_rows").alias("rows"), F.sum("_bytes").alias("bytes"))).scalar()
-    rows, nbytes = total.getField("rows"), total.getField("bytes")
-    floor = F.ceil(rows / F.lit(max_hot_keys))
+    counts = materialize(
+        big.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"), F.sum(row_bytes(big.schema)).alias("_bytes")),
+        "key-counts")
     if rows_per_salt is not None:
-        wanted = F.lit(max(1, int(rows_per_salt)))
+        limit = F.lit(max(1, int(rows_per_salt)))
     else:
-        per_task_bytes = target_bytes or advisory_partition_bytes(spark)
-        mean_task = F.ceil(rows / F.lit(tasks))
-        by_bytes = F.ceil(F.lit(per_task_bytes) * rows / F.greatest(nbytes, F.lit(1)))
-        wanted = F.least(mean_task, by_bytes)
-    scoped = counts.withColumn("_limit", F.greatest(wanted, floor, F.lit(1)).cast("long"))
+        total = counts.select(F.struct(F.sum("_rows").alias("rows"), F.sum("_bytes").alias("bytes"))).scalar()
+        rows, nbytes = total.getField("rows"), total.getField("bytes")
+        mean_part = F.ceil(rows / F.lit(tasks))
+        width = F.greatest(nbytes / rows, F.lit(1))
+        limit = F.least(mean_part, F.ceil(F.lit(target_bytes or advisory_partition_bytes(spark)) / width))
+    scoped = counts.withColumn("_limit", F.greatest(limit, F.lit(1)).cast("long"))
     return scoped.where(F.col("_rows") > F.col("_limit")).select(
-        key,
-        F.least(F.ceil(F.col("_rows") / F.col("_limit")), F.lit(cap)).cast("int").alias("_n_salts"),
-    )
+        key, F.ceil(F.col("_rows") / F.col("_limit")).cast("int").alias("_n_salts"))
 
 
 def salted_join(
@@ -260,7 +259,6 @@ def salted_join(
     how: str = "inner",
     hot: DataFrame | None = None,
     rows_per_salt: int | None = None,
-    max_salts: int | None = None,
     salt_cols: Sequence[str] | None = None,
     broadcast_max_rows: int = BROADCAST_MAX_ROWS,
     broadcast_max_bytes: int = BROADCAST_MAX_BYTES,
@@ -271,8 +269,10 @@ def salted_join(
     broadcast: no shuffle of ``big`` at all, so nothing to salt. Salting is
     the path beyond the bound (``broadcast_max_rows=0`` forces it):
 
-    Each row of ``big`` with a hot key gets a repeatable salt in
-    ``0..n_salts-1`` (a hash of its columns, so retries give the same salt);
+    Each row of ``big`` with a hot key gets a salt in ``0..n_salts-1``: a hash of
+    its columns and its place in its partition, so equal rows spread as well. It is
+    the same on a retry where ``big`` is read in a fixed order, as a scan or a
+    written table is; name ``salt_cols`` to use these columns alone;
     the ``small`` rows of that key are replicated once per salt; the join runs
     on ``(key, salt)``. Other keys use salt 0 and are not replicated. Salt is
     its own column, never glued into the key. Only ``inner`` and ``left`` (with
@@ -287,17 +287,19 @@ def salted_join(
     as a table to the shared checkpoint folder, so the profile runs once and
     survives executor loss. It is broadcast only after measuring it.
     """
-    if how.lower() not in {"inner", "left", "leftouter", "left_outer"}:
+    if how.lower() not in _SALTED_HOWS:
         raise ValueError("salted_join supports only inner and left joins")
     _check_columns(big, [key], "left")
     _check_columns(small, [key], "right")
     if broadcast_max_rows > 0 and measure_side(small, broadcast_max_rows, broadcast_max_bytes).fits:
         return big.join(F.broadcast(small), key, how)
     if hot is None:
-        hot = materialize(hot_keys(big, key, rows_per_salt, max_salts), "hot-keys")
+        hot = materialize(hot_keys(big, key, rows_per_salt), "hot-keys")
     hot = hot.select(F.col(key).alias("_hot_key"), "_n_salts")
     hot_b = F.broadcast(hot) if measure_side(hot).fits else hot
-    cols = list(salt_cols) if salt_cols else [c for c in big.columns]
+    parts = [F.col(f"`{c}`") for c in salt_cols or big.columns]
+    if not salt_cols:
+        parts.append(F.monotonically_increasing_id())
     n = F.coalesce(F.col("_n_salts"), F.lit(1))
 
     def with_salt_count(df: DataFrame) -> DataFrame:
@@ -306,7 +308,7 @@ def salted_join(
 
     big_s = (
         with_salt_count(big)
-        .withColumn("_salt", salt_bucket(n, *[F.col(f"`{c}`") for c in cols]))
+        .withColumn("_salt", salt_bucket(n, *parts))
         .drop("_n_salts")
     )
     small_s = (

@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# percentile_approx accuracy: the sketch is exact while the number of groups is
-# below it, and a bounded-size mergeable state beyond.
-_ACCURACY = 10_000
+# Exact: Spark keeps one counter per distinct value, and distinct counts grow at most with the square root of the rows.
+_MEDIAN = "percentile_disc(0.5) WITHIN GROUP (ORDER BY {})"
 
 
 def key_distribution(df: DataFrame, key: str | Column, key_alias: str = "key") -> DataFrame:
@@ -21,7 +20,7 @@ def key_distribution(df: DataFrame, key: str | Column, key_alias: str = "key") -
     counts = df.groupBy(k.alias(key_alias)).agg(F.count(F.lit(1)).alias("n"))
     stats = counts.select(F.struct(
         F.sum("n").alias("total"),
-        F.percentile_approx("n", 0.5, _ACCURACY).alias("median"),
+        F.expr(_MEDIAN.format("n")).alias("median"),
     )).scalar()
     return (
         counts.select(
@@ -43,24 +42,12 @@ def partition_balance(df: DataFrame) -> DataFrame:
     return df.groupBy(F.spark_partition_id().alias("partition_id")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def hash_partition_balance(df: DataFrame, cols: list[str], num_partitions: int) -> DataFrame:
-    """Rows each partition would get from ``repartition(num_partitions, *cols)``.
-
-    Uses the partition id Spark's hash partitioning assigns,
-    ``pmod(hash(cols), n)`` (Murmur3, as ``F.hash``), counted with a partial
-    aggregate: the balance of a skewed partitioning is measured without
-    running the skewed shuffle itself. Columns ``partition_id, n_rows``.
-    """
-    pid = F.pmod(F.hash(*[F.col(c) for c in cols]), F.lit(num_partitions)).alias("partition_id")
-    return df.groupBy(pid).agg(F.count(F.lit(1)).alias("n_rows"))
-
-
 def balance_summary(balance: DataFrame) -> DataFrame:
     """One row: partitions with rows, max, median, max/median, largest share."""
     return balance.agg(
         F.count(F.lit(1)).alias("partitions"),
         F.max("n_rows").alias("max_rows"),
-        F.percentile_approx("n_rows", 0.5, _ACCURACY).alias("median_rows"),
-        (F.max("n_rows") / F.percentile_approx("n_rows", 0.5, _ACCURACY)).alias("max_to_median"),
+        F.expr(_MEDIAN.format("n_rows")).alias("median_rows"),
+        (F.max("n_rows") / F.expr(_MEDIAN.format("n_rows"))).alias("max_to_median"),
         (F.max("n_rows") / F.sum("n_rows")).alias("largest_share"),
     )

@@ -37,6 +37,7 @@ def multi_analysis(
     df: DataFrame,
     analyses: Sequence[tuple[str, Callable[[DataFrame], DataFrame]]],
     columns: Mapping[str, str],
+    level: StorageLevel = StorageLevel.MEMORY_AND_DISK,
 ) -> DataFrame:
     """Run several analyses over one persisted input; one tagged union out.
 
@@ -47,16 +48,25 @@ def multi_analysis(
     the returned DataFrame reads that table, so it depends neither on the
     cached blocks nor on the original lineage.
     """
-    with reused(df, consumers=len(analyses)) as cached:
-        parts = []
-        for tag, fn in analyses:
-            out = fn(cached)
-            cols = [F.lit(tag).alias("analysis")]
-            for name, dtype in columns.items():
-                src = F.col(name) if name in out.columns else F.lit(None)
-                cols.append(src.cast(dtype).alias(name))
-            parts.append(out.select(*cols))
-        union = parts[0]
-        for p in parts[1:]:
-            union = union.unionByName(p)
-        return materialize(union, "multi-analysis")
+    with reused(df, len(analyses), level) as cached:
+        return materialize(tagged_union(cached, analyses, columns), "multi-analysis")
+
+
+def tagged_union(
+    df: DataFrame,
+    analyses: Sequence[tuple[str, Callable[[DataFrame], DataFrame]]],
+    columns: Mapping[str, str],
+) -> DataFrame:
+    """The analyses of ``df`` as one table with a leading ``analysis`` column; a column one lacks is NULL there."""
+    parts = []
+    for tag, fn in analyses:
+        out = fn(df)
+        cols = [F.lit(tag).alias("analysis")]
+        for name, dtype in columns.items():
+            src = F.col(name) if name in out.columns else F.lit(None)
+            cols.append(src.cast(dtype).alias(name))
+        parts.append(out.select(*cols))
+    union = parts[0]
+    for p in parts[1:]:
+        union = union.unionByName(p)
+    return union

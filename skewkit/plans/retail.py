@@ -10,16 +10,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skewkit.functions.expressions import money_sum, money_sum_sql, null_region_sql, salt_bucket, skew_key_sql
+from skewkit.functions.expressions import (
+    SKEW_LABELS,
+    cents,
+    cents_to_money,
+    money_sum,
+    money_sum_sql,
+    null_region_sql,
+    salt_bucket,
+    skew_key_sql,
+)
 from skewkit.operators.aggregates import (
     Agg,
     aggregate_before_join,
     count_by,
     group_aggregate,
-    grouping_set_summaries,
+    hot_groups,
     salted_aggregate,
 )
 from skewkit.operators.joins import (
+    PARTS_PER_TASK,
     broadcast_join,
     guarded_cross_join,
     join_fanout,
@@ -28,14 +38,14 @@ from skewkit.operators.joins import (
     shuffle_join,
 )
 from skewkit.operators.ordering import ranked, sort_within_partitions, top_k
-from skewkit.operators.profile import hash_partition_balance, key_distribution, partition_balance
-from skewkit.operators.reuse import multi_analysis
+from skewkit.operators.profile import key_distribution, partition_balance
+from skewkit.operators.reuse import multi_analysis, tagged_union
 from skewkit.plans import star
-from skewkit.session import scratch_path
+from skewkit.session import materialize, scratch_path, shuffle_partitions
 from skewkit.sinks.writers import sized_write, write_parquet
 from skewkit.sources.files import file_census
 from skewkit.sources.generators import skew_rekey
-from skewkit.sources.tables import read_table
+from skewkit.sources.tables import read_table, table_path
 
 UNKNOWN_REGION = "UNKNOWN"
 TOP_K = 5
@@ -76,6 +86,32 @@ def _category_totals(joined: DataFrame) -> DataFrame:
                                                    Agg("count", "sale_id", "n_sales")))
 
 
+def sales_summary_by_date(spark: SparkSession, base: str) -> DataFrame:
+    """Per (product, category, date), the flagship's own grouping."""
+    dated = star.sales(spark, base).withColumn("sale_date", F.to_date("sale_ts"))
+    return aggregate_before_join(dated, star.products(spark, base), "product_id", ["sale_date"], ["category"], SUMMARY_AGGS)
+
+
+def _skewed_products(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame]:
+    """The skewed fact and its products: one row per skew key, with the key's category."""
+    fact = star.skewed_sales(spark, base).select("sale_id", "skew_key", "amount", "sale_ts")
+    return fact, fact.select("skew_key").distinct().withColumn("category", F.substring_index("skew_key", "_", 1))
+
+
+def category_product_totals(spark: SparkSession, base: str) -> DataFrame:
+    """Per (category, product) after the product join on the skewed fact."""
+    fact, products = _skewed_products(spark, base)
+    return group_aggregate(broadcast_join(fact, materialize(products, "skewed-products"), "skew_key"), ["category", "skew_key"], SKEW_AGGS)
+
+
+def category_product_totals_salted(spark: SparkSession, base: str) -> DataFrame:
+    """The same by a salted join and a salted two-stage aggregate of the hot groups."""
+    fact, products = _skewed_products(spark, base)
+    joined = salted_join(fact, materialize(products, "skewed-products"), "skew_key", broadcast_max_rows=0)
+    keys = ["category", "skew_key"]
+    return salted_aggregate(joined, keys, SKEW_AGGS, hot=hot_groups(joined, keys), salt_cols=["sale_id", "amount", "sale_ts"])
+
+
 def broadcast_join_agg(spark: SparkSession, base: str) -> DataFrame:
     return _category_totals(broadcast_join(star.sales(spark, base), star.products(spark, base), "product_id"))
 
@@ -94,12 +130,13 @@ def write_read_back(spark: SparkSession, base: str) -> DataFrame:
 
 # --- Row counts of the given tables ----------------------------------------
 
-COUNTED_TABLES = ("lineitem", "orders", "customer", "part", "supplier", "nation", "region", "events")
+COUNTED_TABLES = ("lineitem", "orders", "customer", "part", "supplier", "nation", "region", "events",
+                  "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
 def table_counts(spark: SparkSession, base: str) -> DataFrame:
     """Rows per table; each count reads no column data (row-group metadata only)."""
-    parts = [read_table(spark, base, t, []).agg(F.count(F.lit(1)).alias("n_rows"))
+    parts = [spark.read.parquet(table_path(base, t)).agg(F.count(F.lit(1)).alias("n_rows"))
              .select(F.lit(t).alias("table_name"), "n_rows") for t in COUNTED_TABLES]
     out = parts[0]
     for p in parts[1:]:
@@ -169,7 +206,14 @@ def skewed_agg(spark: SparkSession, base: str) -> DataFrame:
 
 
 def salted_agg(spark: SparkSession, base: str) -> DataFrame:
-    return salted_aggregate(star.skewed_sales(spark, base), ["skew_key", "flag"], SKEW_AGGS, n_salts=16,
+    return salted_aggregate(star.skewed_sales(spark, base), ["skew_key", "flag"], SKEW_AGGS,
+                            salt_cols=["sale_id", "product_id", "amount", "sale_ts"])
+
+
+def salted_agg_hot(spark: SparkSession, base: str) -> DataFrame:
+    """The same aggregate with only the groups above a mean task split."""
+    s, keys = star.skewed_sales(spark, base), ["skew_key", "flag"]
+    return salted_aggregate(s, keys, SKEW_AGGS, hot=hot_groups(s, keys),
                             salt_cols=["sale_id", "product_id", "amount", "sale_ts"])
 
 
@@ -179,7 +223,7 @@ def _salted_join_summary(joined: DataFrame) -> DataFrame:
     return joined.groupBy("skew_key", "flag").agg(
         F.count(F.lit(1)).alias("n_lines"),
         money_sum("amount").alias("total_amount"),
-        F.sum("n_orders").cast("long").alias("order_lines"),
+        F.sum(F.col("n_orders").cast("decimal(28,0)")).cast("decimal(38,0)").alias("order_lines"),
         F.max("order_total").alias("order_total"),
     )
 
@@ -190,8 +234,14 @@ def salted_join_q(spark: SparkSession, base: str) -> DataFrame:
     return _salted_join_summary(joined)
 
 
+def salted_inner_join_q(spark: SparkSession, base: str) -> DataFrame:
+    """The inner join by its salted path, which a side beyond the broadcast bound takes."""
+    fact = star.skewed_sales(spark, base).select("sale_id", "skew_key", "flag", "amount", "sale_ts")
+    return _salted_join_summary(salted_join(fact, star.order_labels(spark, base), "skew_key", "inner", broadcast_max_rows=0))
+
+
 def salted_left_join_q(spark: SparkSession, base: str) -> DataFrame:
-    """Left variant: only labels with at least 100 orders are on the right.
+    """Left variant: one label is missing on the right.
 
     Runs the salted shuffle path on purpose (``broadcast_max_rows=0``), the
     path taken when the right side is beyond the broadcast bound, so that the
@@ -199,7 +249,7 @@ def salted_left_join_q(spark: SparkSession, base: str) -> DataFrame:
     default, which broadcasts this small side.
     """
     fact = star.skewed_sales(spark, base).select("sale_id", "skew_key", "flag", "amount", "sale_ts")
-    labels = star.order_labels(spark, base).where(F.col("n_orders") >= 100)
+    labels = star.order_labels(spark, base).where(F.col("skew_key") != SKEW_LABELS[-1])
     joined = salted_join(fact, labels, "skew_key", "left", broadcast_max_rows=0)
     return _salted_join_summary(joined)
 
@@ -212,30 +262,19 @@ def join_fanout_q(spark: SparkSession, base: str) -> DataFrame:
 
 # --- B18 partition balance, B19 file census, B2 skew injection -------------
 
-def _balance_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
 def partition_balance_scan(spark: SparkSession, base: str) -> DataFrame:
-    """Rows per physical partition of the sales scan as Spark splits the files."""
-    return partition_balance(star.sales(spark, base))
-
-
-def partition_balance_skewed(spark: SparkSession, base: str) -> DataFrame:
-    """Rows per partition that hash-partitioning on the skewed key would give (one gets 80 %).
-
-    Measured from the partition ids, without running that skewed shuffle.
-    """
-    s = star.skewed_sales(spark, base)
-    return hash_partition_balance(s, ["skew_key"], _balance_partitions(spark))
+    """Rows of the sales scan, summed from its physical partitions as Spark splits the files."""
+    return partition_balance(star.sales(spark, base)).agg(F.sum("n_rows").alias("n_rows"))
 
 
 def partition_balance_salted(spark: SparkSession, base: str) -> DataFrame:
-    """The same rows partitioned on (key, salt): the hot key is spread over all tasks."""
-    n = _balance_partitions(spark)
+    """Rows per key after a real exchange on (key, salt), summed from its partitions: no partition holds a whole hot key."""
+    n = PARTS_PER_TASK * shuffle_partitions(spark)
     s = star.skewed_sales(spark, base)
     salted = s.withColumn("_salt", salt_bucket(n, "sale_id", "product_id", "amount", "sale_ts"))
-    return hash_partition_balance(salted, ["skew_key", "_salt"], n)
+    parts = salted.select("skew_key", "_salt").repartition("skew_key", "_salt").groupBy(
+        "skew_key", F.spark_partition_id().alias("partition_id")).agg(F.count(F.lit(1)).alias("n_rows"))
+    return parts.groupBy("skew_key").agg(F.sum("n_rows").alias("n_rows"))
 
 
 def file_census_q(spark: SparkSession, base: str) -> DataFrame:
@@ -253,7 +292,7 @@ def generated_skew_profile(spark: SparkSession, base: str) -> DataFrame:
 
 def sorted_within_partitions(spark: SparkSession, base: str) -> DataFrame:
     s = star.sales(spark, base).select("sale_id", "product_id", "flag", "amount")
-    return sort_within_partitions(s, ["flag", "amount"], partition_cols=["flag"])
+    return sort_within_partitions(s, ["flag", "amount"])
 
 
 # --- B20 sized write, B21 multi analysis ------------------------------------
@@ -277,34 +316,34 @@ MULTI_COLUMNS = {
 }
 
 
-def multi_analysis_q(spark: SparkSession, base: str) -> DataFrame:
-    """One persisted join, three analyses: by category, by date, by product and name.
+def _product_days(spark: SparkSession, base: str) -> DataFrame:
+    """Sales reduced to mergeable states per (product, date): what all three analyses read in place of the fact."""
+    return star.sales(spark, base).groupBy("product_id", F.to_date("sale_ts").alias("sale_date")).agg(
+        F.sum(cents("amount")).alias("_cents"), F.count("sale_id").alias("_n"))
 
-    Only the columns the analyses read are cached.
-    """
-    joined = broadcast_join(star.sales(spark, base), star.products(spark, base), "product_id").select(
-        "sale_id", "product_id", "amount", "sale_ts", "product_name", "category")
-    analyses = [
-        ("by_category", lambda d: d.groupBy("category").agg(money_sum("amount").alias("total_amount"),
-                                                            F.count("sale_id").alias("n_sales"))),
-        ("by_date", lambda d: d.groupBy(F.to_date("sale_ts").alias("sale_date"))
-         .agg(F.count("sale_id").alias("n_sales"))),
-        ("by_product", lambda d: d.groupBy("product_id", "product_name")
-         .agg(money_sum("amount").alias("total_amount"))),
+
+def _analyses(products: DataFrame) -> list:
+    """By category and by product after the join with products; by date over all sales, joined or not."""
+    def joined(d: DataFrame) -> DataFrame:
+        per_product = d.groupBy("product_id").agg(F.sum("_cents").alias("_cents"), F.sum("_n").alias("_n"))
+        return broadcast_join(per_product, products, "product_id")
+
+    total, n = cents_to_money(F.sum("_cents")).alias("total_amount"), F.sum("_n").alias("n_sales")
+    return [
+        ("by_category", lambda d: joined(d).groupBy("category").agg(total, n)),
+        ("by_date", lambda d: d.groupBy("sale_date").agg(n)),
+        ("by_product", lambda d: joined(d).groupBy("product_id", "product_name").agg(total)),
     ]
-    return multi_analysis(joined, analyses, MULTI_COLUMNS)
+
+
+def multi_analysis_q(spark: SparkSession, base: str) -> DataFrame:
+    """Three analyses of one persisted table, the sales reduced per product and date; the fact is not cached."""
+    return multi_analysis(_product_days(spark, base), _analyses(star.products(spark, base)), MULTI_COLUMNS)
 
 
 def multi_analysis_single_pass(spark: SparkSession, base: str) -> DataFrame:
-    """The same three analyses as one GROUPING SETS aggregate: one scan, one shuffle, no cache."""
-    joined = broadcast_join(star.sales(spark, base), star.products(spark, base), "product_id")
-    joined = joined.withColumn("sale_date", F.to_date("sale_ts"))
-    total, n = Agg("money", "amount", "total_amount"), Agg("count", "sale_id", "n_sales")
-    return grouping_set_summaries(joined, [
-        ("by_category", ["category"], [total, n]),
-        ("by_date", ["sale_date"], [n]),
-        ("by_product", ["product_id", "product_name"], [total]),
-    ], MULTI_COLUMNS)
+    """The same three analyses over the reduced sales as a written table: one scan of the fact, nothing cached or expanded."""
+    return tagged_union(materialize(_product_days(spark, base), "product-days"), _analyses(star.products(spark, base)), MULTI_COLUMNS)
 
 
 QUERIES = {
@@ -313,7 +352,6 @@ QUERIES = {
     "unhinted_join_agg": unhinted_join_agg,
     "null_key_left_join": null_key_left_join,
     "partition_balance": partition_balance_scan,
-    "partition_balance_skewed": partition_balance_skewed,
     "partition_balance_salted": partition_balance_salted,
     "file_census": file_census_q,
     "generated_skew_profile": generated_skew_profile,
@@ -329,7 +367,12 @@ QUERIES = {
     "skew_profile": skew_profile,
     "skewed_agg": skewed_agg,
     "salted_agg": salted_agg,
+    "salted_agg_hot": salted_agg_hot,
     "salted_join": salted_join_q,
+    "salted_inner_join": salted_inner_join_q,
+    "sales_summary_by_date": sales_summary_by_date,
+    "category_product_totals": category_product_totals,
+    "category_product_totals_salted": category_product_totals_salted,
     "salted_left_join": salted_left_join_q,
     "join_fanout": join_fanout_q,
     "sorted_within_partitions": sorted_within_partitions,
@@ -371,13 +414,24 @@ FROM orders GROUP BY 1"""
 def _salted_join_sql(how: str, label_filter: str) -> str:
     return f"""
 SELECT f.skew_key, f.flag, COUNT(*) AS n_lines, {money_sum_sql('f.amount')} AS total_amount,
-       CAST(SUM(d.n_orders) AS BIGINT) AS order_lines, MAX(d.order_total) AS order_total
+       CAST(SUM(d.n_orders) AS DECIMAL(38,0)) AS order_lines, MAX(d.order_total) AS order_total
 FROM (SELECT {SKEW} AS skew_key, l_returnflag AS flag, l_extendedprice AS amount FROM lineitem) f
 {how} JOIN (SELECT * FROM ({_ORDER_LABELS_SQL}) o {label_filter}) d ON f.skew_key = d.skew_key
 GROUP BY f.skew_key, f.flag"""
 
 
+_CATEGORY_PRODUCT_SQL = f"""
+SELECT split_part(k, '_', 1) AS category, k AS skew_key, {money_sum_sql('amount')} AS total_amount, COUNT(*) AS n_sales
+FROM (SELECT {SKEW} AS k, l_extendedprice AS amount FROM lineitem) x GROUP BY 1, 2"""
+
+
 SQL = {
+    "sales_summary_by_date": _SUMMARY_SQL.replace("l_returnflag AS flag", "CAST(l_shipdate AS DATE) AS sale_date").replace(
+        "GROUP BY l_partkey, p_type, l_returnflag", "GROUP BY l_partkey, p_type, CAST(l_shipdate AS DATE)"),
+    "category_product_totals": _CATEGORY_PRODUCT_SQL,
+    "category_product_totals_salted": _CATEGORY_PRODUCT_SQL,
+    "partition_balance": "SELECT CAST(COUNT(*) AS BIGINT) AS n_rows FROM lineitem",
+    "partition_balance_salted": f"SELECT {SKEW} AS skew_key, COUNT(*) AS n_rows FROM lineitem GROUP BY 1",
     "table_counts": "\nUNION ALL\n".join(
         f"SELECT '{t}' AS table_name, COUNT(*) AS n_rows FROM {t}" for t in COUNTED_TABLES),
     "unhinted_join_agg": _CATEGORY_SQL,
@@ -415,14 +469,16 @@ SELECT skew_key, n, n * 1.0e0 / total AS share, n * 1.0e0 / med AS ratio_to_medi
 FROM c CROSS JOIN t ORDER BY n DESC, skew_key""",
     "skewed_agg": _SKEWED_AGG_SQL,
     "salted_agg": _SKEWED_AGG_SQL,
+    "salted_agg_hot": _SKEWED_AGG_SQL,
     "salted_join": _salted_join_sql("INNER", ""),
-    "salted_left_join": _salted_join_sql("LEFT", "WHERE n_orders >= 100"),
+    "salted_inner_join": _salted_join_sql("INNER", ""),
+    "salted_left_join": _salted_join_sql("LEFT", f"WHERE skew_key <> '{SKEW_LABELS[-1]}'"),
     "join_fanout": f"""
 WITH l AS (SELECT {SKEW} AS skew_key, COUNT(*) AS left_rows FROM lineitem GROUP BY 1),
      r AS (SELECT {skew_key_sql('o_orderkey')} AS skew_key, COUNT(*) AS right_rows FROM orders GROUP BY 1),
-     p AS (SELECT l.skew_key, left_rows, right_rows, left_rows * right_rows AS pairs
+     p AS (SELECT l.skew_key, left_rows, right_rows, CAST(CAST(left_rows AS HUGEINT) * right_rows AS DECIMAL(38,0)) AS pairs
            FROM l JOIN r ON l.skew_key = r.skew_key)
-SELECT p.*, (SELECT CAST(SUM(pairs) AS BIGINT) FROM p) AS total_pairs FROM p""",
+SELECT p.*, (SELECT CAST(SUM(CAST(pairs AS HUGEINT)) AS DECIMAL(38,0)) FROM p) AS total_pairs FROM p""",
     "sorted_within_partitions": """
 SELECT l_orderkey AS sale_id, l_partkey AS product_id, l_returnflag AS flag, l_extendedprice AS amount
 FROM lineitem""",
@@ -438,7 +494,7 @@ SELECT 'by_category' AS analysis, p_type AS category, CAST(NULL AS DATE) AS sale
 FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_type
 UNION ALL
 SELECT 'by_date', NULL, CAST(l_shipdate AS DATE), NULL, NULL, NULL, COUNT(l_orderkey)
-FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY CAST(l_shipdate AS DATE)
+FROM lineitem GROUP BY CAST(l_shipdate AS DATE)
 UNION ALL
 SELECT 'by_product', NULL, NULL, l_partkey, p_name, {MONEY_PRICE}, NULL
 FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY l_partkey, p_name""",

@@ -32,19 +32,18 @@ class WritePlan:
     max_records_per_file: int
 
 
-def plan_files(df: DataFrame, target_file_bytes: int = DEFAULT_TARGET_FILE_BYTES,
-               max_files: int = 10_000) -> WritePlan:
+def plan_files(df: DataFrame, target_file_bytes: int = DEFAULT_TARGET_FILE_BYTES) -> WritePlan:
     """Number of output files from the measured rows and payload bytes.
 
     One aggregate job (rows, sum of row widths); files = ceil(bytes/target),
-    within ``[1, max_files]``. The byte estimate is the uncompressed payload,
+    at least one. The byte estimate is the uncompressed payload,
     so compressed files come out smaller than the target: it bounds the
     file size from above and never produces more files than needed.
     """
     width = row_bytes(df.schema)
     row = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("b")).first()
     rows, est = int(row["n"]), int(row["b"])
-    files = max(1, min(max_files, math.ceil(est / max(1, target_file_bytes))))
+    files = max(1, math.ceil(est / max(1, target_file_bytes)))
     per_file = max(1, math.ceil(rows / files)) if rows else 1
     return WritePlan(rows, est, files, per_file)
 
@@ -55,7 +54,6 @@ def sized_write(
     target_file_bytes: int | None = None,
     mode: str = "overwrite",
     cluster_by: Sequence[str] = (),
-    max_files: int = 10_000,
     files: int | None = None,
 ) -> WritePlan | None:
     """Write ``df`` as files of about a target size instead of one per shuffle partition.
@@ -90,7 +88,7 @@ def sized_write(
             out = out.sortWithinPartitions(*cluster_by)
         out.write.mode(mode).parquet(path)
         return None
-    plan = plan_files(df, target_file_bytes, max_files)
+    plan = plan_files(df, target_file_bytes)
     if cluster_by:
         out = df.repartitionByRange(plan.files, *cluster_by).sortWithinPartitions(*cluster_by)
     else:

@@ -70,18 +70,12 @@ def _app_from_path(path: Column) -> Column:
     return F.when(rolled != "", rolled).otherwise(F.regexp_extract(path, _SINGLE, 1))
 
 
-_COMPRESSED = r"\.(zstd|zst|lz4|lzf|snappy)(\.inprogress)?$"
-_LINES_PER_BATCH = 20_000
+# The file name tells Spark's text sources the codec; a compacted file's extra suffix hides it from them.
+_COMPACT = r"\.compact$"
 
 
 def _decode_log_files(batches):
-    """mapInPandas body: log files → (path, line) rows, in bounded batches.
-
-    Each file is read as a stream (zstd decompressed across frames) and emitted
-    ``_LINES_PER_BATCH`` lines at a time, so no task holds a whole
-    decompressed log. A truncated last frame (a log still being written)
-    ends that file at the last complete line.
-    """
+    """mapInPandas body for compacted zstd logs: files → (path, line) rows; damage raises."""
     import io
 
     import pandas as pd
@@ -89,34 +83,11 @@ def _decode_log_files(batches):
 
     for pdf in batches:
         for path, content in zip(pdf["path"], pdf["content"]):
-            if re.search(r"\.zstd?(\.inprogress)?$", path):
-                raw = zstandard.ZstdDecompressor().stream_reader(io.BytesIO(bytes(content)), read_across_frames=True)
-            elif re.search(_COMPRESSED, path):
-                raise ValueError(f"{path}: only zstd-compressed or plain event logs can be read; "
-                                 "set spark.eventLog.compression.codec=zstd or spark.eventLog.compress=false")
-            else:
-                raw = io.BytesIO(bytes(content))
-            text = io.TextIOWrapper(raw, encoding="utf-8", errors="replace")
-            buf: list[str] = []
-            try:
-                for line in text:
-                    if line.endswith("\n"):
-                        buf.append(line)
-                    if len(buf) >= _LINES_PER_BATCH:
-                        yield pd.DataFrame({"path": path, "line": buf})
-                        buf = []
-            except zstandard.ZstdError:
-                pass
-            if buf:
-                yield pd.DataFrame({"path": path, "line": buf})
-
-
-def parse_log_lines(lines: DataFrame) -> DataFrame:
-    """``(path, line)`` rows → typed events with ``app_id``."""
-    return (lines.select(F.from_json("line", EVENT_SCHEMA).alias("e"), F.col("path").alias("_path"))
-            .select("e.*", "_path")
-            .where(F.col("Event").isNotNull())
-            .withColumn("app_id", _app_from_path(F.col("_path"))).drop("_path"))
+            if not re.search(r"\.zstd?\.compact$", path):
+                raise ValueError(f"{path}: of compacted event logs only zstd ones can be read")
+            raw = zstandard.ZstdDecompressor().stream_reader(io.BytesIO(bytes(content)), read_across_frames=True)
+            lines = io.TextIOWrapper(raw, encoding="utf-8").read().splitlines()
+            yield pd.DataFrame({"path": path, "line": lines})
 
 
 def decode_log_files(files: DataFrame) -> DataFrame:
@@ -151,32 +122,56 @@ def _list_log_files(spark: SparkSession, roots: list[str]) -> list[str]:
     return [r["path"] for r in listing.select("path").collect()]
 
 
-def read_events(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """All events under ``path`` with ``app_id`` (from the file path) added.
+def _checked(events: DataFrame) -> DataFrame:
+    """Fail on a line that does not parse, unless its log is still being written (its last line may be cut)."""
+    damaged = F.raise_error(F.concat(F.lit("damaged event log: "), F.col("_path")))
+    readable = F.when(F.col("Event").isNotNull(), True).when(F.col("_path").endswith(".inprogress"), False).otherwise(damaged)
+    return events.where(readable)
+
 
-    Plain JSON-lines logs go through the splittable JSON reader. Compressed
-    logs cannot be split, so they are read one file per task through the
-    ``binaryFile`` source and decoded in a ``mapInPandas`` step, then parsed
-    with the same explicit schema (``from_json``). Rolled logs keep each file
-    at ``spark.eventLog.rolling.maxFileSize``, which bounds a task's input.
+def incomplete_applications(events: DataFrame) -> DataFrame:
+    """Applications without an end event: still running, or their log was cut."""
+    ended = F.max((F.col("Event") == "SparkListenerApplicationEnd").cast("int"))
+    return events.groupBy("app_id").agg(ended.alias("ended")).where("ended = 0").select("app_id")
+
+
+def read_events(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """All events under ``path`` with ``app_id``.
+
+    Logs go through Spark's JSON reader with the explicit schema, compressed ones
+    as well; only compacted files, whose names hide their codec, are decoded in a
+    ``mapInPandas`` step. A finished log (no ``.inprogress``) must be whole: a line
+    that does not parse, or no end of application, is an error. A log still being
+    written may lack its last line. The application id is the one its start
+    event names, else that of the path.
     """
     roots = [path] if isinstance(path, str) else list(path)
     paths = _list_log_files(spark, roots)
-    plain = [p for p in paths if not re.search(_COMPRESSED, p)]
-    packed = [p for p in paths if re.search(_COMPRESSED, p)]
+    plain = [p for p in paths if not re.search(_COMPACT, p)]
+    packed = [p for p in paths if re.search(_COMPACT, p)]
     parts = []
     if plain:
-        parts.append(spark.read.schema(EVENT_SCHEMA).option("mode", "PERMISSIVE").json(plain)
-                     .where(F.col("Event").isNotNull())
-                     .withColumn("app_id", _app_from_path(F.col("_metadata.file_path"))))
+        parts.append(spark.read.schema(EVENT_SCHEMA).json(plain).withColumn("_path", F.col("_metadata.file_path")))
     if packed:
-        parts.append(parse_log_lines(decode_log_files(spark.read.format("binaryFile").load(packed))))
+        lines = decode_log_files(spark.read.format("binaryFile").load(packed))
+        parts.append(lines.select(F.from_json("line", EVENT_SCHEMA).alias("e"), F.col("path").alias("_path")).select("e.*", "_path"))
     if not parts:
         return spark.createDataFrame([], EVENT_SCHEMA).withColumn("app_id", F.lit(None).cast("string"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out
+    out = _checked(out).withColumn("app_id", _app_from_path(F.col("_path")))
+    open_apps = {_app_of(p) for p in paths if p.endswith(".inprogress")}
+    cut = [r["app_id"] for r in incomplete_applications(out).where(~F.col("app_id").isin(*open_apps) if open_apps else F.lit(True)).limit(5).collect()]
+    if cut:
+        raise ValueError(f"event logs without an end of application, though finished by name: {cut}")
+    named = out.where(F.col("Event") == "SparkListenerApplicationStart").groupBy("app_id").agg(F.max("App ID").alias("_named"))
+    return out.drop("_path").join(named, "app_id", "left").withColumn("app_id", F.coalesce("_named", "app_id")).drop("_named")
+
+
+def _app_of(path: str) -> str:
+    m = re.search(_ROLLED, path) or re.search(_SINGLE, path)
+    return m.group(1)
 
 
 def _m(path: str) -> Column:

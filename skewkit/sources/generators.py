@@ -24,12 +24,8 @@ PRODUCT_SHARES = (
     ("PRODUTO_B", 0.019),
     ("PRODUTO_C", 0.001),
 )
-SOLD_PRODUCTS = (
-    ("PROMO_ESPECIAL", "Special promotion", "Electronics"),
-    ("PRODUTO_A", "Product A", "Clothing"),
-    ("PRODUTO_B", "Product B", "Food"),
-    ("PRODUTO_C", "Product C", "Home"),
-)
+# Names and categories of the sold products follow from their position.
+SOLD_PRODUCTS = tuple((key, f"Item {i}", f"Category {i}") for i, (key, _) in enumerate(PRODUCT_SHARES, 1))
 FILLER_CATEGORY = "Other"
 DATE_SHARES = (("2024-01-01", 0.70), ("2024-01-02", 0.30))
 REGION_SHARES = ((None, 0.30), ("SP", 0.35), ("RJ", 0.245), ("MG", 0.105))

@@ -19,41 +19,24 @@ from pyspark.sql import functions as F
 
 from skewkit.sources import eventlog as ev
 
-# The fixed schema of the binaryFile source (a stream needs it stated).
-BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
+def event_stream(spark: SparkSession, log_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Streaming events of every finished log under ``log_dir`` (single files and rolled folders, plain or compressed).
 
-def event_stream(spark: SparkSession, log_dir: str, max_files_per_trigger: int | None = None,
-                 compressed: bool = True) -> DataFrame:
-    """Streaming events of every log under ``log_dir`` (single files and rolled folders).
-
-    ``compressed=True`` (any log, plain or zstd): files arrive through the
-    ``binaryFile`` stream source, one file per row, and are decoded by the
-    same line decoder and schema as the batch reader, so compressed logs,
-    which a text reader cannot split, are read whole by one task each.
-    ``compressed=False`` (folders of plain JSON-lines logs, e.g. written with
-    ``spark.eventLog.compress=false``): the JSON stream source parses them
-    in the JVM with the explicit schema.
+    The JSON stream source reads a file once, so files still being written
+    (``.inprogress``) are left until their final name appears. A damaged
+    line is an error, as in the batch reader.
     """
-    if not compressed:
-        reader = spark.readStream.schema(ev.EVENT_SCHEMA).option("recursiveFileLookup", "true")
-        if max_files_per_trigger:
-            reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-        raw = reader.json(log_dir)
-        return raw.where(F.col("Event").isNotNull()).withColumn(
-            "app_id", ev._app_from_path(F.col("_metadata.file_path")))
-    reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
-              .option("recursiveFileLookup", "true").option("pathGlobFilter", "[!.]*"))
+    reader = spark.readStream.schema(ev.EVENT_SCHEMA).option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    files = reader.load(log_dir).where(F.col("length") > 0)
-    return ev.parse_log_lines(ev.decode_log_files(files))
+    raw = reader.json(log_dir).withColumn("_path", F.col("_metadata.file_path")).where(~F.col("_path").endswith(".inprogress"))
+    return ev._checked(raw).withColumn("app_id", ev._app_from_path(F.col("_path"))).drop("_path")
 
 
-def task_stream(spark: SparkSession, log_dir: str, max_files_per_trigger: int | None = None,
-                compressed: bool = True) -> DataFrame:
+def task_stream(spark: SparkSession, log_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming task table, with ``finished_at`` as an event-time timestamp."""
-    return ev.tasks(event_stream(spark, log_dir, max_files_per_trigger, compressed)).withColumn(
+    return ev.tasks(event_stream(spark, log_dir, max_files_per_trigger)).withColumn(
         "finished_at", F.timestamp_millis("finish_time"))
 
 
@@ -88,7 +71,7 @@ def windowed_task_load(tasks: DataFrame, window: str = "1 minute", watermark: st
 
 def ingest_available(spark: SparkSession, log_dir: str, out_dir: str, checkpoint: str,
                      window: str = "1 minute", watermark: str = "10 minutes", mode: str = "update",
-                     compressed: bool = True) -> None:
+                     ) -> None:
     """Process every log file present now into Parquet, then stop.
 
     ``availableNow`` runs the stream to the end of the current input in
@@ -106,7 +89,7 @@ def ingest_available(spark: SparkSession, log_dir: str, out_dir: str, checkpoint
       of adding to it. :func:`merged_windows` merges the partials per window
       (all metrics are sums or maxima).
     """
-    tasks = task_stream(spark, log_dir, compressed=compressed)
+    tasks = task_stream(spark, log_dir)
     if mode == "append":
         w = (windowed_task_load(tasks, window, watermark).writeStream.format("parquet")
              .outputMode("append").option("path", out_dir))

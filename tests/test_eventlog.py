@@ -6,8 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
+from event_workload import recorded_log
 from skewkit.operators import diagnostics as dg
-from skewkit.plans import diagnosis
 from skewkit.sources import eventlog as ev
 
 APP = "app-20240101-0001"
@@ -126,8 +126,8 @@ def _raw_task_ends(log_dir):
 
 def test_recorded_workload(spark):
     """The recorded run over the given tables: broadcast removes the big shuffle."""
-    log = diagnosis.recorded_log(spark, SF_SMALL)
-    t = diagnosis.tables(spark, SF_SMALL)
+    log = recorded_log(SF_SMALL)
+    t = ev.read_event_tables(spark, log)
     assert t["tasks"].count() == _raw_task_ends(log) > 0
     totals = {r["run"]: r for r in dg.run_totals(t["tasks"], t["jobs"], by="description").collect()}
     assert totals["broadcast_join_agg"]["shuffle_write_bytes"] < totals["shuffle_join_agg"]["shuffle_write_bytes"]
@@ -141,7 +141,7 @@ def test_stream_windows_match_batch(spark):
     from skewkit.session import scratch_path
     from skewkit.streaming.eventlog_stream import ingest_available, merged_windows
 
-    log = diagnosis.recorded_log(spark, SF_SMALL)
+    log = recorded_log(SF_SMALL)
     batch = ev.read_event_tables(spark, log)["tasks"]
     out, ck = scratch_path(spark, "t-out"), scratch_path(spark, "t-ck")
     ingest_available(spark, log, out, ck, mode="update")
@@ -149,7 +149,7 @@ def test_stream_windows_match_batch(spark):
     win = merged_windows(spark, out)
     assert win.agg(F.sum("tasks")).first()[0] == batch.count()
     out2, ck2 = scratch_path(spark, "t-out2"), scratch_path(spark, "t-ck2")
-    ingest_available(spark, log, out2, ck2, mode="update", compressed=False)  # JVM JSON source
+    ingest_available(spark, log, out2, ck2, mode="update")
     assert merged_windows(spark, out2).agg(F.sum("tasks")).first()[0] == batch.count()
     assert win.agg(F.sum("shuffle_write_bytes")).first()[0] == batch.agg(F.sum("shuffle_write_bytes")).first()[0]
 
@@ -175,13 +175,55 @@ def test_stream_append_mode_emits_closed_windows(spark):
     from skewkit.session import scratch_path
     from skewkit.streaming.eventlog_stream import ingest_available
 
-    log = diagnosis.recorded_log(spark, SF_SMALL)
+    log = recorded_log(SF_SMALL)
     total = ev.read_event_tables(spark, log)["tasks"].count()
     out, ck = scratch_path(spark, "t-app"), scratch_path(spark, "t-app-ck")
-    ingest_available(spark, log, out, ck, mode="append", watermark="0 seconds", compressed=False)
-    import os
-    written = spark.read.parquet(out) if os.listdir(out.replace("file:", "")) else None
+    ingest_available(spark, log, out, ck, mode="append", watermark="0 seconds")
+    written = spark.read.parquet(out)
     # windows still open at the end of the input stay in state; none is written twice
-    if written is not None and written.count():
-        assert written.groupBy("app_id", "window_start").count().where("count > 1").count() == 0
-        assert written.agg(F.sum("tasks")).first()[0] <= total
+    assert written.groupBy("app_id", "window_start").count().where("count > 1").count() == 0
+    assert (written.agg(F.sum("tasks")).first()[0] or 0) <= total
+
+
+def _packed(lines, name):
+    import zstandard
+
+    d = tempfile.mkdtemp(prefix="skewkit-evlog-zstd-")
+    rolled = os.path.join(d, f"eventlog_v2_{APP}")
+    os.makedirs(rolled)
+    with open(os.path.join(rolled, name), "wb") as fh:
+        fh.write(lines if isinstance(lines, bytes) else zstandard.ZstdCompressor().compress("".join(lines).encode()))
+    return d
+
+
+def _log_lines(log_dir):
+    with open(os.path.join(log_dir, APP)) as fh:
+        return fh.read().splitlines(keepends=True)
+
+
+def test_compacted_log_gives_all_events(spark, log_dir):
+    d = _packed(_log_lines(log_dir), f"events_1_{APP}.zstd.compact")
+    assert ev.read_events(spark, d).count() == len(_log_lines(log_dir))
+
+
+@pytest.mark.parametrize("name", [f"events_1_{APP}.zstd", f"events_1_{APP}.zstd.compact"])
+def test_damaged_finished_log_is_an_error(spark, log_dir, name):
+    import zstandard
+
+    whole = zstandard.ZstdCompressor().compress("".join(_log_lines(log_dir)).encode())
+    middle = len(whole) // 2
+    broken = whole[:middle] + bytes(40) + whole[middle + 40:]
+    for raw in (broken, whole[:middle]):
+        with pytest.raises(Exception):
+            ev.read_events(spark, _packed(raw, name)).count()
+
+
+def test_killed_attempts_are_not_finished_tasks(spark):
+    d = tempfile.mkdtemp(prefix="skewkit-evlog-")
+    killed = _task(0, 9, 90_000, 10)
+    killed["Task Info"]["Killed"] = True
+    with open(os.path.join(d, APP), "w") as f:
+        for e in [*(_task(0, i, 100, 10) for i in range(3)), killed, {"Event": "SparkListenerApplicationEnd", "Timestamp": 1}]:
+            f.write(json.dumps(e) + "\n")
+    row = dg.stage_summary(ev.read_event_tables(spark, d)["tasks"]).first()
+    assert row["ok_tasks"] == 3 and row["max_duration_ms"] == 100

@@ -21,8 +21,5 @@ def test_retail_job_end_to_end(spark):
     assert sum(r["n_sales"] for r in summary) == 50_000
     regions = {r["region"]: r["n_customers"] for r in res.regions.collect()}
     assert set(regions) == {"UNKNOWN", "SP", "RJ", "MG"} and sum(regions.values()) == 10_000
-    out = spark.read.parquet(paths["out"])
-    assert out.count() == 8 * 4
-    # every summary row repeated once per region, totals unchanged
-    per_region = out.groupBy("region").agg(F.sum("n_sales").alias("n")).collect()
-    assert {r["n"] for r in per_region} == {50_000}
+    assert spark.read.parquet(f"{paths['out']}/summary").agg(F.sum("n_sales")).first()[0] == 50_000
+    assert spark.read.parquet(f"{paths['out']}/regions").count() == 4

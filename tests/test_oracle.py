@@ -10,8 +10,11 @@ import pytest
 import __spark_entry__ as entry_mod
 from conftest import SF_SMALL
 
-NAMES = sorted(entry_mod.oracle_sql())
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+from skewkit.plans import retail
+
+NAMES = sorted(retail.SQL)
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+          "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
 def _norm(v):

@@ -7,7 +7,9 @@ import pytest
 import __spark_entry__ as entry_mod
 from conftest import SF_SMALL, plan_text
 
-RETAIL = [k for k in entry_mod.queries() if not k.startswith("eventlog_")]
+from skewkit.plans import retail
+
+RETAIL = list(retail.QUERIES)
 
 
 def _plan(spark, name):
@@ -38,8 +40,16 @@ def test_left_joins_broadcast_the_small_side(spark, name):
     assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p
 
 
+def test_local_sort_has_no_exchange(spark):
+    assert "Exchange" not in _plan(spark, "sorted_within_partitions")
+
+
 def test_clustering_uses_range_partitioning(spark):
-    assert "rangepartitioning" in _plan(spark, "sorted_within_partitions")
+    from skewkit.operators.ordering import sort_within_partitions
+    from skewkit.plans import star
+
+    df = sort_within_partitions(star.sales(spark, SF_SMALL), ["flag", "amount"], partition_cols=["flag"])
+    assert "rangepartitioning" in plan_text(df)
 
 
 def test_top_k_is_take_ordered(spark):
