@@ -25,8 +25,11 @@ def _matching(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Language ID: documents with no language (a null text, or not one letter) go."""
     ship(spark)
-    known = langid.identify(docs, langid.fit_documents(docs)).where(F.col("lang_pred") != langid.UNDETERMINED)
-    return known.select(*docs.columns)
+    # columns under names of their own, so that none of the input's is taken for a prediction
+    own = {c: f"_{i}" for i, c in enumerate(docs.columns)}
+    known = langid.identify(docs.withColumnsRenamed(own), langid.fit_documents(docs), text_col=own["text"]).where(
+        F.col("lang_pred") != langid.UNDETERMINED)
+    return known.select(*[F.col(new).alias(old) for old, new in own.items()])
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

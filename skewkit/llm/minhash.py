@@ -162,7 +162,7 @@ def near_duplicates(docs: DataFrame, threshold: float = SIMILARITY, id_col: str
     of a bucket, not with their pairs. Links are verified exactly; classes
     are their connected components; n_links counts verified links of the node.
     A text without a word (null, empty) is alone in its class. Rows that share an
-    id are one document. Null ids get a row of their own without a class. An empty
+    id are one document, compared by its greatest text. Null ids get a row of their own without a class. An empty
     table gives an empty result.
     """
     base = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
@@ -170,7 +170,7 @@ def near_duplicates(docs: DataFrame, threshold: float = SIMILARITY, id_col: str
     named = sketch.where("doc_id IS NOT NULL AND words != 0")
     # one node per word sequence: the band keys are part of the key, so two hashes would have to collide at once
     nodes = materialize(named.groupBy("words", "bands").agg(F.min("doc_id").alias("node")), "nodes")
-    member_of = materialize(named.join(nodes, ["words", "bands"]).select("doc_id", "node").distinct(), "node-members")
+    member_of = materialize(named.join(nodes, ["words", "bands"]).groupBy("doc_id").agg(F.min("node").alias("node")), "node-members")
 
     entries = nodes.select("node", F.posexplode("bands").alias("band", "key"))
     sizes = materialize(entries.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
@@ -188,7 +188,7 @@ def near_duplicates(docs: DataFrame, threshold: float = SIMILARITY, id_col: str
     # a sort-merge join at any size, so that small and large inputs run by one plan
     candidates = members.select(F.col("node").alias("doc_id")).distinct().hint("merge")
     wanted = base.where("doc_id IS NOT NULL").join(candidates, "doc_id", "left_semi")
-    sets = materialize(wanted.dropDuplicates(["doc_id"]).mapInPandas(_sets, "doc_id bigint, shingles binary"), "shingle-sets")
+    sets = materialize(wanted.groupBy("doc_id").agg(F.max("text").alias("text")).mapInPandas(_sets, "doc_id bigint, shingles binary"), "shingle-sets")
     star = materialize(ordered(members.join(centres, ["band", "key"]).select(
         F.col("node").alias("x"), F.col("centre").alias("y"))), "star-pairs")
     links = _linked(star, sets, threshold, "star-links")
