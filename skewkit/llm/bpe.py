@@ -20,6 +20,8 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skewkit.llm.common import map_by_id
+
 RANKS = "byte_bpe_multi_50k.tiktoken"
 #: Texts above this many characters are encoded in segments of about this size.
 SEGMENT = 1 << 16
@@ -80,7 +82,6 @@ def encode_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     A null text counts as empty: 0 tokens. No shuffle; repeated rows give repeated rows.
     """
     base = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    id_type = base.schema["doc_id"].dataType.simpleString()
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc = encoding()
@@ -95,5 +96,5 @@ def encode_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
             out.insert(0, "doc_id", pdf["doc_id"].values)
             yield out
 
-    schema = f"doc_id {id_type}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-    return base.mapInPandas(run, schema + (", ids array<int>" if keep_ids else ""))
+    added = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+    return map_by_id(base, run, added + (", ids array<int>" if keep_ids else ""))

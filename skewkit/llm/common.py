@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -43,6 +43,19 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def map_by_id(base: DataFrame, run: Callable, added: str) -> DataFrame:
+    """``mapInPandas`` over rows with a doc_id, which ``run`` hands on beside the columns ``added``.
+
+    A bigint id travels as a string: pandas turns integers next to a null into
+    doubles, which round above 2**53.
+    """
+    id_type = base.schema["doc_id"].dataType.simpleString()
+    if id_type != "bigint":
+        return base.mapInPandas(run, f"doc_id {id_type}, {added}")
+    out = base.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(run, f"doc_id string, {added}")
+    return out.withColumn("doc_id", F.col("doc_id").cast("bigint"))
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective scrambler of 64-bit integers (splitmix64's finaliser)."""
     x = (x ^ (x >> U64(30))) * MIX1

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skewkit.llm.bpe import encode, encoding, segments
+from skewkit.llm.common import map_by_id
 
 #: Characters of a leaf, about; a leaf of more than SPLIT times as many is cut again.
 LEAF, SPLIT = 512, 4
@@ -111,7 +112,6 @@ def count_edited(docs: DataFrame, edits: Column, id_col: str = "doc_id", text_co
     """
     base = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
                        edits.cast(EDITS).alias("edits"))
-    id_type = base.schema["doc_id"].dataType.simpleString()
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc = encoding()
@@ -129,8 +129,8 @@ def count_edited(docs: DataFrame, edits: Column, id_col: str = "doc_id", text_co
             out.insert(0, "doc_id", pdf["doc_id"].values)
             yield out
 
-    return base.mapInPandas(run, f"doc_id {id_type}, n_tokens bigint, n_edits bigint, n_tokens_edited bigint, "
-                                 "n_chars_edited bigint, n_leaves bigint, n_reencoded bigint")
+    return map_by_id(base, run, "n_tokens bigint, n_edits bigint, n_tokens_edited bigint, "
+                                "n_chars_edited bigint, n_leaves bigint, n_reencoded bigint")
 
 
 def attach_edits(docs: DataFrame, edits: DataFrame) -> DataFrame:

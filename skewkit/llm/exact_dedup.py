@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skewkit.llm.common import byte_table
+from skewkit.llm.common import byte_table, map_by_id
 from skewkit.session import materialize
 
 #: Cuts where the lowest bits of the rolling hash's upper half are zero: 4 KiB on average, within these bounds.
@@ -103,9 +103,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     gives an empty result. Other columns are ignored.
     """
     base = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    id_type = base.schema["doc_id"].dataType.simpleString()
-    recipes = materialize(
-        base.mapInPandas(_recipes, f"doc_id {id_type}, recipe binary, text_sha256 string"), "recipes")
+    recipes = materialize(map_by_id(base, _recipes, "recipe binary, text_sha256 string"), "recipes")
     bad = materialize(colliding_chunks(base), "chunk-collisions")
     if not bad.isEmpty():  # an identifier was given to two contents: these recipes are told apart by whole texts
         raise ArithmeticError("two different chunks share a SHA-256 digest; recipes cannot identify texts")

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -153,27 +154,27 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
     ``lang_pred`` is the language with the largest proportion (ties: the first
     by name) and ``score`` that proportion. A null text, one without a letter,
     or a model without languages gives ``und`` with score 0. Whole texts are read;
-    nothing but the text decides; no shuffle.
+    nothing but the text decides; no shuffle. Other columns pass through as they are,
+    in Arrow batches, so that large integers beside nulls keep their values.
     """
     base = docs.drop("lang_pred", "score", "proportions")
     added = "lang_pred string, score double, proportions map<string,double>"
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            rows = []
-            for text in pdf[text_col]:
-                counts = ngram_counts(text) if model.languages else None
-                if counts is None:
-                    rows.append((UNDETERMINED, 0.0, {}))
-                    continue
-                pi = infer(counts, model)
-                best = int(pi.argmax())
-                rows.append((model.languages[best], min(1.0, float(pi[best])),
-                             {model.languages[i]: float(pi[i]) for i in np.flatnonzero(pi)}))
-            yield pdf.assign(**dict(zip(["lang_pred", "score", "proportions"], zip(*rows, strict=True), strict=True))
-                             if rows else {"lang_pred": None, "score": None, "proportions": None})
-
-    return base.mapInPandas(run, StructType([*base.schema.fields, *StructType.fromDDL(added).fields]))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            langs, scores, shares = [], [], []
+            for text in batch.column(text_col):
+                counts = ngram_counts(text.as_py()) if model.languages else None
+                pi = infer(counts, model) if counts is not None else np.zeros(0)
+                best = int(pi.argmax()) if len(pi) else None
+                langs.append(UNDETERMINED if best is None else model.languages[best])
+                scores.append(0.0 if best is None else min(1.0, float(pi[best])))
+                shares.append([(model.languages[i], float(pi[i])) for i in np.flatnonzero(pi)])
+            new = [pa.array(langs, pa.string()), pa.array(scores, pa.float64()),
+                   pa.array(shares, pa.map_(pa.string(), pa.float64()))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *new], [*batch.schema.names, "lang_pred", "score", "proportions"])
+
+    return base.mapInArrow(run, StructType([*base.schema.fields, *StructType.fromDDL(added).fields]))
 
 
 def fit_documents(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model:

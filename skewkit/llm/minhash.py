@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skewkit.llm.common import GOLDEN, MIX1, U64, mix64, step, text_batches, word_hashes
+from skewkit.llm.common import GOLDEN, MIX1, U64, map_by_id, mix64, step, text_batches, word_hashes
 from skewkit.llm.components import components
 from skewkit.session import materialize
 
@@ -166,7 +166,7 @@ def near_duplicates(docs: DataFrame, threshold: float = SIMILARITY, id_col: str
     table gives an empty result.
     """
     base = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    sketch = materialize(base.mapInPandas(_sketch, "doc_id bigint, words bigint, bands array<bigint>"), "sketches")
+    sketch = materialize(map_by_id(base, _sketch, "words bigint, bands array<bigint>"), "sketches")
     named = sketch.where("doc_id IS NOT NULL AND words != 0")
     # one node per word sequence: the band keys are part of the key, so two hashes would have to collide at once
     nodes = materialize(named.groupBy("words", "bands").agg(F.min("doc_id").alias("node")), "nodes")

@@ -20,6 +20,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skewkit.llm.common import map_by_id
+
 KINDS = ("email", "ip", "card", "phone")
 O = len(KINDS)  # noqa: E741 - the label of a unit that is none of the kinds
 Span = tuple[int, int, int]  # kind, start, end (code points, end exclusive)
@@ -238,7 +240,8 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_units: int = SAM
     """The field of a bounded hash sample of (doc_id, text); at most ``sample_units`` feature rows reach the driver."""
     n = docs.count()
     spread = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))
-    sample = docs.where(spread < int(1e6 * min(1.0, sample_docs / max(1, n)))).select("doc_id", "text")
+    sample = docs.where(spread < int(1e6 * min(1.0, sample_docs / max(1, n)))).select(
+        F.col("doc_id").cast("string").alias("doc_id"), "text")
 
     def examples(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
@@ -265,7 +268,6 @@ def find(docs: DataFrame, field: Field, id_col: str = "doc_id", text_col: str =
     spans, the digest of the empty string. Whole texts; no shuffle.
     """
     base = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    id_type = base.schema["doc_id"].dataType.simpleString()
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
@@ -280,7 +282,7 @@ def find(docs: DataFrame, field: Field, id_col: str = "doc_id", text_col: str =
             yield out
 
     counts = ", ".join(f"n_{k} bigint" for k in KINDS)
-    return base.mapInPandas(run, f"doc_id {id_type}, {counts}, base_sha256 string, spans string, n_added bigint")
+    return map_by_id(base, run, f"{counts}, base_sha256 string, spans string, n_added bigint")
 
 
 def find_personal_data(docs: DataFrame) -> DataFrame:

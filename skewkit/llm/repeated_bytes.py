@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skewkit.llm.common import U64, RollingHash, mix64, sliding_min, step
+from skewkit.llm.common import U64, RollingHash, map_by_id, mix64, sliding_min, step
 from skewkit.llm.suffix_groups import suffix_array
 from skewkit.session import materialize
 
@@ -272,5 +272,5 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ranges = repeated_ranges(keyed.select("row", "text"), hot_core)
     merged = ranges.distinct().groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("ranges"))
     whole = keyed.join(merged.hint("merge"), "row", "left").select("doc_id", "text", "ranges")
-    schema = f"doc_id {id_type}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
-    return whole.mapInPandas(lambda frames: _cut(frames, keep_bytes), schema + ", kept binary" * keep_bytes)
+    added = "n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
+    return map_by_id(whole, lambda frames: _cut(frames, keep_bytes), added + ", kept binary" * keep_bytes)

@@ -10,7 +10,9 @@ import pytest
 import corpus_pipeline
 from conftest import SF_ORACLE, SF_SMALL
 from edge_cases import edge_docs, no_docs, shipped  # noqa: F401
-from skewkit.llm import bpe, chaining, exact_dedup, minhash, mixing, queries, repeated_bytes, sorted_passes
+from skewkit.llm import (
+    bpe, chaining, edit_counts, exact_dedup, langid, minhash, mixing, personal_data, queries, repeated_bytes, sorted_passes,
+)
 from skewkit.llm.common import documents, word_hashes
 from skewkit.llm.components import components
 from skewkit.llm.suffix_groups import suffix_array
@@ -223,6 +225,22 @@ def test_sql_matches(spark, name):
     assert sorted(map(tuple, df.select(*want.columns).collect())) == sorted(want.fetchall())
 
 
+@pytest.mark.parametrize("operator", [
+    langid.identify_documents, bpe.encode_documents, repeated_bytes.remove_repeats, mixing.mix, personal_data.find_personal_data,
+    lambda d: edit_counts.count_edited(d, edit_counts.own_edits()), exact_dedup.exact_duplicates, minhash.near_duplicates,
+    lambda d: corpus_pipeline.keep_languages(d.sparkSession, d, SF_SMALL)],
+    ids=["language", "bpe", "bytes", "mix", "personal", "edits", "exact", "minhash", "stage"])
+def test_large_ids_beside_null_ids_keep_every_bit(spark, operator):
+    top = 2**62
+    rows = [(i, f"einige worte {i}", "de", None, top + 1) for i in (top + 1, None, top + 2, -top - 3)]
+    docs = spark.createDataFrame([*rows, (None, "mehr", "de", "a", None)],
+                                 "doc_id bigint, text string, lang string, source string, n_chars bigint").coalesce(1)
+    got = operator(docs)
+    assert sorted(r["doc_id"] or 0 for r in got.select("doc_id").collect()) == [-top - 3, 0, 0, top + 1, top + 2]
+    if "n_chars" in got.columns:
+        assert {r["n_chars"] for r in got.select("n_chars").collect()} == {None, top + 1}
+
+
 def test_pipeline_equals_brute_force(spark):
     """Stages of brute force: letters, last of equal texts, first of similar ones, the mix of what is left, library ids."""
     docs = documents(spark, SF_SMALL)
