@@ -33,8 +33,10 @@ _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
-_UNIT = re.compile(r"\+?\(?[0-9][0-9()\x20.-]*[0-9](?![A-Za-z0-9@_])|[A-Za-z0-9._%+-]*@[A-Za-z0-9.-]*"
-                   r"|(?<![A-Za-z0-9._%+-])[A-Za-z._%+-]*[0-9][A-Za-z0-9._%+-]*")
+#: The last choice passes over a run that holds no unit in one step, so a long one is not searched again from each of its characters.
+_UNIT = re.compile(r"\+?\(?[0-9][0-9()\x20.-]*[0-9](?![A-Za-z0-9@_])|[A-Za-z0-9._%+-]*+@[A-Za-z0-9.-]*"
+                   r"|(?<![A-Za-z0-9._%+-])[A-Za-z._%+-]*+[0-9][A-Za-z0-9._%+-]*"
+                   r"|(?P<none>[A-Za-z._%+-]++(?![@0-9])(?:(?<!\+)|(?!\()))")
 
 #: No kind has more digits.
 MOST_DIGITS = 19
@@ -109,6 +111,8 @@ def units(text: str, base: list[Span]) -> list[tuple[int, int, int]]:
     high = np.maximum.accumulate([b for _, b in busy]) if busy else np.zeros(0, int)
     lows = np.array([a for a, _ in busy])
     for m in _UNIT.finditer(text):
+        if m.lastgroup:
+            continue
         i = int(np.searchsorted(lows, m.end())) if len(lows) else 0
         if i and high[i - 1] > m.start():
             continue

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -122,6 +123,21 @@ def test_base_spans_equal_the_patterns(spark):
     assert personal_data.base_spans("9" * 200_000 + "@" + "a" * 200_000) == []  # in linear time
 
 
+def test_units_equal_a_search_from_every_character_and_take_linear_time():
+    plain = re.compile(r"\+?\(?[0-9][0-9()\x20.-]*[0-9](?![A-Za-z0-9@_])|[A-Za-z0-9._%+-]*@[A-Za-z0-9.-]*"
+                       r"|(?<![A-Za-z0-9._%+-])[A-Za-z._%+-]*[0-9][A-Za-z0-9._%+-]*")
+    rng = random.Random(6)
+    for _ in range(20_000):
+        text = "".join(rng.choice("ab1 2+(.@%-)\n") for _ in range(rng.randint(0, 30)))
+        want = [m.span() for m in plain.finditer(text)]
+        assert [(a, b) for a, b, _ in personal_data.units(text, [])] == want, text
+    for unit in ("x", "a+", "-", "1 ", "x1"):
+        text = "mail a@b.com " + unit * (2_000_000 // len(unit)) + " end"
+        begin = time.monotonic()
+        personal_data.units(text, personal_data.base_spans(text))
+        assert time.monotonic() - begin < 30
+
+
 def test_field_carries_labels_over_skip_edges_only():
     field = personal_data.Field(np.zeros((personal_data.FEATURES, 5)), np.zeros((5, 5)))
     text = ("call +1 (583) 555-8469, later 1.583.555.8469; card 4012429011158754, not 9777946427004852 nor 9777946427004852, "
