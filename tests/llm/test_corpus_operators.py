@@ -120,6 +120,41 @@ def test_fuzzy_passage_in_other_texts(spark, edge_docs, no_docs):
     assert chaining.repeated_passages(no_docs).count() == 0
 
 
+def test_two_passages_around_other_words(spark):
+    rng = random.Random(9)
+
+    def some(n):
+        return [f"w{rng.randrange(10**9)}" for _ in range(n)]
+
+    first, second = some(60), some(60)
+    rows = [(k, " ".join(some(90) + first + some(70) + second + some(30))) for k in (1, 2)]
+    got = chaining.repeated_passages(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {(r["doc_id"], r["start_word"], r["end_word"], r["identity"]) for r in got} == {
+        (k, *at, 1.0) for k in (1, 2) for at in ((90, 150), (220, 280))}
+
+
+def test_pieces_of_a_chain_cover_all_equal_windows():
+    rng = np.random.default_rng(12)
+    for _ in range(400):
+        common = rng.integers(0, 40, 500)  # chance matches in the gaps
+        x, y = [], []
+        for _ in range(int(rng.integers(2, 6))):
+            same = rng.integers(10**3, 10**9, int(rng.integers(20, 90)))
+            x += [rng.choice(common, int(rng.integers(0, 111))), same]
+            y += [rng.choice(common, int(rng.integers(0, 111))), same]
+        x, y = np.concatenate(x).astype("<u4"), np.concatenate(y).astype("<u4")
+        _, hx, px = chaining.seeds([" ".join(map(str, x.tolist()))])
+        _, hy, py = chaining.seeds([" ".join(map(str, y.tolist()))])
+        at = {h: p for h, p in zip(hy.tolist(), py.tolist(), strict=True)}
+        met = [(p, at[h]) for h, p in zip(hx.tolist(), px.tolist(), strict=True) if h in at]
+        found = chaining.passages(x, y, *np.array(met, dtype=np.int64).reshape(-1, 2).T)
+        assert all(min(e - s, u - t) >= 50 and share >= chaining.IDENTITY for s, e, t, u, share in found)
+        windows = {y[j:j + 50].tobytes(): j for j in range(len(y) - 49)}
+        for i in range(len(x) - 49):
+            j = windows.get(x[i:i + 50].tobytes())
+            assert j is None or any(s <= i and i + 50 <= e and t <= j and j + 50 <= u for s, e, t, u, _ in found), i
+
+
 def test_near_duplicates_equal_brute_force(spark):
     texts = _texts(spark, SF_ORACLE)
     sets = {}
