@@ -24,8 +24,8 @@ WORDS, SIMILARITY = 5, 0.8
 #: 16 bands of 5 registers: a pair at the threshold shares a band with probability 0.998.
 BANDS, ROWS = 16, 5
 REGISTERS = BANDS * ROWS
-#: Members of a larger bucket are compared in blocks of about this size, and with the bucket's centre.
-BLOCK = 8
+#: Buckets that the centres leave in several classes are compared in cells of two blocks of about so many members.
+BLOCK = 256
 #: Signatures are made for about this many bytes of text at a time.
 BATCH_BYTES = 1 << 21
 
@@ -157,9 +157,10 @@ def near_duplicates(docs: DataFrame, threshold: float = SIMILARITY, id_col: str
 
     Texts with the same words are one node, so copies are never expanded to
     pairs. In each band every member of a bucket is compared with the bucket's
-    centre, the member met by most others; then members of one block that are
-    still in different classes are compared with each other. So the work grows with the members
-    of a bucket, not with their pairs. Links are verified exactly; classes
+    centre, the member met by most others; then all members of a bucket that are
+    still in different classes are compared with each other, so every pair that
+    shares a band is in one class or compared. Work grows with the members of a bucket where the centre
+    joins them, and with their pairs only across classes. Links are verified exactly; classes
     are their connected components; n_links counts verified links of the node.
     A text without a word (null, empty) is alone in its class. Rows that share an
     id are one document, compared by its greatest text. Null ids get a row of their own without a class. An empty
@@ -176,8 +177,7 @@ def near_duplicates(docs: DataFrame, threshold: float = SIMILARITY, id_col: str
     sizes = materialize(entries.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
     members = materialize(entries.join(sizes, ["band", "key"]), "bucket-members")
     met = members.groupBy("node").agg(F.sum("n").alias("met"))
-    members = materialize(members.join(met, "node").withColumn(
-        "block", F.pmod(F.xxhash64("node", "band"), F.ceil(F.col("n") / BLOCK))), "bucket-blocks")
+    members = materialize(members.join(met, "node"), "bucket-met")
     centres = materialize(members.groupBy("band", "key").agg(
         F.max(F.struct("met", (-F.col("node")).alias("minus"))).alias("c")).select(
         "band", "key", (-F.col("c.minus")).alias("centre")), "centres")
@@ -194,12 +194,23 @@ def near_duplicates(docs: DataFrame, threshold: float = SIMILARITY, id_col: str
     links = _linked(star, sets, threshold, "star-links")
     so_far = materialize(components(links), "star-classes")
     rest = members.join(so_far.withColumnRenamed("component", "cls"), members["node"] == so_far["node"], "left").select(
-        "band", "key", "block", members["node"], F.coalesce("cls", members["node"]).alias("cls"))
-    rest = materialize(rest, "block-members")
-    other = rest.select("band", "key", "block", F.col("node").alias("node2"), F.col("cls").alias("cls2"))
-    inside = ordered(rest.join(other, ["band", "key", "block"]).where("node < node2 AND cls != cls2").select(
+        "band", "key", members["node"], F.coalesce("cls", members["node"]).alias("cls"))
+    rest = materialize(rest, "classed-members")
+    # what the centres leave apart: buckets of more than one class, each dealt to cells of two blocks of members
+    split = rest.groupBy("band", "key").agg(F.count("*").alias("n"), F.min("cls").alias("low"), F.max("cls").alias("high")).where("low != high")
+    split = split.select("band", "key", F.ceil(F.col("n") / BLOCK).cast("bigint").alias("blocks"))
+    block = F.pmod(F.xxhash64("node", "band"), F.col("blocks"))
+    celled = rest.join(split, ["band", "key"]).withColumn("block", block).withColumn(
+        "other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+    rest = materialize(celled.select("band", "key", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"),
+                                     "block", "node", "cls"), "cell-members")
+    cell = ["band", "key", "one", "two"]
+    other = rest.select(*cell, F.col("block").alias("block2"), F.col("node").alias("node2"), F.col("cls").alias("cls2"))
+    # a cell of two blocks compares one with the other, a cell of one block its own members
+    apart = "cls != cls2 AND ((one = two AND node < node2) OR (one < two AND block = one AND block2 = two))"
+    inside = ordered(rest.join(other, cell).where(apart).select(
         F.col("node").alias("x"), F.col("node2").alias("y"))).join(star, ["a", "b"], "left_anti")
-    more = _linked(materialize(inside, "block-pairs"), sets, threshold, "block-links")
+    more = _linked(materialize(inside, "cell-pairs"), sets, threshold, "cell-links")
     links = links.unionByName(more)
 
     classes = materialize(components(links), "classes").withColumnRenamed("component", "cls")

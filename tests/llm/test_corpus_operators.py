@@ -172,6 +172,29 @@ def test_near_duplicates_equal_brute_force(spark):
     assert got == want
 
 
+def test_near_duplicates_in_buckets_of_one_template(spark):
+    rng = random.Random(3)
+    template = [f"t{k}" for k in range(200)]
+
+    def changed(words, n):
+        out = list(words)
+        for k in rng.sample(range(200), n):
+            out[k] = f"c{rng.randrange(10**9)}"
+        return out
+
+    texts = {}
+    for k in range(0, 400, 2):  # alike at about 0.74 with the others, and a partner a bit above 0.8
+        words = changed(template, 3)
+        texts[k], texts[k + 1] = " ".join(words), " ".join(changed(words, 4))
+    doc, s, n, _ = minhash.shingles(list(texts.values()))
+    sig = minhash.signatures(doc, s, minhash.weights(n), len(texts)).reshape(len(texts), minhash.BANDS, minhash.ROWS)
+    sets = {k: (s[doc == k], minhash.weights(n[doc == k])) for k in texts}
+    met = ((a, b) for a in texts for b in range(a + 1, len(texts)) if (sig[a] == sig[b]).all(axis=1).any())
+    want = _roots(texts, [(a, b) for a, b in met if minhash.similarity(*sets[a], *sets[b]) >= 0.8])
+    got = minhash.near_duplicates(spark.createDataFrame(list(texts.items()), "doc_id bigint, text string"))
+    assert {r["doc_id"]: r["class_id"] for r in got.collect()} == want
+
+
 def test_signatures_estimate_probability_jaccard():
     rng = np.random.default_rng(1)
     x = rng.integers(1, 2**63, 400, dtype=np.uint64)
