@@ -14,9 +14,12 @@ from skewkit.llm import (
     langid,
     minhash,
     mixing,
+    periodic_runs,
     personal_data,
     repeated_bytes,
+    secret_novelty,
     sorted_passes,
+    turn_repair,
 )
 from skewkit.llm.common import documents, ship
 
@@ -71,6 +74,21 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return periodic_runs.summarise(periodic_runs.periodic_runs(documents(spark, sf_dir), looped=True))
+
+
+def op12_secret_novelty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return secret_novelty.find_secrets(documents(spark, sf_dir))
+
+
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return turn_repair.repair_damaged(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_mixture": op1_language_mixture,
     "op2_chained_passages": op2_chained_passages,
@@ -82,6 +100,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_vector_passes": op8_vector_passes,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_prob_minhash": op10_prob_minhash,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_secret_novelty": op12_secret_novelty,
+    "op13_turn_repair": op13_turn_repair,
 }
 
 SQL: dict[str, str] = {
