@@ -100,6 +100,11 @@ def skew_key_sql(id_col: str) -> str:
     )
 
 
+def hot_product_sql(id_col: str, product_col: str) -> str:
+    """SQL text of a product key of which product 1 has about 80 % of the rows."""
+    return f"CASE WHEN {id_col} % 10 < 8 THEN CAST(1 AS BIGINT) ELSE {product_col} END"
+
+
 def null_region(id_col: str | Column, region_col: str | Column) -> Column:
     """About 30 % NULL regions, derived from the id, else the given region."""
     return F.when(col_of(id_col) % 10 < 3, F.lit(None).cast("string")).otherwise(col_of(region_col))

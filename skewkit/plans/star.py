@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skewkit.functions.expressions import money_sum, null_region, quantity_int, skew_key
+from skewkit.functions.expressions import hot_product_sql, money_sum, null_region, quantity_int, skew_key
 from skewkit.sources.tables import read_table
 
 
@@ -38,6 +38,11 @@ def skewed_sales(spark: SparkSession, base: str) -> DataFrame:
     return sales(spark, base).withColumn("skew_key", skew_key("sale_id"))
 
 
+def hot_product_sales(spark: SparkSession, base: str) -> DataFrame:
+    """Sales of which one product has about 80 % and the others keep theirs: a skewed key with many values."""
+    return sales(spark, base).withColumn("product_id", F.expr(hot_product_sql("sale_id", "product_id")))
+
+
 def products(spark: SparkSession, base: str) -> DataFrame:
     return read_table(spark, base, "part", ["p_partkey", "p_name", "p_type"]).select(
         F.col("p_partkey").alias("product_id"),

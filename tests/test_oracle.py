@@ -10,9 +10,9 @@ import pytest
 import __spark_entry__ as entry_mod
 from conftest import SF_SMALL
 
-from skewkit.plans import retail
+from skewkit.plans import retail, scale
 
-NAMES = sorted(retail.SQL)
+NAMES = sorted(retail.SQL | scale.SQL)
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 

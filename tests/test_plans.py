@@ -7,9 +7,9 @@ import pytest
 import __spark_entry__ as entry_mod
 from conftest import SF_SMALL, plan_text
 
-from skewkit.plans import retail
+from skewkit.plans import retail, scale
 
-RETAIL = list(retail.QUERIES)
+RETAIL = list(retail.QUERIES | scale.QUERIES)
 
 
 def _plan(spark, name):
