@@ -24,8 +24,10 @@ WORDS, SIMILARITY = 5, 0.8
 #: 16 bands of 5 registers: a pair at the threshold shares a band with probability 0.998.
 BANDS, ROWS = 16, 5
 REGISTERS = BANDS * ROWS
-#: Buckets that the centres leave in several classes are compared in cells of two blocks of about so many members.
-BLOCK = 256
+#: What a centre leaves in several classes is compared block against block: so many members, or bytes of their sets, a block.
+BLOCK, BLOCK_BYTES = 512, 4 << 20
+#: Shared shingles that one matrix product takes at a time.
+COLUMNS = 4096
 #: Signatures are made for about this many bytes of text at a time.
 BATCH_BYTES = 1 << 21
 
@@ -133,22 +135,111 @@ def _sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"doc_id": pdf["doc_id"].values[lo:hi], "shingles": out})
 
 
-def _verify(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    def weighted(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
-        v = np.frombuffer(raw, dtype="<u4")
-        return v[:len(v) // 2], weights(v[len(v) // 2:])
+def _weighted(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    v = np.frombuffer(raw, dtype="<u4")
+    return v[:len(v) // 2], weights(v[len(v) // 2:])
 
+
+def _compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in frames:
-        sim = [similarity(*weighted(x), *weighted(y)) for x, y in zip(pdf["sa"], pdf["sb"], strict=True)]
-        yield pd.DataFrame({"a": pdf["a"], "b": pdf["b"], "similarity": sim})
+        sim = [similarity(*_weighted(x), *_weighted(c)) for x, c in zip(pdf["sx"], pdf["sc"], strict=True)]
+        yield pd.DataFrame({"x": pdf["x"], "c": pdf["c"], "similarity": sim})
+
+
+def _matrix(sets: list[tuple[np.ndarray, np.ndarray]], columns: np.ndarray) -> np.ndarray:
+    """Weights of the sets (rows) on the given sorted shingles (columns)."""
+    out = np.zeros((len(sets), len(columns)), dtype=np.float32)
+    for row, (keys, weight) in zip(out, sets, strict=True):
+        at = np.searchsorted(columns, keys)
+        at[at == len(columns)] = 0
+        here = columns[at] == keys
+        row[at[here]] = weight[here]
+    return out
+
 
+def most_alike(left: list[tuple[np.ndarray, np.ndarray]], right: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """An upper bound of the similarity of every left with every right set, exact for weights of one.
 
-def _linked(pairs: DataFrame, sets: DataFrame, threshold: float, name: str) -> DataFrame:
-    """The pairs (a, b) whose exact similarity reaches the threshold."""
-    both = (pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa")), "a")
-            .join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb")), "b"))
-    out = both.select("a", "b", "sa", "sb").mapInPandas(_verify, "a bigint, b bigint, similarity double")
-    return materialize(out.where(F.col("similarity") >= threshold - 1e-9), name)
+    With shares p and q of their weights that two sets have in common, it is pq / (p + q - pq) at most: the sum over the
+    common shingles of f(x, y) = xy / (y + (1 - q) x), which is concave and homogeneous, is at most f of the sums.
+    """
+    ours, theirs = (np.unique(np.concatenate([k for k, _ in side])) for side in (left, right))
+    shared = np.intersect1d(ours, theirs, assume_unique=True)
+    p, q = np.zeros((len(left), len(right))), np.zeros((len(left), len(right)))
+    for start in range(0, len(shared), COLUMNS):
+        columns = shared[start:start + COLUMNS]
+        a, b = _matrix(left, columns), _matrix(right, columns)
+        p += a @ (b > 0).T.astype(np.float32)
+        q += (a > 0).astype(np.float32) @ b.T
+    p /= np.array([w.sum() for _, w in left])[:, None]
+    q /= np.array([w.sum() for _, w in right])[None, :]
+    return np.divide(p * q, p + q - p * q, out=np.zeros_like(p), where=p > 0)
+
+
+def _cell_links(cell: pd.DataFrame, threshold: float) -> pd.DataFrame:
+    """Verified links between the two blocks of a cell: a spanning forest of the classes that alike pairs join."""
+    cell = cell.sort_values("x", ignore_index=True)
+    sets = [_weighted(raw) for raw in cell["shingles"]]
+    ids, cls = cell["x"].to_numpy(), cell["cls"].to_numpy()
+    i, j = cell["i"].iat[0], cell["j"].iat[0]
+    left, right = np.flatnonzero(cell["block"] == i), np.flatnonzero(cell["block"] == j)
+    out: list[tuple[int, int]] = []
+    if len(left) and len(right):
+        bound = most_alike([sets[k] for k in left], [sets[k] for k in right])
+        bound[cls[left][:, None] == cls[right][None, :]] = 0
+        if i == j:
+            bound = np.triu(bound, 1)
+        parent = {c: c for c in cls.tolist()}
+
+        def root(c: int) -> int:
+            while parent[c] != c:
+                parent[c] = c = parent[parent[c]]
+            return c
+
+        u, v = np.nonzero(bound >= threshold - 1e-4)  # products in single precision; the comparison below is exact
+        for k in np.argsort(-bound[u, v], kind="stable").tolist():
+            x, y = int(left[u[k]]), int(right[v[k]])
+            one, two = root(int(cls[x])), root(int(cls[y]))
+            if one != two and similarity(*sets[x], *sets[y]) >= threshold - 1e-9:
+                parent[one] = two
+                out.append((min(ids[x], ids[y]), max(ids[x], ids[y])))
+    return pd.DataFrame(out, columns=["a", "b"], dtype=np.int64)
+
+
+def _ordered(pairs: DataFrame, one: str, two: str) -> DataFrame:
+    return pairs.select(F.least(one, two).alias("a"), F.greatest(one, two).alias("b")).distinct()
+
+
+def _links(buckets: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Verified links (a, b): every alike pair of a bucket is linked or in one class by other links.
+
+    ``buckets`` holds (band, key, x). Each member is compared with its bucket's centre, the member met by most
+    others. Members of one centre that this leaves in different classes are dealt to blocks, and each cell of two blocks is
+    one task's: matrix products bound all its pairs at once, pairs above the threshold and in
+    different classes are verified, and only links that join classes leave the cell. So rows grow with the
+    members (times the blocks of their centre), never with their pairs.
+    """
+    keys = ["band", "key"]
+    met = buckets.join(buckets.groupBy(*keys).agg(F.count("*").alias("n")), keys).groupBy("x").agg(F.sum("n").alias("met"))
+    centres = materialize(buckets.join(met, "x").groupBy(*keys).agg(
+        F.max(F.struct("met", (-F.col("x")).alias("minus"))).alias("top")).select(*keys, (-F.col("top.minus")).alias("c")), "centres")
+    star = materialize(buckets.join(centres, keys).where("x != c").select("x", "c").distinct(), "star-pairs")
+    both = (star.join(sets.select(F.col("doc_id").alias("x"), F.col("shingles").alias("sx")), "x")
+            .join(sets.select(F.col("doc_id").alias("c"), F.col("shingles").alias("sc")), "c"))
+    seen = materialize(both.select("x", "c", "sx", "sc").mapInPandas(_compare, "x bigint, c bigint, similarity double"), "star-compared")
+    links = materialize(_ordered(seen.where(F.col("similarity") >= threshold - 1e-9), "x", "c"), "star-links")
+
+    classes = materialize(components(links).select(F.col("node").alias("x"), F.col("component").alias("cls")), "star-classes")
+    placed = materialize(star.join(classes, "x", "left").withColumn("cls", F.coalesce("cls", "x")), "placed-members")
+    apart = placed.groupBy("c").agg(F.count("*").alias("n"), F.min("cls").alias("low"), F.max("cls").alias("high")).where("low != high")
+    sized = placed.join(apart.select("c"), "c").join(sets.select(F.col("doc_id").alias("x"), F.length("shingles").alias("size")), "x")
+    blocks = sized.groupBy("c").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("size") / BLOCK_BYTES)).cast("bigint").alias("blocks"))
+    member = sized.join(blocks, "c").withColumn("block", F.pmod(F.xxhash64("x", "c"), F.col("blocks")))
+    cells = member.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))).select(
+        "c", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "x", "cls")
+    cells = materialize(cells, "cell-members").join(sets.withColumnRenamed("doc_id", "x"), "x")
+    more = cells.groupBy("c", "i", "j").applyInPandas(lambda cell: _cell_links(cell, threshold), "a bigint, b bigint")
+    return materialize(links.unionByName(materialize(more, "cell-links")).distinct(), "links")
 
 
 def near_duplicates(docs: DataFrame, threshold: float = SIMILARITY, id_col: str = "doc_id",
@@ -156,11 +247,8 @@ def near_duplicates(docs: DataFrame, threshold: float = SIMILARITY, id_col: str
     """One row per input row: doc_id, class_id (smallest id of its class), class_size, n_links, kept.
 
     Texts with the same words are one node, so copies are never expanded to
-    pairs. In each band every member of a bucket is compared with the bucket's
-    centre, the member met by most others; then all members of a bucket that are
-    still in different classes are compared with each other, so every pair that
-    shares a band is in one class or compared. Work grows with the members of a bucket where the centre
-    joins them, and with their pairs only across classes. Links are verified exactly; classes
+    pairs. Every alike pair that shares a band is in one class, or compared (:func:`_links`), without
+    the pairs of a bucket whose members only share a template. Links are verified exactly; classes
     are their connected components; n_links counts verified links of the node.
     A text without a word (null, empty) is alone in its class. Rows that share an
     id are one document, compared by its greatest text. Null ids get a row of their own without a class. An empty
@@ -174,44 +262,13 @@ def near_duplicates(docs: DataFrame, threshold: float = SIMILARITY, id_col: str
     member_of = materialize(named.join(nodes, ["words", "bands"]).groupBy("doc_id").agg(F.min("node").alias("node")), "node-members")
 
     entries = nodes.select("node", F.posexplode("bands").alias("band", "key"))
-    sizes = materialize(entries.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
-    members = materialize(entries.join(sizes, ["band", "key"]), "bucket-members")
-    met = members.groupBy("node").agg(F.sum("n").alias("met"))
-    members = materialize(members.join(met, "node"), "bucket-met")
-    centres = materialize(members.groupBy("band", "key").agg(
-        F.max(F.struct("met", (-F.col("node")).alias("minus"))).alias("c")).select(
-        "band", "key", (-F.col("c.minus")).alias("centre")), "centres")
-
-    def ordered(pairs: DataFrame) -> DataFrame:
-        return pairs.where("x != y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-
+    shared = entries.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    buckets = materialize(entries.join(shared, ["band", "key"]).withColumnRenamed("node", "x"), "bucket-members")
     # a sort-merge join at any size, so that small and large inputs run by one plan
-    candidates = members.select(F.col("node").alias("doc_id")).distinct().hint("merge")
+    candidates = buckets.select(F.col("x").alias("doc_id")).distinct().hint("merge")
     wanted = base.where("doc_id IS NOT NULL").join(candidates, "doc_id", "left_semi")
     sets = materialize(wanted.groupBy("doc_id").agg(F.max("text").alias("text")).mapInPandas(_sets, "doc_id bigint, shingles binary"), "shingle-sets")
-    star = materialize(ordered(members.join(centres, ["band", "key"]).select(
-        F.col("node").alias("x"), F.col("centre").alias("y"))), "star-pairs")
-    links = _linked(star, sets, threshold, "star-links")
-    so_far = materialize(components(links), "star-classes")
-    rest = members.join(so_far.withColumnRenamed("component", "cls"), members["node"] == so_far["node"], "left").select(
-        "band", "key", members["node"], F.coalesce("cls", members["node"]).alias("cls"))
-    rest = materialize(rest, "classed-members")
-    # what the centres leave apart: buckets of more than one class, each dealt to cells of two blocks of members
-    split = rest.groupBy("band", "key").agg(F.count("*").alias("n"), F.min("cls").alias("low"), F.max("cls").alias("high")).where("low != high")
-    split = split.select("band", "key", F.ceil(F.col("n") / BLOCK).cast("bigint").alias("blocks"))
-    block = F.pmod(F.xxhash64("node", "band"), F.col("blocks"))
-    celled = rest.join(split, ["band", "key"]).withColumn("block", block).withColumn(
-        "other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
-    rest = materialize(celled.select("band", "key", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"),
-                                     "block", "node", "cls"), "cell-members")
-    cell = ["band", "key", "one", "two"]
-    other = rest.select(*cell, F.col("block").alias("block2"), F.col("node").alias("node2"), F.col("cls").alias("cls2"))
-    # a cell of two blocks compares one with the other, a cell of one block its own members
-    apart = "cls != cls2 AND ((one = two AND node < node2) OR (one < two AND block = one AND block2 = two))"
-    inside = ordered(rest.join(other, cell).where(apart).select(
-        F.col("node").alias("x"), F.col("node2").alias("y"))).join(star, ["a", "b"], "left_anti")
-    more = _linked(materialize(inside, "cell-pairs"), sets, threshold, "cell-links")
-    links = links.unionByName(more)
+    links = _links(buckets, sets, threshold)
 
     classes = materialize(components(links), "classes").withColumnRenamed("component", "cls")
     degree = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).groupBy("node").agg(
