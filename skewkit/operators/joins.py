@@ -166,18 +166,13 @@ class CrossJoinTooLarge(ValueError):
     pass
 
 
-def guarded_cross_join(left: DataFrame, right: DataFrame, max_right_rows: int | None = None) -> DataFrame:
+def guarded_cross_join(left: DataFrame, right: DataFrame, max_right_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Every left row paired with every right row, for two aggregated tables.
 
-    The right side is measured first and broadcast within the broadcast bound
-    (a nested-loop join, no shuffle of left); past it the planner chooses.
-    The output grows as |left| x |right|, so a caller may set ``max_right_rows``, above which
-    the call is refused.
+    The right side is measured first and broadcast (a nested-loop join, no shuffle of left). The output grows
+    as |left| x |right|, so a right side above ``max_right_rows`` or the broadcast bound is refused with an error.
     """
-    size = measure_side(right, max_right_rows or BROADCAST_MAX_ROWS, BROADCAST_MAX_BYTES)
-    if not size.fits and max_right_rows is None:
-        return left.crossJoin(right)
-    if not size.fits:
+    if not measure_side(right, max_right_rows, BROADCAST_MAX_BYTES).fits:
         raise CrossJoinTooLarge(
             f"right side has more than {max_right_rows} rows or {BROADCAST_MAX_BYTES} bytes; "
             "aggregate it first or join on a key"

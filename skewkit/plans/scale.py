@@ -6,12 +6,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skewkit.functions.expressions import cents, cents_to_money, hot_product_sql, money_sum, money_sum_sql, skew_key_sql
-from skewkit.operators.joins import join_fanout, salted_join
+from skewkit.operators.incremental import apply_batch, current_totals
+from skewkit.operators.joins import join_fanout, join_strategy, salted_join
 from skewkit.operators.prefix import group_percentiles, running_totals, salted_distinct
 from skewkit.operators.reduction import reduced_join
 from skewkit.operators.sketches import fanout_bound
 from skewkit.operators.skew import bounded_hot_keys, heavy_hitters, skew_split_join
+from skewkit.operators.profile import balance_summary, partition_balance
 from skewkit.plans import retail, star
+from skewkit.plans.jobs import run_retail_job
+from skewkit.schema import CUSTOMERS, PRODUCTS, SALES
+from skewkit.session import scratch_path
+from skewkit.sinks.layout import clustered_write, compact_files, replace_partitions, write_bucketed
+from skewkit.sinks.writers import write_parquet
 from skewkit.sources.tables import read_table
 
 #: Share of rows above which a key of each column counts as heavy.
@@ -97,6 +104,131 @@ def running_sales_by_flag(spark: SparkSession, base: str) -> DataFrame:
                       cents_to_money(F.col("_all")).alias("flag_amount"))
 
 
+BUCKETS = 16
+
+
+def bucketed_order_totals(spark: SparkSession, base: str) -> DataFrame:
+    """Orders joined with their lines and summed per order, over two tables bucketed alike: no exchange."""
+    lines = write_bucketed(read_table(spark, base, "lineitem", ["l_orderkey", "l_extendedprice"]), "l_orderkey", BUCKETS, "lines")
+    orders = write_bucketed(read_table(spark, base, "orders", ["o_orderkey", "o_orderstatus"]), "o_orderkey", BUCKETS, "orders")
+    joined = lines.join(orders.hint("merge"), lines["l_orderkey"] == orders["o_orderkey"])
+    return joined.groupBy("l_orderkey", "o_orderstatus").agg(money_sum("l_extendedprice").alias("total_amount"),
+                                                             F.count(F.lit(1)).alias("n_lines"))
+
+
+def _event_days(spark: SparkSession, base: str) -> DataFrame:
+    return read_table(spark, base, "events", ["event_id", "ts", "user_id", "event_type", "value"]).withColumn("day", F.to_date("ts"))
+
+
+def replaced_days(spark: SparkSession, base: str) -> DataFrame:
+    """Events by day, of which one day was wrong and two days are written again: only these partitions are replaced."""
+    days = _event_days(spark, base)
+    first = F.lit("2024-01-02").cast("date")
+    path = scratch_path(spark, "event-days")
+    replace_partitions(days.withColumn("value", F.when(F.col("day") == first, F.lit(-1.0)).otherwise(F.col("value"))), path, ["day"])
+    for _ in range(2):  # idempotent
+        replace_partitions(days.where(F.col("day").isin("2024-01-02", "2024-01-05")), path, ["day"])
+    return spark.read.parquet(path).groupBy("day").agg(F.count("event_id").alias("n_events"), money_sum("value").alias("total_value"))
+
+
+def pruned_days(spark: SparkSession, base: str) -> DataFrame:
+    """Events of the days with most users, from a table partitioned by day: the join prunes the partitions it reads."""
+    path = replace_partitions(_event_days(spark, base), scratch_path(spark, "event-days"), ["day"])
+    events = spark.read.parquet(path)
+    calendar = spark.read.parquet(write_parquet(
+        _event_days(spark, base).groupBy("day").agg(F.countDistinct("user_id").alias("users"), F.dayofweek("day").alias("weekday")),
+        scratch_path(spark, "calendar")))
+    mondays = calendar.where("weekday = 2")
+    return events.join(F.broadcast(mondays), "day").groupBy("day", "event_type").agg(  # a row per day at most
+        F.count("event_id").alias("n_events"), F.max("users").alias("users"))
+
+
+def clustered_sales(spark: SparkSession, base: str) -> DataFrame:
+    """Sales written along a Z-order curve over (product, date), and read back by a filter on each."""
+    path = clustered_write(_dated(spark, base), scratch_path(spark, "z-sales"), ["product_id", "sale_date"], files=8)
+    sales = spark.read.parquet(path)
+    few = sales.where("product_id BETWEEN 10 AND 19").withColumn("filter", F.lit("product"))
+    month = sales.where("sale_date BETWEEN DATE'1997-03-01' AND DATE'1997-03-31'").withColumn("filter", F.lit("date"))
+    return few.unionByName(month)
+
+
+def compacted_files(spark: SparkSession, base: str) -> DataFrame:
+    """Orders written as one large and many small files, of which only the small ones are rewritten."""
+    root = scratch_path(spark, "fragmented")
+    orders = read_table(spark, base, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"])
+    bulk, rest = orders.where("o_orderkey % 4 > 0"), orders.where("o_orderkey % 4 = 0 OR o_orderkey IS NULL")
+    bulk.repartition(1).write.parquet(root)
+    size = spark.read.parquet(root).select(F.max("_metadata.file_size")).first()[0]
+    rest.repartition(24).write.mode("append").parquet(root)
+    return spark.read.parquet(*compact_files(spark, root, f"{root}-compacted", size, max(1, size // 4)))
+
+
+def incremental_totals(spark: SparkSession, base: str) -> DataFrame:
+    """Totals per (flag, product) after a first load, late rows (loaded twice) and a correction of wrong amounts."""
+    path, keys = scratch_path(spark, "totals"), ["flag", "product_id"]
+    s = star.sales(spark, base).select(*keys, "sale_id", "amount")
+    share = F.col("sale_id") % 10
+    wrong = F.when(share == 3, F.col("amount") + 100).otherwise(F.col("amount"))
+    apply_batch(s.where((share < 8) | F.col("sale_id").isNull()).withColumn("amount", wrong), path, "load", keys, "amount")
+    for _ in range(2):  # counted once
+        apply_batch(s.where(share >= 8), path, "late", keys, "amount")
+    old = s.where(share == 3).withColumn("sign", F.lit(-1)).withColumn("amount", F.col("amount") + 100)
+    new = s.where(share == 3).withColumn("sign", F.lit(1))
+    apply_batch(old.unionByName(new), path, "correction", keys, "amount", sign="sign")
+    return current_totals(spark, path, keys)
+
+
+PARTS = 16
+
+
+def _by_id(spark: SparkSession, base: str, salted: bool) -> DataFrame:
+    """Rows per physical partition of the skewed fact, dealt by its key, or by key and salt."""
+    s = star.skewed_sales(spark, base).select("skew_key", "sale_id")
+    key = F.length("skew_key")
+    return partition_balance(s.repartitionById(PARTS, ((key + F.col("sale_id") if salted else key) % PARTS).cast("int")))
+
+
+def partition_rows(spark: SparkSession, base: str) -> DataFrame:
+    """Rows of each physical partition, dealt by the skewed key and by key and salt."""
+    return _by_id(spark, base, False).withColumn("dealt", F.lit("key")).unionByName(
+        _by_id(spark, base, True).withColumn("dealt", F.lit("key and salt")))
+
+
+def partition_skew(spark: SparkSession, base: str) -> DataFrame:
+    """Partitions with rows, largest, median, their ratio and the largest share, before and after salting."""
+    return balance_summary(_by_id(spark, base, False)).withColumn("dealt", F.lit("key")).unionByName(
+        balance_summary(_by_id(spark, base, True)).withColumn("dealt", F.lit("key and salt")))
+
+
+#: The dimensions whose measured size picks a join, and their columns with text.
+DIMENSIONS = {"part": ["p_partkey", "p_name", "p_type"], "customer": ["c_custkey", "c_mktsegment"], "orders": ["o_orderkey", "o_custkey"]}
+STRATEGY_BYTES = (64 * 1024, 512 * 1024)
+
+
+def join_strategies(spark: SparkSession, base: str) -> DataFrame:
+    """The join that the three-tier size rule picks for each dimension, with bounds of 64 and 512 KB."""
+    out = []
+    for table, columns in DIMENSIONS.items():
+        tier, size = join_strategy(read_table(spark, base, table, columns), *STRATEGY_BYTES)
+        out.append((table, size.rows, size.bytes, tier))
+    return spark.createDataFrame(out, "dimension string, n_rows bigint, n_bytes bigint, strategy string")
+
+
+def retail_job(spark: SparkSession, base: str) -> DataFrame:
+    """The whole retail job over tables of its own shape written from the given ones: summary and regions as one table."""
+    paths = {n: scratch_path(spark, f"job-{n}") for n in ("sales", "products", "customers", "out")}
+    s = star.sales(spark, base).withColumn("sale_date", F.to_date("sale_ts"))
+    tables = {"sales": (s, SALES), "products": (star.products(spark, base), PRODUCTS),
+              "customers": (star.customers(spark, base).withColumn("monthly_income", F.lit(0)), CUSTOMERS)}
+    for name, (df, schema) in tables.items():
+        write_parquet(df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]), paths[name])
+    run_retail_job(spark, paths["sales"], paths["products"], paths["customers"], paths["out"])
+    summary = spark.read.parquet(f"{paths['out']}/summary").withColumn("part", F.lit("summary")).withColumn(
+        "product_id", F.col("product_id").cast("bigint"))
+    regions = spark.read.parquet(f"{paths['out']}/regions").withColumn("part", F.lit("regions"))
+    return summary.unionByName(regions, allowMissingColumns=True)
+
+
 QUERIES = {
     "skew_split_join": skew_split_join_q,
     "heavy_hitters": heavy_hitters_q,
@@ -106,6 +238,16 @@ QUERIES = {
     "skewed_order_statistics": skewed_order_statistics,
     "running_sales": running_sales,
     "running_sales_by_flag": running_sales_by_flag,
+    "bucketed_order_totals": bucketed_order_totals,
+    "replaced_days": replaced_days,
+    "pruned_days": pruned_days,
+    "clustered_sales": clustered_sales,
+    "compacted_files": compacted_files,
+    "incremental_totals": incremental_totals,
+    "partition_rows": partition_rows,
+    "partition_skew": partition_skew,
+    "join_strategies": join_strategies,
+    "retail_job": retail_job,
 }
 
 _HOT = hot_product_sql("l_orderkey", "l_partkey")
@@ -130,6 +272,18 @@ SELECT '{name}' AS join_key,
        TRUE AS holds, TRUE AS within_error"""
 
 
+def _parts_sql(salted: bool) -> str:
+    place = f"(LENGTH({_SKEW}) + {'l_orderkey' if salted else 0}) % {PARTS}"
+    return f"SELECT '{'key and salt' if salted else 'key'}' AS dealt, CAST({place} AS INT) AS partition_id, COUNT(*) AS n_rows FROM lineitem GROUP BY 2"
+
+
+def _strategy_sql(table: str, fixed: int, texts: tuple[str, ...]) -> str:
+    size = " + ".join([str(fixed), *[f"COALESCE(strlen({c}), 0) + 8" for c in texts]])
+    return f"""
+SELECT *, CASE WHEN n_bytes <= {STRATEGY_BYTES[0]} THEN 'broadcast' WHEN n_bytes <= {STRATEGY_BYTES[1]} THEN 'consider' ELSE 'planner' END AS strategy
+FROM (SELECT '{table}' AS dimension, COUNT(*) AS n_rows, CAST(COALESCE(SUM({size}), 0) AS BIGINT) AS n_bytes FROM {table}) x"""
+
+
 _DATED_SQL = """SELECT CAST(l_shipdate AS DATE) AS sale_date, l_orderkey AS sale_id, l_partkey AS product_id,
        l_extendedprice AS amount"""
 _CENTS_SQL = "CAST(ROUND(l_extendedprice * 100) AS HUGEINT)"
@@ -163,4 +317,35 @@ FROM lineitem WINDOW w AS ({_BY_DATE_SQL})""",
 {_DATED_SQL}, l_returnflag AS flag, ROW_NUMBER() OVER w AS rank, CAST(SUM({_CENTS_SQL}) OVER w AS DOUBLE) / 100.0e0 AS running_amount,
        CAST(SUM({_CENTS_SQL}) OVER (PARTITION BY l_returnflag) AS DOUBLE) / 100.0e0 AS flag_amount
 FROM lineitem WINDOW w AS (PARTITION BY l_returnflag {_BY_DATE_SQL})""",
+    "bucketed_order_totals": f"""
+SELECT l_orderkey, o_orderstatus, {money_sum_sql('l_extendedprice')} AS total_amount, COUNT(*) AS n_lines
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2""",
+    "replaced_days": f"""
+SELECT CAST(ts AS DATE) AS day, COUNT(event_id) AS n_events, {money_sum_sql('value')} AS total_value FROM events GROUP BY 1""",
+    "pruned_days": """
+WITH e AS (SELECT CAST(ts AS DATE) AS day, event_id, event_type, user_id FROM events),
+     c AS (SELECT day, COUNT(DISTINCT user_id) AS users FROM e GROUP BY day)
+SELECT e.day, event_type, COUNT(event_id) AS n_events, MAX(users) AS users
+FROM e JOIN c ON e.day = c.day WHERE dayofweek(e.day) = 1 GROUP BY e.day, event_type""",
+    "clustered_sales": f"""
+{_DATED_SQL}, l_returnflag AS flag, 'product' AS filter FROM lineitem WHERE l_partkey BETWEEN 10 AND 19
+UNION ALL
+{_DATED_SQL}, l_returnflag, 'date' FROM lineitem WHERE CAST(l_shipdate AS DATE) BETWEEN DATE '1997-03-01' AND DATE '1997-03-31'""",
+    "compacted_files": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders",
+    "incremental_totals": f"""
+SELECT l_returnflag AS flag, l_partkey AS product_id, {money_sum_sql('l_extendedprice')} AS total_amount, COUNT(*) AS n_rows
+FROM lineitem GROUP BY 1, 2""",
+    "partition_rows": f"{_parts_sql(False)}\nUNION ALL\n{_parts_sql(True)}",
+    "partition_skew": f"""
+SELECT dealt, COUNT(*) AS partitions, MAX(n_rows) AS max_rows, QUANTILE_DISC(n_rows, 0.5) AS median_rows,
+       MAX(n_rows) * 1.0e0 / QUANTILE_DISC(n_rows, 0.5) AS max_to_median, MAX(n_rows) * 1.0e0 / SUM(n_rows) AS largest_share
+FROM ({_parts_sql(False)}\nUNION ALL\n{_parts_sql(True)}) p GROUP BY dealt""",
+    "join_strategies": "\nUNION ALL\n".join((
+        _strategy_sql("part", 8, ("p_name", "p_type")), _strategy_sql("customer", 8, ("c_mktsegment",)), _strategy_sql("orders", 16, ()))),
+    "retail_job": f"""
+SELECT 'summary' AS part, product_id, category, sale_date, total_amount, n_sales, avg_quantity,
+       CAST(NULL AS VARCHAR) AS region, CAST(NULL AS BIGINT) AS n_customers
+FROM ({retail.SQL["sales_summary_by_date"]}) s
+UNION ALL
+SELECT 'regions', NULL, NULL, NULL, NULL, NULL, NULL, region, n_customers FROM ({retail.SQL["region_counts"]}) r""",
 }
