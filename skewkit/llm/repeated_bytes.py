@@ -204,20 +204,20 @@ def _cut(frames: Iterator[pd.DataFrame], keep_bytes: bool) -> Iterator[pd.DataFr
         rows = []
         for text, ranges in zip(pdf["text"], pdf["ranges"], strict=True):
             data = text.encode()
-            kept, at, removed, spans = [], 0, 0, 0
+            kept, at, runs = [], 0, []
             for a, b in sorted((r["start"], r["end"]) for r in ranges) if ranges is not None else ():
                 if b <= at:
                     continue
-                if a > at or not spans:  # touching ranges are one run
+                if a > at or not runs:  # touching ranges are one run
                     kept.append(data[at:a])
-                    spans += 1
-                removed += b - max(a, at)
-                at = b
+                    runs.append([a, b])
+                runs[-1][1] = at = b
             kept.append(data[at:])
             rest = b"".join(kept)
-            row = (len(data), removed, spans, hashlib.sha256(rest).hexdigest())
+            row = (len(data), sum(b - a for a, b in runs), len(runs), hashlib.sha256(rest).hexdigest(),
+                   ",".join(f"{a}:{b}" for a, b in runs))
             rows.append((*row, rest) if keep_bytes else row)
-        out = pd.DataFrame(rows, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * keep_bytes)
+        out = pd.DataFrame(rows, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"] + ["kept"] * keep_bytes)
         out.insert(0, "doc_id", pdf["doc_id"].values)
         yield out
 
@@ -256,7 +256,8 @@ def repeated_ranges(rows: DataFrame, hot_core: int = HOT_CORE) -> DataFrame:
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_bytes: bool = True,
                    hot_core: int = HOT_CORE) -> DataFrame:
-    """One row per input row: doc_id, n_bytes, n_removed, n_spans, kept_sha256, and kept (the remaining bytes) on request.
+    """One row per input row: doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans (the removed runs as start:end in bytes,
+    end exclusive, comma-joined), and kept (the remaining bytes) on request.
 
     Each byte of a string of ``WIDTH`` bytes that also starts anywhere else in any text, the same one included,
     goes; strings are judged on the input. A null text counts as empty; texts shorter
@@ -272,5 +273,5 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ranges = repeated_ranges(keyed.select("row", "text"), hot_core)
     merged = ranges.distinct().groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("ranges"))
     whole = keyed.join(merged.hint("merge"), "row", "left").select("doc_id", "text", "ranges")
-    added = "n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
+    added = "n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, spans string"
     return map_by_id(whole, lambda frames: _cut(frames, keep_bytes), added + ", kept binary" * keep_bytes)

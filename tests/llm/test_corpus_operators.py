@@ -65,6 +65,9 @@ def test_repeated_bytes_equal_brute_force(spark, hot_core):
         runs = sum(g and not before for g, before in zip(gone, b"\0" + bytes(gone)))
         r = got[k]
         assert (r["n_bytes"], r["n_removed"], r["n_spans"]) == (len(b), sum(gone), runs)
+        listed = [tuple(map(int, x.split(":"))) for x in r["spans"].split(",") if x]
+        assert {i for start, end in listed for i in range(start, end)} == {i for i, g in enumerate(gone) if g}
+        assert len(listed) == runs and listed == sorted(listed)
         assert bytes(r["kept"]) == kept and r["kept_sha256"] == hashlib.sha256(kept).hexdigest()
 
 
