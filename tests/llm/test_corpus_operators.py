@@ -274,6 +274,61 @@ def test_vector_links_equal_brute_force(spark):
     assert sorted_passes.near_duplicate_vectors(df.limit(0)).count() == 0
 
 
+def _all_pairs(rows, threshold=0.93):
+    """(links, smallest reachable id) per row number of (vec_id, vector, label), by one whole matrix per label."""
+    links, parent = [0] * len(rows), list(range(len(rows)))
+    for label in {r[2] for r in rows}:
+        at = np.array([i for i, r in enumerate(rows) if r[2] == label])
+        unit = sorted_passes.unit_rows(np.array([rows[i][1] for i in at], dtype=float))
+        near = unit @ unit.T >= threshold
+        np.fill_diagonal(near, False)
+        todo = np.ones(len(at), bool)
+        for i in range(len(at)):
+            links[at[i]] = int(near[i].sum())
+            if todo[i]:
+                front = reached = np.arange(len(at)) == i
+                while front.any():
+                    front = near[front].any(axis=0) & ~reached
+                    reached = reached | front
+                todo &= ~reached
+                low = min(rows[at[k]][0] for k in np.flatnonzero(reached))
+                for k in np.flatnonzero(reached):
+                    parent[at[k]] = low
+    return list(zip(links, parent, strict=True))
+
+
+@pytest.mark.parametrize(("size", "window", "block"), [(3000, 256, 512), (6000, sorted_passes.WINDOW, sorted_passes.BLOCK_ROWS)])
+def test_dense_labels_lose_no_link(spark, size, window, block):
+    """One label of distinct close vectors, most of them linked with most others, beside one of far vectors."""
+    rng = np.random.default_rng(size)
+    centre = rng.standard_normal(32)
+    dense = centre + rng.standard_normal((size, 32)) * 0.25
+    rows = [(i, v.tolist(), "dense") for i, v in enumerate(dense)]
+    rows += [(size + i, rng.standard_normal(32).tolist(), "far") for i in range(300)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label string")
+    rows = [(r[0], np.array(r[1], dtype=np.float32).astype(float), r[2]) for r in rows]
+    want = _all_pairs(rows)
+    assert 0.2 < sum(n for n, _ in want) / size**2 < 1
+    got = {r["vec_id"]: (r["n_links"], r["component_id"])
+           for r in sorted_passes.near_duplicate_vectors(df, window=window, block=block).collect()}
+    assert got == {r[0]: w for r, w in zip(rows, want, strict=True)}
+
+
+def test_repeated_null_and_clashing_columns_of_vectors(spark):
+    a, b, far = [1.0, 0.0], [1.0, 0.1], [0.0, 1.0]
+    rows = [(5, a, "x", 1, 1), (5, b, "x", 2, 1), (5, far, "x", 3, 1), (5, far, "x", 3, 1), (None, a, "x", 4, 1), (2, b, "y", 5, 1)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label string, n_links int, node int")
+    got = sorted((r["vec_id"] or -1, r["n_links"], r["component_id"], r["kept"])
+                 for r in sorted_passes.near_duplicate_vectors(df).collect())
+    assert got == [(-1, 0, None, True), (2, 0, 2, True), *[(5, 1, 5, True)] * 4]
+
+
+def test_projections_repeat_in_any_batch():
+    v = sorted_passes.unit_rows(np.random.default_rng(1).standard_normal((500, 48)))
+    whole = sorted_passes.prefixes(v, 3, 9)
+    assert [int(sorted_passes.prefixes(v[i:i + 1], 3, 9)[0]) for i in range(500)] == whole.tolist()
+
+
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_sql_matches(spark, name):
     import duckdb
