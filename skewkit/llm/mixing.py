@@ -18,7 +18,8 @@ from skewkit.session import materialize
 #: Code points other than space, tab and line breaks make words.
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS, BUDGET, MAX_COPIES = (5, 2, 1), 1.5, 2
-#: After the boundary, the gap is filled this often with the next documents in order that still fit.
+#: After the boundary, the gap is filled this often with the next documents in order that still fit; then the first one
+#: in order that ends nearer to the target than the gap leaves it is taken too.
 FILLS = 2
 
 
@@ -70,7 +71,7 @@ def mix(docs: DataFrame, seed: str = "mix:", id_col: str = "doc_id", text_col: s
 
     ``weight`` makes inclusion unequal inside a source (expected copies are in
     proportion to it); without it they are the source's target over its size.
-    A null or blank text has size 0 and takes 0 words; a null source is a source.
+    A source passes its target by less than half of the one boundary text that ends nearer to it so. A null or blank text has size 0 and takes 0 words; a null source is a source.
     Ties in the order (repeated ids) are broken by size. Reruns agree, since the
     random numbers are digests of the ids. An empty table gives an empty result.
     """
@@ -81,7 +82,7 @@ def mix(docs: DataFrame, seed: str = "mix:", id_col: str = "doc_id", text_col: s
                        .withColumn("row", F.monotonically_increasing_id()), "sizes")
     targets = source_targets(base, weights, budget, max_copies)
     if weight is None:
-        scale = targets.withColumn("rate_unit", F.col("target") / F.col("source_size"))
+        scale = targets.withColumn("rate_unit", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")))
     else:
         spread = base.groupBy("source").agg(F.sum(F.col("w") * F.col("size")).alias("ws"))
         scale = targets.join(spread, targets["source"].eqNullSafe(spread["source"])).drop(spread["source"]) \
@@ -95,7 +96,8 @@ def mix(docs: DataFrame, seed: str = "mix:", id_col: str = "doc_id", text_col: s
                                  (F.col("u") / (1 - F.col("u"))) / (F.col("p") / (1 - F.col("p"))))))
     # sqrt(n) bins follow the order of q, so neither the bins of a source nor the rows of its boundary bin are many;
     # q scaled by the odds of the source's own rate is uniform where rates are equal
-    share = F.col("target") / F.col("source_size") - F.floor(F.col("target") / F.col("source_size"))
+    share = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size"))
+    share = share - F.floor(share)
     odds = F.col("q") * F.when((share > 0) & (share < 1), share / (1 - share)).otherwise(1.0)
     d = d.withColumn("bin", F.floor(odds / (1 + odds) * F.ceil(F.sqrt("n_docs"))).cast("bigint"))
     d = materialize(d, "ranked")
@@ -129,11 +131,11 @@ def mix(docs: DataFrame, seed: str = "mix:", id_col: str = "doc_id", text_col: s
         took = before.select("source", "size", "row").unionByName(edge_rows.select("source", "size", "row"))
         took = materialize(took, f"took-{step}")
         picked.append(took)
-        if step == FILLS:
-            break
         used = took.groupBy("source").agg(F.sum("size").alias("used"))
         left = materialize(left.withColumnRenamed("source", "_s").join(used, on, "left").select(
             F.col("_s").alias("source"), (F.col("left") - F.coalesce("used", F.lit(0))).alias("left")), f"left-{step}")
+        if step == FILLS:
+            break
         gap = left.withColumnRenamed("source", "_s")
         open_rows = materialize(
             open_rows.join(gap, on).where(F.col("size") <= F.col("left")).drop("_s", "left")
@@ -141,6 +143,12 @@ def mix(docs: DataFrame, seed: str = "mix:", id_col: str = "doc_id", text_col: s
     extra = picked[0]
     for p in picked[1:]:
         extra = extra.unionByName(p)
+    gap = left.withColumnRenamed("source", "_s")
+    over = (d.where(F.col("q").isNotNull()).select("source", "q", "doc_id", "size", "row")
+            .join(gap, F.col("source").eqNullSafe(F.col("_s"))).where(F.col("size") < 2 * F.col("left"))
+            .join(extra.select("row"), "row", "left_anti"))
+    nearer = over.groupBy("source").agg(F.min(F.struct("q", "doc_id", "size", "row")).alias("at"))
+    extra = extra.unionByName(nearer.select("source", "at.size", "at.row"))
     out = d.join(extra.select("row", F.lit(1).alias("one_more")), "row", "left")
     copies = F.col("whole") + F.coalesce("one_more", F.lit(0))
     return out.select("doc_id", "size", "source_size", "target", copies.cast("bigint").alias("copies"),

@@ -3,8 +3,8 @@
 The patterns give the base spans. A random field over the number-like and
 address-like units of a document then looks for what they miss: neighbours share
 transition potentials, repeated or similar units anywhere in the document share
-skip potentials, and loopy message passing makes their labels agree. Its weights
-are trained here, from units that the patterns have labelled.
+skip potentials, and loopy message passing makes their labels agree. Its unit weights and
+transitions are trained here, from units that the patterns have labelled; the skip potential and the prior are constants.
 """
 
 from __future__ import annotations
@@ -48,7 +48,9 @@ SAMPLE_DOCS = 40_000
 FEATURES, STEPS, RATE, DECAY = 1 << 12, 150, 1.0, 1e-3
 #: Least log odds for "none" of a unit that no pattern labels; of a pattern's label; of sharing a kind over a skip edge; most of a chain edge.
 PRIOR, CLAMP, SKIP, CHAIN = 3.0, 8.0, 4.5, 1.0
-NEAR, ROUNDS, BELIEF = 40, 12, 0.6
+NEAR, BELIEF = 40, 0.6
+#: Messages are passed until none moves by ``REST``; loops that never rest are left after so many rounds.
+ROUNDS, REST = 500, 1e-3
 
 
 def _luhn(digits: str) -> bool:
@@ -177,14 +179,45 @@ def train(examples: list[tuple[list[int], int, int]]) -> Field:
     return Field(weights, np.clip(transition, -CHAIN, CHAIN))
 
 
-def beliefs(text: str, found: list[tuple[int, int, int]], field: Field) -> np.ndarray:
-    """Marginals of the units (units x labels) by loopy sum-product message passing.
+def skip_edges(text: str, found: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """Pairs of units that share a key: each with the one before it, and with the first of the key that a pattern labels.
+
+    So edges grow with the units, and a label is one hop away from every unit of its key. Units from which
+    these edges reach no labelled one have nothing to agree with; their edges are left out.
+    """
+    keys = [_skip_keys(text[a:b]) for a, b, _ in found]
+    labelled: dict[str, int] = {}
+    for i, (_, _, k) in enumerate(found):
+        if k != O:
+            for key in keys[i]:
+                labelled.setdefault(key, i)
+    edges: dict[tuple[int, int], None] = {}
+    parent = list(range(len(found)))
+
+    def root(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = i = parent[parent[i]]
+        return i
+
+    last: dict[str, int] = {}
+    for i in range(len(found)):
+        for key in keys[i]:
+            for j in (last.get(key, i), labelled.get(key, i)):
+                if j != i:
+                    edges[min(i, j), max(i, j)] = None
+                    parent[root(i)] = root(j)
+            last[key] = i
+    known = {root(i) for i, (_, _, k) in enumerate(found) if k != O}
+    return [e for e in edges if root(e[0]) in known]
+
 
-    Chain edges join neighbours at most ``NEAR`` characters apart; a skip edge joins
-    each unit to the next one with the same key, so edges grow with the units.
+def potentials_of(text: str, found: list[tuple[int, int, int]],
+                  field: Field) -> tuple[np.ndarray, list[tuple[int, int]], list[np.ndarray]]:
+    """Log potentials of the units, the edges and the log potentials of the edges.
+
+    Chain edges join neighbours at most ``NEAR`` characters apart; skip edges are those of :func:`skip_edges`.
     """
-    n, labels = len(found), O + 1
-    unary = np.zeros((n, labels))
+    unary = np.zeros((len(found), O + 1))
     for i, (a, b, k) in enumerate(found):
         unary[i] = _log_softmax(field.weights[_features(text, a, b)].sum(axis=0))
         if k != O:
@@ -192,21 +225,15 @@ def beliefs(text: str, found: list[tuple[int, int, int]], field: Field) -> np.nd
         else:  # shape and context alone never overrule the patterns, they only grade the kinds: links have to
             unary[i, :O] = np.minimum(unary[i, :O], unary[i, O] - PRIOR)
     agree = SKIP * np.diag([1.0] * O + [0.0])  # being none is no evidence against a similar unit
-    edges: list[tuple[int, int]] = []
-    potentials: list[np.ndarray] = []
-    last: dict[str, int] = {}
-    for i, (a, b, _) in enumerate(found):
-        if i and a - found[i - 1][1] <= NEAR:
-            edges.append((i - 1, i))
-            potentials.append(field.transition)
-        linked = set()
-        for key in _skip_keys(text[a:b]):
-            j = last.get(key)
-            if j is not None and j not in linked:
-                linked.add(j)
-                edges.append((j, i))
-                potentials.append(agree)
-            last[key] = i
+    chain = [(i - 1, i) for i in range(1, len(found)) if found[i][0] - found[i - 1][1] <= NEAR]
+    skip = skip_edges(text, found)
+    return unary, chain + skip, [field.transition] * len(chain) + [agree] * len(skip)
+
+
+def beliefs(text: str, found: list[tuple[int, int, int]], field: Field) -> np.ndarray:
+    """Marginals of the units (units x labels) by loopy sum-product message passing, until the messages rest."""
+    unary, edges, potentials = potentials_of(text, found, field)
+    labels = O + 1
     if not edges:
         return np.exp(_log_softmax(unary))
     e, psi = np.array(edges), np.stack(potentials)
@@ -219,7 +246,7 @@ def beliefs(text: str, found: list[tuple[int, int, int]], field: Field) -> np.nd
         new_back = _log_softmax(np.logaddexp.reduce((total[e[:, 1]] - forth)[:, None, :] + psi, axis=2))
         moved = max(np.abs(new_forth - forth).max(), np.abs(new_back - back).max())
         forth, back = 0.5 * (forth + new_forth), 0.5 * (back + new_back)
-        if moved < 1e-3:
+        if moved < REST:
             break
     total = unary.copy()
     np.add.at(total, e[:, 1], forth)
@@ -228,7 +255,11 @@ def beliefs(text: str, found: list[tuple[int, int, int]], field: Field) -> np.nd
 
 
 def added_spans(text: str, base: list[Span], field: Field) -> list[Span]:
-    """Units that no pattern labels and the field believes to be of a kind. Without base spans there is nothing to agree with."""
+    """Units that no pattern labels and the field believes to be of a kind.
+
+    Without a base span no unit has a skip edge, and chain edges alone (``CHAIN`` at most) never make up for ``PRIOR``: the
+    field then adds nothing, so it need not be run.
+    """
     if not base:
         return []
     found = units(text, base)
@@ -269,7 +300,8 @@ def find(docs: DataFrame, field: Field, id_col: str = "doc_id", text_col: str =
 
     Counts and ``base_sha256`` are of the base spans; ``spans`` also holds what the
     field adds, never overlapping a base span. A null text counts as empty: no
-    spans, the digest of the empty string. Whole texts; no shuffle.
+    spans, the digest of the empty string. Repeated rows and ids each get their own row; an empty table gives an
+    empty result; other columns are not read. Whole texts; no shuffle.
     """
     base = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 

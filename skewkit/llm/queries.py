@@ -147,10 +147,13 @@ g2 AS (SELECT *, left1 - SUM(CASE WHEN t2 THEN size ELSE 0 END) OVER (PARTITION
 o2 AS (SELECT *, open1 AND NOT t2 AND size <= left2 AS open2 FROM g2),
 p3 AS (
   SELECT *, open2 AND SUM(size) OVER (PARTITION BY source, open2 ORDER BY k, doc_id, size
-                                      ROWS UNBOUNDED PRECEDING) <= left2 AS t3 FROM o2)
+                                      ROWS UNBOUNDED PRECEDING) <= left2 AS t3 FROM o2),
+g3 AS (SELECT *, left2 - SUM(CASE WHEN t3 THEN size ELSE 0 END) OVER (PARTITION BY source) AS left3 FROM p3),
+o3 AS (SELECT *, k IS NOT NULL AND NOT t1 AND NOT t2 AND NOT t3 AND size < 2 * left3 AS open3 FROM g3),
+p4 AS (SELECT *, open3 AND ROW_NUMBER() OVER (PARTITION BY source, open3 ORDER BY k, doc_id, size) = 1 AS t4 FROM o3)
 SELECT doc_id, size, source_size, target,
-       CAST((whole + CAST(t1 OR t2 OR t3 AS BIGINT)) * size AS BIGINT) AS taken
-FROM p3""",
+       CAST((whole + CAST(t1 OR t2 OR t3 OR t4 AS BIGINT)) * size AS BIGINT) AS taken
+FROM p4""",
     "op9_exact_dedup": """
 SELECT doc_id, MAX(doc_id) OVER w AS keep_id, COUNT(*) OVER w AS group_size,
        doc_id IS NOT DISTINCT FROM MAX(doc_id) OVER w AS kept, sha256(COALESCE(text, '')) AS text_sha256

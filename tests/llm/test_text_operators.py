@@ -1,6 +1,7 @@
 """Operators that work on one text at a time, against brute force and on edge cases."""
 
 import hashlib
+import itertools
 import random
 import re
 import time
@@ -149,6 +150,51 @@ def test_field_carries_labels_over_skip_edges_only():
     assert personal_data.added_spans("plain 1234567890123456 text", [], field) == []
 
 
+def test_every_mention_is_one_hop_from_a_labelled_one():
+    field = personal_data.Field(np.zeros((personal_data.FEATURES, 5)), np.zeros((5, 5)))
+    for times in (5, 20, 40, 400):
+        for text in (" and ".join(["+1 (583) 555-8469"] + ["1.583.555.8469"] * times), " and ".join(["1.583.555.8469"] * times + ["+1 (583) 555-8469"])):
+            base = personal_data.base_spans(text)
+            assert len(base) == 1 and len(personal_data.added_spans(text, base, field)) == times
+    text = "+1 (583) 555-8469 " + " or ".join(["9777946427004852"] * 40)  # repeated, but nothing labelled to agree with
+    assert personal_data.added_spans(text, personal_data.base_spans(text), field) == []
+
+
+def test_beliefs_equal_enumerated_marginals():
+    """Exact on documents whose edges have no loop; the same decisions on small ones with loops."""
+    rng = np.random.default_rng(6)
+    phones = ["+1 (583) 555-8469", "1.583.555.8469", "583 555 8469", "anna.berg@mail.org", "anna.berg@", "7536784127813050", "10.0.0.1"]
+    loops = trees = 0
+    for _ in range(60):
+        weights = rng.normal(0, 0.7, (personal_data.FEATURES, 5))
+        weights[:, 4] += 0.5
+        field = personal_data.Field(weights, np.clip(rng.normal(0, 0.5, (5, 5)), -1, 1))
+        text = rng.choice([" see ", " " + "x" * 50 + " "]).join(rng.choice(phones, rng.integers(2, 6)))
+        found = personal_data.units(text, personal_data.base_spans(text))
+        unary, edges, potentials = personal_data.potentials_of(text, found, field)
+        n = len(found)
+        if not n:
+            continue
+        weight = {}
+        for labels in itertools.product(range(5), repeat=n):
+            score = sum(unary[i, k] for i, k in enumerate(labels))
+            weight[labels] = np.exp(score + sum(psi[labels[i], labels[j]] for (i, j), psi in zip(edges, potentials, strict=True)))
+        exact = np.array([[sum(w for ls, w in weight.items() if ls[i] == k) for k in range(5)] for i in range(n)]) / sum(weight.values())
+        got = personal_data.beliefs(text, found, field)
+        joined = list(range(n))
+        tree = True
+        for i, j in edges:
+            a, b = joined[i], joined[j]
+            tree &= a != b
+            joined = [a if x == b else x for x in joined]
+        trees, loops = trees + tree, loops + (not tree)
+        if tree:
+            assert np.abs(got - exact).max() < 5e-3
+        sure = exact.max(axis=1) > 0.75
+        assert (got.argmax(axis=1) == exact.argmax(axis=1))[sure].all()
+    assert trees > 5 and loops > 5
+
+
 def test_personal_data_edge_cases(edge_docs, no_docs):
     got = personal_data.find_personal_data(edge_docs)
     assert got.count() == edge_docs.count() and personal_data.find_personal_data(no_docs).count() == 0
@@ -168,6 +214,25 @@ def test_mix_reaches_targets_and_agrees(edge_docs, no_docs, spark):
     assert sizes[5] == sizes[6] == sizes[7] == 0 and sizes[13] == 5000
 
 
+def test_boundary_text_is_taken_when_it_ends_nearer(spark):
+    """Sources of one or few long texts: independent of the SQL, the taken words end near the target."""
+    rows = [(1, "w " * 1000, "a"), (2, "w " * 100, "b"), (3, "w " * 800, "b"), (4, "w " * 3000, "c"), (5, None, None)]
+    rows += [(10 + i, "w " * (37 + i % 50), "d") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    for budget in (0.3, 0.7, 1.0, 1.5, 1.9):
+        got = mixing.mix(docs, budget=budget).join(docs.select("doc_id", "source"), "doc_id").collect()
+        for source in "abcd":
+            mine = [r for r in got if r["source"] == source]
+            taken, target = sum(r["taken"] for r in mine), mine[0]["target"]
+            spare = [r["size"] for r in mine if r["copies"] <= target / r["source_size"]]  # no further copy drawn
+            assert all(r["taken"] <= 2 * r["size"] for r in mine)
+            assert taken - target <= max(r["size"] for r in mine) / 2
+            assert taken >= target or not spare or target - taken <= min(spare) / 2 or source == "d" and target - taken <= 0.05 * target
+    one = spark.createDataFrame([(1, "w " * 1000, "a")], "doc_id bigint, text string, source string")
+    assert [(r["target"], r["taken"]) for r in mixing.mix(one, budget=0.95).collect()] == [(950.0, 1000)]
+    assert [(r["target"], r["taken"]) for r in mixing.mix(one, budget=0.4).collect()] == [(400.0, 0)]
+
+
 def test_word_size_counts_what_the_pattern_matches(spark):
     text = "a b c\x0bd\x0ce\r\nf g\x1fh  "
     df = spark.createDataFrame([(text,)], "text string").select(mixing.word_count(F.col("text")))
@@ -178,5 +243,6 @@ def test_word_size_counts_what_the_pattern_matches(spark):
 def test_unequal_weights_keep_the_targets(spark, weight):
     d = documents(spark, SF_ORACLE)
     rows = mixing.mix(d, weight=F.expr(weight)).join(d.select("doc_id", "source"), "doc_id")
-    for r in rows.groupBy("source").agg(F.sum("taken").alias("k"), F.first("target").alias("t")).collect():
-        assert r["k"] <= r["t"] + 1e-6 and r["k"] >= 0.8 * r["t"]
+    totals = rows.groupBy("source").agg(F.sum("taken").alias("k"), F.first("target").alias("t"), F.max("size").alias("longest"))
+    for r in totals.collect():  # a boundary text may pass the target by less than half of its size
+        assert r["k"] <= r["t"] + r["longest"] / 2 and r["k"] >= 0.8 * r["t"]
