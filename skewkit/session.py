@@ -100,7 +100,19 @@ def materialize(df, name: str):
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    table = spark.read.parquet(path)
+    table.scratch_path = path
+    return table
+
+
+def discard(*tables) -> None:
+    """Delete tables that ``materialize`` wrote, once nothing unwritten reads them any more."""
+    for table in tables:
+        path = table.__dict__.pop("scratch_path", None)
+        sc = _context(table.sparkSession)
+        if path and sc is not None:
+            where = sc._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(sc._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def master_of(spark: SparkSession) -> str:
