@@ -2,7 +2,10 @@
 
 Seeds are word k-mers picked by their hash in every window. A document is compared
 with two fixed documents of each seed it shares, the ones with the smallest and the largest
-id, so the work grows with the seeds and never with their pairs. The shared
+id, so the work grows with the seeds and never with their pairs. Seeds that stand in more
+places get longer keys, each again with its two documents: first the seed with the
+next one, then, where that is not enough, every whole window of the least
+passage's words. The shared
 seeds of two documents are chained in order by a Fenwick tree that charges for
 gaps; chains are aligned word by word and extended past their ends. A part
 of a chain that is not alike enough as a whole is cut to the pieces that are.
@@ -17,8 +20,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skewkit.llm.common import U64, mix64, sliding_min, step, text_batches, word_hashes
-from skewkit.session import materialize
+from skewkit.llm.common import U64, RollingHash, mix64, sliding_min, step, text_batches, word_hashes
+from skewkit.session import discard, materialize
 
 #: Words of a seed, and neighbouring seeds of which the least is picked: equal runs of 27 words share a seed.
 SEED, WINDOW = 8, 20
@@ -32,6 +35,9 @@ _SHIFTS = sorted(((p, q) for p in range(SHIFT + 1) for q in range(SHIFT + 1) if
 #: Stretches of up to so many words between seeds are aligned in full; longer ones end a passage.
 STRETCH = 128
 BATCH = 1 << 21
+#: Pairs of one partner that share a copy of its words; a partner of more pairs is sent once a slice of them.
+SLICE = 256
+_CONTEXTS = RollingHash(11, 0xC2B2AE3D27D4EB4F)
 #: Low bits of a ranked hash that hold its index within a batch.
 _INDEX = U64((1 << 28) - 1)
 
@@ -62,11 +68,16 @@ def seeds(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _seed_rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Seeds, each with the hash of itself, the next seed of its text and the way to it (``pair``; the last has 0 words to go)."""
     for pdf in frames:
         texts, ids = pdf["text"].tolist(), pdf["doc_id"].to_numpy()
         for lo, hi in text_batches(texts, BATCH):
             doc, h, at = seeds(texts[lo:hi])
-            yield pd.DataFrame({"seed": h.view(np.int64), "doc": ids[lo:hi][doc], "at": at.astype(np.int32)})
+            on = np.zeros(len(doc), dtype=np.int64)
+            on[:-1] = np.where(doc[1:] == doc[:-1], at[1:] - at[:-1], 0)
+            pair = mix64(mix64(h + step(1)) + np.roll(h, -1) + on.astype(U64) * step(2))
+            yield pd.DataFrame({"key": h.view(np.int64), "doc": ids[lo:hi][doc], "at": at.astype(np.int32),
+                                "pair": pair.view(np.int64), "on": on.astype(np.int32)})
 
 
 def _word_rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -336,6 +347,97 @@ def _merge(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame([held], columns=names)
 
 
+def _matches(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """(places of shared keys with their documents low and high and their number n; doc, partner, match of every place).
+
+    ``rows`` are (key, doc, at, ..). A key is compared with its first place in
+    the partner: the extension finds the rest of what repeats there.
+    """
+    shared = materialize(rows.groupBy("key").agg(F.min("doc").alias("low"), F.max("doc").alias("high"), F.count("*").alias("n"))
+                         .where("low != high"), f"{name}-shared")
+    met = materialize(rows.join(shared.hint("merge"), "key"), f"{name}-places")
+    there = materialize(met.where("doc = low OR doc = high").groupBy("key", F.col("doc").alias("partner")).agg(
+        F.min("at").alias("there")), f"{name}-partner-places")
+    sides = met.select("key", "doc", "at", F.explode(F.array("low", "high")).alias("partner")).where("doc != partner")
+    found = materialize(sides.join(there.hint("merge"), ["key", "partner"]).select(
+        "doc", "partner", (F.shiftleft(F.col("at").cast("bigint"), 32) + F.col("there")).alias("match")), f"{name}-matches")
+    discard(shared, there)
+    return met, found
+
+
+def _open_keys(min_words: int):
+    """Keys with a place around which a window of ``min_words`` lies in no range found."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            out = [np.zeros(0, dtype=np.int64)]
+            for n, keys, ats, ends, ranges in zip(pdf["n_words"], pdf["keys"], pdf["ats"], pdf["ends"], pdf["ranges"], strict=True):
+                low = np.maximum(np.asarray(ends, dtype=np.int64) - min_words, 0)
+                high = np.minimum(np.asarray(ats, dtype=np.int64) + min_words, n)
+                begin, end = ([], []) if ranges is None else np.array([(r["start"], r["end"]) for r in ranges]).T
+                order = np.argsort(begin)
+                begin = np.concatenate(([-1], np.asarray(begin, dtype=np.int64)[order]))
+                end = np.concatenate(([-1], np.asarray(end, dtype=np.int64)[order]))
+                closed = end[np.searchsorted(begin, low, side="right") - 1] >= high
+                out.append(np.unique(np.asarray(keys, dtype=np.int64)[(high - low >= min_words) & ~closed]))
+            yield pd.DataFrame({"key": np.unique(np.concatenate(out))})
+
+    return run
+
+
+def _window_rows(min_words: int):
+    """Hashes of all windows of ``min_words`` around the given places of a document."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            for doc, words, ats, ends in zip(pdf["doc"], pdf["words"], pdf["ats"], pdf["ends"], strict=True):
+                w = np.frombuffer(words, dtype="<u4").astype(U64)
+                low = np.maximum(np.asarray(ends, dtype=np.int64) - min_words, 0)
+                high = np.minimum(np.asarray(ats, dtype=np.int64), len(w) - min_words) + 1
+                low, high = low[low < high], high[low < high]
+                wanted = np.zeros(len(w) + 2, dtype=np.int64)
+                np.add.at(wanted, low, 1)
+                np.add.at(wanted, high, -1)
+                at = np.flatnonzero(np.cumsum(wanted) > 0)
+                h = mix64(_CONTEXTS.windows(_CONTEXTS.prefix_of(mix64(w + step(3))), min_words)[at])
+                yield pd.DataFrame({"key": h.view(np.int64), "doc": doc, "at": at.astype(np.int32)})
+
+    return run
+
+
+_FOUND = "doc bigint, partner bigint, start bigint, end bigint, other_start bigint, other_end bigint, identity double"
+
+
+def _compare(matches: DataFrame, words: DataFrame, min_words: int, identity: float, name: str) -> DataFrame:
+    """Passages of every (doc, partner) by its matches. A partner of many pairs is sent once a slice of them, to several tasks."""
+    pairs = materialize(matches.groupBy("doc", "partner").agg(F.collect_set("match").alias("matches")), f"{name}-pairs")
+    slices = materialize(pairs.groupBy("partner").agg(F.ceil(F.count("*") / F.lit(SLICE)).cast("int").alias("slices")), f"{name}-slices")
+    many = slices.where("slices > 1")
+    split = pairs.join(many, "partner", "left").withColumn(
+        "slice", F.pmod(F.xxhash64("doc"), F.coalesce("slices", F.lit(1))).cast("int")).drop("slices")
+    others = words.join(slices.withColumnRenamed("partner", "doc").hint("merge"), "doc").select(
+        F.col("doc").alias("partner"), F.col("words").alias("other"), F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"))
+    both = (split.join(words.hint("merge"), "doc").join(others.hint("merge"), ["partner", "slice"])
+            .select("doc", "partner", "matches", "words", "other"))
+    found = materialize(both.mapInPandas(_find(min_words, identity), _FOUND), f"{name}-passages")
+    discard(pairs, slices)
+    return found
+
+
+def _ranges(found: DataFrame) -> DataFrame:
+    """The ranges (doc, start, end, partner, identity) of both sides, those that overlap as one."""
+    both = found.select("doc", "start", "end", "partner", "identity").unionByName(found.select(
+        F.col("partner").alias("doc"), F.col("other_start").alias("start"), F.col("other_end").alias("end"),
+        F.col("doc").alias("partner"), "identity"))
+    # a document that many others repeat has many equal ranges: these meet in the partial aggregate, the rest in salted parts
+    ranges = both.groupBy("doc", "start", "end").agg(F.min("partner").alias("partner"), F.max("identity").alias("identity"))
+    schema = "doc bigint, part int, start bigint, end bigint, partner bigint, identity double"
+    for part in (F.pmod(F.xxhash64("start", "end"), F.lit(64)).cast("int"), F.lit(0)):
+        ranges = (ranges.select("doc", part.alias("part"), "start", "end", "partner", "identity").repartition("doc", "part")
+                  .sortWithinPartitions("doc", "part", "start", "end").mapInPandas(_merge, schema))
+    return ranges
+
+
 def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, identity: float = IDENTITY,
                       id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per passage of a document that repeats, exactly or nearly, in another document.
@@ -347,42 +449,44 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, identity: flo
     passage. Documents without one have no row; nulls, empty texts and texts
     shorter than a passage have none. Rows that share an id are one document, the
     longest text of which is read; rows without an id are left out, as no result could name them.
+
+    Every run of ``min_words`` equal words is in a passage if it has 47 words at least (two
+    picked seeds in a row), however many documents hold its seeds: a seed, or two in a row, that
+    stand in two places only name the pair; where they stand in more and a
+    window around them is in no passage yet, the window itself is the key.
     """
     base = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")).where(
         "doc_id IS NOT NULL AND text IS NOT NULL")
-    rows = base.mapInPandas(_seed_rows, "seed bigint, doc bigint, at int")
-    shared = materialize(rows.groupBy("seed").agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
-                         .where("low != high"), "shared-seeds")
-    met = materialize(rows.join(shared.hint("merge"), "seed"), "seed-matches")
-    # a seed stands at its first place in the partner: the extension finds the rest of what repeats there
-    there = materialize(met.where("doc = low OR doc = high").groupBy("seed", F.col("doc").alias("partner")).agg(
-        F.min("at").alias("there")), "partner-places")
-    sides = met.select("seed", "doc", "at", F.explode(F.array("low", "high")).alias("partner")).where("doc != partner")
-    pairs = materialize(sides.join(there.hint("merge"), ["seed", "partner"]).groupBy("doc", "partner").agg(
-        F.collect_list(F.shiftleft(F.col("at").cast("bigint"), 32) + F.col("there")).alias("matches")), "document-pairs")
-
-    ids = pairs.select("doc").unionByName(pairs.select(F.col("partner").alias("doc"))).distinct().hint("merge")
-    wanted = base.join(ids, base["doc_id"] == ids["doc"], "left_semi")
-    words = materialize(wanted.mapInPandas(_word_rows, "doc bigint, words binary"), "words")
-    words = words.groupBy("doc").agg(F.max_by("words", F.length("words")).alias("words"))
-    words = materialize(words, "document-words")
-    found = (pairs.join(words.hint("merge"), "doc")
-             .join(words.select(F.col("doc").alias("partner"), F.col("words").alias("other")).hint("merge"), "partner")
-             .select("doc", "partner", "matches", "words", "other"))
-    found = materialize(found.mapInPandas(
-        _find(min_words, identity),
-        "doc bigint, partner bigint, start bigint, end bigint, other_start bigint, other_end bigint, identity double"), "passages")
+    rows = base.mapInPandas(_seed_rows, "key bigint, doc bigint, at int, pair bigint, on int")
+    met, by_seed = _matches(rows, "seeds")
+    contexts, by_context = _matches(met.where("n > 2 AND on > 0").select(
+        F.col("pair").alias("key"), "doc", "at", (F.col("at") + F.col("on") + SEED).alias("end")), "contexts")
 
-    both = found.select("doc", "start", "end", "partner", "identity").unionByName(found.select(
-        F.col("partner").alias("doc"), F.col("other_start").alias("start"), F.col("other_end").alias("end"),
-        F.col("doc").alias("partner"), "identity"))
-    # a document that many others repeat has many equal ranges: these meet in the partial aggregate, the rest in salted parts
-    ranges = both.groupBy("doc", "start", "end").agg(F.min("partner").alias("partner"), F.max("identity").alias("identity"))
-    schema = "doc bigint, part int, start bigint, end bigint, partner bigint, identity double"
-    for part in (F.pmod(F.xxhash64("start", "end"), F.lit(64)).cast("int"), F.lit(0)):
-        ranges = (ranges.select("doc", part.alias("part"), "start", "end", "partner", "identity").repartition("doc", "part")
-                  .sortWithinPartitions("doc", "part", "start", "end").mapInPandas(_merge, schema))
-    merged = ranges
-    return merged.select(F.col("doc").alias("doc_id"), F.col("start").alias("start_word"), F.col("end").alias("end_word"),
-                         (F.col("end") - F.col("start")).alias("n_words"), F.col("partner").alias("partner_id"), "identity",
-                         (F.col("doc") < F.col("partner")).alias("is_first"))
+    ids = met.select("doc").distinct().hint("merge")
+    wanted = base.join(ids, base["doc_id"] == ids["doc"], "left_semi")
+    texts = materialize(wanted.mapInPandas(_word_rows, "doc bigint, words binary"), "words")
+    words = materialize(texts.groupBy("doc").agg(F.max_by("words", F.length("words")).alias("words")), "document-words")
+    discard(met, texts)
+    first = _compare(by_seed.unionByName(by_context), words, min_words, identity, "first")
+    discard(by_seed, by_context)
+
+    # contexts of more than two places with a window in no passage: the windows around all their places are compared
+    places = contexts.where("n > 2").select("key", "doc", "at", "end")
+    covered = _ranges(first).groupBy("doc").agg(F.collect_list(F.struct("start", "end")).alias("ranges"))
+    listed = places.groupBy("doc").agg(F.collect_list(F.struct("key", "at", "end")).alias("places")).select(
+        "doc", F.col("places.key").alias("keys"), F.col("places.at").alias("ats"), F.col("places.end").alias("ends"))
+    sizes = words.select("doc", (F.length("words") / 4).cast("bigint").alias("n_words"))
+    open_keys = materialize(listed.join(sizes.hint("merge"), "doc").join(covered, "doc", "left").select(
+        "n_words", "keys", "ats", "ends", "ranges").mapInPandas(_open_keys(min_words), "key bigint"), "open-contexts")
+    again = places.join(open_keys.distinct(), "key", "left_semi").groupBy("doc").agg(
+        F.collect_list(F.struct("at", "end")).alias("places")).select("doc", F.col("places.at").alias("ats"), F.col("places.end").alias("ends"))
+    windows = again.join(words.hint("merge"), "doc").select("doc", "words", "ats", "ends").mapInPandas(
+        _window_rows(min_words), "key bigint, doc bigint, at int")
+    window_places, by_window = _matches(windows, "windows")
+    rest = _compare(by_window, words, min_words, identity, "rest")
+    discard(contexts, open_keys, window_places, by_window, words)
+
+    return _ranges(first.unionByName(rest)).select(
+        F.col("doc").alias("doc_id"), F.col("start").alias("start_word"), F.col("end").alias("end_word"),
+        (F.col("end") - F.col("start")).alias("n_words"), F.col("partner").alias("partner_id"), "identity",
+        (F.col("doc") < F.col("partner")).alias("is_first"))

@@ -94,10 +94,14 @@ class RollingHash:
             self._up, self._down = np.cumprod(up), np.cumprod(down)
 
     def prefix(self, data: np.ndarray) -> np.ndarray:
-        n = len(data)
+        return self.prefix_of(self.table[data])
+
+    def prefix_of(self, values: np.ndarray) -> np.ndarray:
+        """The prefix sums of 64-bit values in place of bytes."""
+        n = len(values)
         self._powers(n + 1)
         out = np.zeros(n + 1, dtype=U64)
-        np.cumsum(self.table[data] * self._up[:n], out=out[1:])
+        np.cumsum(values * self._up[:n], out=out[1:])
         return out
 
     def spans(self, prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:

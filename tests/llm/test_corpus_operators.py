@@ -95,6 +95,29 @@ def test_passages_cover_every_repeated_run_of_fifty_words(spark):
                 assert any(a <= i and i + 50 <= b for a, b in ranges[k]), (k, i)
 
 
+def test_passages_of_frequent_lines_between_middle_documents(spark):
+    """Every seed and line stands in many documents; only the order of five lines is shared by two of them."""
+    rng = np.random.default_rng(7)
+    lines = [" ".join(f"w{i}x{j}" for j in range(12)) for i in range(30)]
+    texts = [[lines[k] for k in rng.integers(30, size=20)] for _ in range(400)]
+    for _ in range(40):
+        a, b = rng.choice(np.arange(50, 350), size=2, replace=False)
+        i, j = rng.integers(16, size=2)
+        texts[b][j:j + 5] = texts[a][i:i + 5]
+    words = [" ".join(t).split() for t in texts]
+    rows = [(d, " ".join(w)) for d, w in enumerate(words)]
+    holders: dict = {}
+    for d, w in enumerate(words):
+        for i in range(len(w) - 49):
+            holders.setdefault(tuple(w[i:i + 50]), set()).add(d)
+    covered: dict = {}
+    for r in chaining.repeated_passages(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(8)).collect():
+        covered.setdefault(r["doc_id"], []).append((r["start_word"], r["end_word"]))
+    repeated = [(d, i) for d, w in enumerate(words) for i in range(len(w) - 49) if len(holders[tuple(w[i:i + 50])]) > 1]
+    assert len(repeated) > 500
+    assert [(d, i) for d, i in repeated if not any(s <= i and i + 50 <= e for s, e in covered.get(d, []))] == []
+
+
 def test_chains_are_the_best_by_dynamic_programming():
     rng = np.random.default_rng(4)
     for _ in range(300):
