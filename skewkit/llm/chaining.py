@@ -351,10 +351,13 @@ def _matches(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
     """(places of shared keys with their documents low and high and their number n; doc, partner, match of every place).
 
     ``rows`` are (key, doc, at, ..). A key is compared with its first place in
-    the partner: the extension finds the rest of what repeats there.
+    the partner: the extension finds the rest of what repeats there. Of rows
+    with a column ``found``, keys whose places are all found are left out.
     """
-    shared = materialize(rows.groupBy("key").agg(F.min("doc").alias("low"), F.max("doc").alias("high"), F.count("*").alias("n"))
-                         .where("low != high"), f"{name}-shared")
+    wanted = "low != high" + (" AND NOT done" if "found" in rows.columns else "")
+    done = F.min("found") if "found" in rows.columns else F.lit(False)
+    shared = materialize(rows.groupBy("key").agg(F.min("doc").alias("low"), F.max("doc").alias("high"), F.count("*").alias("n"),
+                                                 done.alias("done")).where(wanted).drop("done"), f"{name}-shared")
     met = materialize(rows.join(shared.hint("merge"), "key"), f"{name}-places")
     there = materialize(met.where("doc = low OR doc = high").groupBy("key", F.col("doc").alias("partner")).agg(
         F.min("at").alias("there")), f"{name}-partner-places")
@@ -365,6 +368,12 @@ def _matches(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
     return met, found
 
 
+def _inside(low: np.ndarray, high: np.ndarray, ranges: list | None) -> np.ndarray:
+    """Whether each [low, high) lies in one of the ranges, which don't overlap."""
+    begin, end = np.array(sorted([(-1, -1), *((r["start"], r["end"]) for r in ([] if ranges is None else ranges))]), dtype=np.int64).T
+    return end[np.searchsorted(begin, low, side="right") - 1] >= high
+
+
 def _open_keys(min_words: int):
     """Keys with a place around which a window of ``min_words`` lies in no range found."""
 
@@ -374,23 +383,20 @@ def _open_keys(min_words: int):
             for n, keys, ats, ends, ranges in zip(pdf["n_words"], pdf["keys"], pdf["ats"], pdf["ends"], pdf["ranges"], strict=True):
                 low = np.maximum(np.asarray(ends, dtype=np.int64) - min_words, 0)
                 high = np.minimum(np.asarray(ats, dtype=np.int64) + min_words, n)
-                begin, end = ([], []) if ranges is None else np.array([(r["start"], r["end"]) for r in ranges]).T
-                order = np.argsort(begin)
-                begin = np.concatenate(([-1], np.asarray(begin, dtype=np.int64)[order]))
-                end = np.concatenate(([-1], np.asarray(end, dtype=np.int64)[order]))
-                closed = end[np.searchsorted(begin, low, side="right") - 1] >= high
-                out.append(np.unique(np.asarray(keys, dtype=np.int64)[(high - low >= min_words) & ~closed]))
+                # ranges that overlap are one, so all windows are found if they are so together
+                out.append(np.unique(np.asarray(keys, dtype=np.int64)[(high - low >= min_words) & ~_inside(low, high, ranges)]))
             yield pd.DataFrame({"key": np.unique(np.concatenate(out))})
 
     return run
 
 
 def _window_rows(min_words: int):
-    """Hashes of all windows of ``min_words`` around the given places of a document."""
+    """Hashes of all windows of ``min_words`` around the given places of a document, and whether each lies in a range found."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
-            for doc, words, ats, ends in zip(pdf["doc"], pdf["words"], pdf["ats"], pdf["ends"], strict=True):
+            out = []
+            for doc, words, ats, ends, ranges in zip(pdf["doc"], pdf["words"], pdf["ats"], pdf["ends"], pdf["ranges"], strict=True):
                 w = np.frombuffer(words, dtype="<u4").astype(U64)
                 low = np.maximum(np.asarray(ends, dtype=np.int64) - min_words, 0)
                 high = np.minimum(np.asarray(ats, dtype=np.int64), len(w) - min_words) + 1
@@ -400,7 +406,10 @@ def _window_rows(min_words: int):
                 np.add.at(wanted, high, -1)
                 at = np.flatnonzero(np.cumsum(wanted) > 0)
                 h = mix64(_CONTEXTS.windows(_CONTEXTS.prefix_of(mix64(w + step(3))), min_words)[at])
-                yield pd.DataFrame({"key": h.view(np.int64), "doc": doc, "at": at.astype(np.int32)})
+                out.append((np.full(len(at), doc), h.view(np.int64), at, _inside(at, at + min_words, ranges)))
+            if out:
+                doc, key, at, found = (np.concatenate(c) for c in zip(*out, strict=True))
+                yield pd.DataFrame({"key": key, "doc": doc, "at": at.astype(np.int32), "found": found})
 
     return run
 
@@ -472,7 +481,7 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, identity: flo
 
     # contexts of more than two places with a window in no passage: the windows around all their places are compared
     places = contexts.where("n > 2").select("key", "doc", "at", "end")
-    covered = _ranges(first).groupBy("doc").agg(F.collect_list(F.struct("start", "end")).alias("ranges"))
+    covered = materialize(_ranges(first).groupBy("doc").agg(F.collect_list(F.struct("start", "end")).alias("ranges")), "covered")
     listed = places.groupBy("doc").agg(F.collect_list(F.struct("key", "at", "end")).alias("places")).select(
         "doc", F.col("places.key").alias("keys"), F.col("places.at").alias("ats"), F.col("places.end").alias("ends"))
     sizes = words.select("doc", (F.length("words") / 4).cast("bigint").alias("n_words"))
@@ -480,11 +489,12 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, identity: flo
         "n_words", "keys", "ats", "ends", "ranges").mapInPandas(_open_keys(min_words), "key bigint"), "open-contexts")
     again = places.join(open_keys.distinct(), "key", "left_semi").groupBy("doc").agg(
         F.collect_list(F.struct("at", "end")).alias("places")).select("doc", F.col("places.at").alias("ats"), F.col("places.end").alias("ends"))
-    windows = again.join(words.hint("merge"), "doc").select("doc", "words", "ats", "ends").mapInPandas(
-        _window_rows(min_words), "key bigint, doc bigint, at int")
+    windows = materialize(again.join(words.hint("merge"), "doc").join(covered, "doc", "left").select(
+        "doc", "words", "ats", "ends", "ranges").mapInPandas(
+            _window_rows(min_words), "key bigint, doc bigint, at int, found boolean"), "windows")
     window_places, by_window = _matches(windows, "windows")
     rest = _compare(by_window, words, min_words, identity, "rest")
-    discard(contexts, open_keys, window_places, by_window, words)
+    discard(contexts, open_keys, covered, windows, window_places, by_window, words)
 
     return _ranges(first.unionByName(rest)).select(
         F.col("doc").alias("doc_id"), F.col("start").alias("start_word"), F.col("end").alias("end_word"),
