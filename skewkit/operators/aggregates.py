@@ -10,8 +10,10 @@ many (very many map tasks) or when a partial state is large.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import partial as bind
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +21,9 @@ from pyspark.sql import functions as F
 from skewkit.functions.expressions import cents, cents_to_money, money_sum, salt_bucket
 from skewkit.session import materialize, shuffle_partitions
 
+#: Groups of one task where there are many, and how many times as many a task of the session's own partitions may hold.
+GROUPS_PER_TASK, GROUPS_SLACK = 1 << 18, 8
+
 _FUNCS = {"sum", "count", "min", "max", "avg", "money"}
 
 
@@ -118,8 +123,12 @@ def hot_groups(df: DataFrame, keys: Sequence[str], rows_per_salt: int | None = N
         *keys, F.ceil(F.col("_rows") / limit).cast("int").alias("_n_salts"))
 
 
-def _partial_final(aggs: Sequence[Agg]) -> tuple[list[Column], list[Column]]:
-    """Mergeable partial states of ``aggs`` and the expressions that merge them."""
+def _merged(fn: str, column: str) -> Column:
+    return getattr(F, fn)(column)
+
+
+def _partial_final(aggs: Sequence[Agg], merge: Callable[[str, str], Column] = _merged) -> tuple[list[Column], list[Column]]:
+    """Mergeable partial states of ``aggs`` and the expressions that merge them (``merge``: function, column of the states)."""
     partial: list[Column] = []
     final: list[Column] = []
     for i, a in enumerate(aggs):
@@ -127,23 +136,35 @@ def _partial_final(aggs: Sequence[Agg]) -> tuple[list[Column], list[Column]]:
         p = f"_p{i}"
         if a.fn == "money":
             partial.append(F.sum(cents(c)).alias(p))
-            final.append(cents_to_money(F.sum(p)).alias(a.alias))
+            final.append(cents_to_money(merge("sum", p)).alias(a.alias))
         elif a.fn == "sum":
             partial.append(F.sum(c).alias(p))
-            final.append(F.sum(p).alias(a.alias))
+            final.append(merge("sum", p).alias(a.alias))
         elif a.fn == "count":
             partial.append(F.count(c).alias(p))
-            final.append(F.sum(p).cast("long").alias(a.alias))
+            final.append(merge("sum", p).cast("long").alias(a.alias))
         elif a.fn in ("min", "max"):
             partial.append(getattr(F, a.fn)(c).alias(p))
-            final.append(getattr(F, a.fn)(p).alias(a.alias))
+            final.append(merge(a.fn, p).alias(a.alias))
         else:  # avg
             partial.append(F.sum(c).alias(p + "s"))
             partial.append(F.count(c).alias(p + "n"))
-            final.append((F.sum(p + "s") / F.sum(p + "n")).cast("double").alias(a.alias))
+            final.append((merge("sum", p + "s") / merge("sum", p + "n")).cast("double").alias(a.alias))
     return partial, final
 
 
+def group_parts(df: DataFrame, keys: Sequence[str]) -> int:
+    """Partitions of ``GROUPS_PER_TASK`` groups of ``df``, or 0 where the session's partitions do (from one aggregate job).
+
+    Where a partial aggregate leaves most rows, AQE may merge the session's
+    partitions to few, so these are not counted on.
+    """
+    row = df.agg(F.count(F.lit(1)).alias("rows"), F.approx_count_distinct(F.xxhash64(*keys)).alias("groups")).first()
+    parts = math.ceil(row["groups"] / GROUPS_PER_TASK)
+    tasks = 1 if row["rows"] < 2 * row["groups"] else shuffle_partitions(df.sparkSession)
+    return parts if parts > GROUPS_SLACK * tasks else 0
+
+
 def aggregate_before_join(
     fact: DataFrame,
     dim: DataFrame,
@@ -163,14 +184,34 @@ def aggregate_before_join(
     further shuffle: its input is already hash-partitioned on a subset of
     its group keys (by the first aggregate, or by the join's exchange).
     ``join`` defaults to the size-checked :func:`broadcast_join`.
+
+    Groups too many for the session's shuffle partitions (:func:`group_parts`) get
+    partitions of their own number, so a task's memory does not grow with the
+    input. The rows are then dealt out by their group before the aggregate, as a partial
+    one would hold nearly every row of a map task; and the states are merged
+    after the join only if ``dim`` repeats a row, else each is final already.
     """
     from skewkit.operators.joins import broadcast_join
 
-    join = join or broadcast_join
     partial, final = _partial_final(aggs)
+    parts = group_parts(fact, [key, *fact_keys])
+    if parts:
+        needed = dict.fromkeys([key, *fact_keys, *(a.column for a in aggs if a.column != "*")])
+        fact = fact.select(*needed).repartition(parts, key, *fact_keys)
+        join = join or bind(broadcast_join, parts=parts)
     reduced = fact.groupBy(key, *fact_keys).agg(*partial)
-    joined = join(reduced, dim.select(key, *dim_keys), key)
-    return joined.groupBy(key, *dim_keys, *fact_keys).agg(*final)
+    joined = (join or broadcast_join)(reduced, dim.select(key, *dim_keys), key)
+    keys = [key, *dim_keys, *fact_keys]
+    if not parts:
+        return joined.groupBy(*keys).agg(*final)
+    repeats = dim.groupBy(key, *dim_keys).agg(F.count(F.lit(1)).alias("_copies")).where("_copies > 1")
+    if not repeats.isEmpty():
+        return joined.repartition(parts, key, *fact_keys).groupBy(*keys).agg(*final)
+
+    def alone(fn: str, column: str) -> Column:  # a single state, in the type that its merge would have
+        return F.col(column).cast(joined.agg(getattr(F, fn)(column).alias(column)).schema[column].dataType)
+
+    return joined.select(*keys, *_partial_final(aggs, alone)[1])
 
 
 def label_nulls(df: DataFrame, labels: dict[str, str]) -> DataFrame:

@@ -112,11 +112,12 @@ def broadcast_join(
     how: str = "inner",
     max_rows: int = BROADCAST_MAX_ROWS,
     max_bytes: int = BROADCAST_MAX_BYTES,
+    parts: int | None = None,
 ) -> DataFrame:
     """Equi-join that broadcasts ``small`` when its measured size fits the bound.
 
     Past the bound an inner or left join on one key splits its hot and NULL
-    keys (:func:`salted_join`); other joins are left to the planner and AQE.
+    keys (:func:`salted_join`, over ``parts`` partitions if given); other joins are left to the planner and AQE.
     """
     keys = _as_list(on)
     _check_columns(big, keys, "left")
@@ -124,7 +125,7 @@ def broadcast_join(
     if how.lower() in _BROADCAST_HOWS and measure_side(small, max_rows, max_bytes).fits:
         return big.join(F.broadcast(small), keys, how)
     if len(keys) == 1 and how.lower() in _SALTED_HOWS:
-        return salted_join(big, small, keys[0], how, broadcast_max_rows=0)
+        return salted_join(big, small, keys[0], how, broadcast_max_rows=0, parts=parts)
     return big.join(small, keys, how)
 
 
@@ -257,6 +258,7 @@ def salted_join(
     salt_cols: Sequence[str] | None = None,
     broadcast_max_rows: int = BROADCAST_MAX_ROWS,
     broadcast_max_bytes: int = BROADCAST_MAX_BYTES,
+    parts: int | None = None,
 ) -> DataFrame:
     """Equi-join on ``key`` with hot keys of ``big`` split over several tasks.
 
@@ -281,6 +283,7 @@ def salted_join(
     by default it is computed from ``big`` (see :func:`hot_keys`) and written
     as a table to the shared checkpoint folder, so the profile runs once and
     survives executor loss. It is broadcast only after measuring it.
+    Both sides are shuffled to ``parts`` partitions if given, else to the session's.
     """
     if how.lower() not in _SALTED_HOWS:
         raise ValueError("salted_join supports only inner and left joins")
@@ -292,9 +295,9 @@ def salted_join(
         hot = materialize(hot_keys(big, key, rows_per_salt), "hot-keys")
     hot = hot.select(F.col(key).alias("_hot_key"), "_n_salts")
     hot_b = F.broadcast(hot) if measure_side(hot).fits else hot
-    parts = [F.col(f"`{c}`") for c in salt_cols or big.columns]
+    salted_by = [F.col(f"`{c}`") for c in salt_cols or big.columns]
     if not salt_cols:
-        parts.append(F.monotonically_increasing_id())
+        salted_by.append(F.monotonically_increasing_id())
     n = F.coalesce(F.col("_n_salts"), F.lit(1))
 
     def with_salt_count(df: DataFrame) -> DataFrame:
@@ -303,7 +306,7 @@ def salted_join(
 
     big_s = (
         with_salt_count(big)
-        .withColumn("_salt", salt_bucket(n, *parts))
+        .withColumn("_salt", salt_bucket(n, *salted_by))
         .drop("_n_salts")
     )
     small_s = (
@@ -311,4 +314,6 @@ def salted_join(
         .withColumn("_salt", F.explode(F.sequence(F.lit(0), n - F.lit(1))))
         .drop("_n_salts")
     )
+    if parts:
+        big_s, small_s = (side.repartition(parts, key, "_salt") for side in (big_s, small_s))
     return big_s.join(small_s.hint("merge"), [key, "_salt"], how).drop("_salt")

@@ -120,6 +120,36 @@ def test_aggregate_before_join_equals_join_then_aggregate(spark, duplicate_dim_k
         assert rows(got, cols) == rows(want, cols)
 
 
+@pytest.mark.parametrize("broadcast", [True, False])
+@pytest.mark.parametrize("duplicate_dim_key", [False, True])
+def test_aggregate_before_join_bounds_the_groups_of_a_task(spark, monkeypatch, duplicate_dim_key, broadcast):
+    from functools import partial
+
+    from skewkit.operators import aggregates, joins
+
+    monkeypatch.setattr(aggregates, "GROUPS_PER_TASK", 50, raising=False)
+    if not broadcast:
+        monkeypatch.setattr(joins, "broadcast_join", partial(joins.broadcast_join, max_rows=0))
+    fact = spark.range(3000).select(
+        F.when(F.col("id") % 19 > 0, F.col("id") % 17).alias("p"), F.when(F.col("id") % 23 > 0, F.expr("id div 2")).alias("day"),
+        (F.col("id") % 100 / 4).alias("amount"), F.when(F.col("id") % 5 > 0, (F.col("id") % 7).cast("int")).alias("q"),
+        (F.col("id") % 9).cast("decimal(9,2)").alias("d"))
+    dims = [(i, f"cat{i % 4}" if i else None) for i in range(15)] + [(None, "none")]
+    if duplicate_dim_key:
+        dims += [(1, "cat1"), (2, "other"), (0, None)]
+    dim = spark.createDataFrame(dims, "p long, category string")
+    aggs = [Agg("money", "amount", "money"), Agg("count", "*", "n"), Agg("count", "q", "n_q"), Agg("avg", "q", "mean"),
+            Agg("sum", "d", "total"), Agg("min", "q", "low"), Agg("max", "amount", "high")]
+    want = group_aggregate(fact.join(dim, "p"), ["p", "category", "day"], aggs)
+    got = aggregates.aggregate_before_join(fact, dim, "p", ["day"], ["category"], aggs)
+    assert rows(got, want.columns) == rows(want)
+    held = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(held) > 2000 and max(held) <= 5 * 50
+    few = fact.withColumn("day", F.col("day") % 3)
+    got = aggregates.aggregate_before_join(few, dim, "p", ["day"], ["category"], aggs)
+    assert rows(got, want.columns) == rows(group_aggregate(few.join(dim, "p"), ["p", "category", "day"], aggs))
+
+
 def test_salted_aggregate_hot_groups_only(spark):
     from skewkit.operators.aggregates import hot_groups
 
