@@ -153,12 +153,15 @@ def _equal_between(x: np.ndarray, y: np.ndarray) -> int:
         same = int((x == y).sum())
         if same >= len(x) - 2:
             return same
-    row = [0] * (len(y) + 1)
-    for w in x.tolist():
-        last = 0
-        for j, v in enumerate(y.tolist(), 1):
-            last, row[j] = row[j], last + 1 if w == v else max(row[j], row[j - 1])
-    return row[-1]
+    # bit i of ``open_`` is 0 where the length of the best pairing grows at x[i], for the words of y so far
+    places: dict[int, int] = {}
+    for i, w in enumerate(x.tolist()):
+        places[w] = places.get(w, 0) | 1 << i
+    whole = open_ = (1 << len(x)) - 1
+    for v in y.tolist():
+        met = open_ & places.get(v, 0)
+        open_ = ((open_ + met) | (open_ - met)) & whole
+    return len(x) - open_.bit_count()
 
 
 def _equal_in_chain(x: np.ndarray, y: np.ndarray, part: list[tuple[int, int]]) -> int:
@@ -167,8 +170,10 @@ def _equal_in_chain(x: np.ndarray, y: np.ndarray, part: list[tuple[int, int]]) -
     Seeds on one diagonal are compared in one go; only stretches that differ in
     more than two words, or change the diagonal, are aligned by themselves.
     """
-    p, q = np.array(part).T
     total = SEED
+    if len(part) == 1:
+        return total
+    p, q = np.array(part).T
     turns = np.flatnonzero(np.diff(p) != np.diff(q))
     for lo, hi in zip([0, *(turns + 1).tolist()], [*turns.tolist(), len(p) - 1], strict=True):
         if lo:  # the stretch that changes the diagonal; seeds may overlap
@@ -188,6 +193,18 @@ def _equal_in_chain(x: np.ndarray, y: np.ndarray, part: list[tuple[int, int]]) -
     return total
 
 
+def _run(x: np.ndarray, y: np.ndarray) -> int:
+    """Equal words at the starts of two arrays of one length; a long array is only read as far as it is equal, or some times that."""
+    at, ahead = 0, 32
+    while at < len(x):
+        differ = x[at:ahead] != y[at:ahead]
+        k = int(differ.argmax())
+        if differ[k]:
+            return at + k
+        at, ahead = min(ahead, len(x)), ahead * 4
+    return len(x)
+
+
 def _alike(x: np.ndarray, y: np.ndarray) -> list[tuple[int, int, int]]:
     """The equal runs (place, other place, words) over which two texts go on alike from their starts."""
     i = j = 0
@@ -196,15 +213,15 @@ def _alike(x: np.ndarray, y: np.ndarray) -> list[tuple[int, int, int]]:
         n = min(len(x) - i, len(y) - j)
         if n <= 0:
             return runs
-        differ = np.flatnonzero(x[i:i + n] != y[j:j + n])
-        run = int(differ[0]) if len(differ) else n
+        run = _run(x[i:i + n], y[j:j + n])
         if run:
             runs.append((i, j, run))
         i, j = i + run, j + run
+        u, v = x[i:i + SHIFT + AGAIN].tolist(), y[j:j + SHIFT + AGAIN].tolist()
         best = None
         for di, dj in _SHIFTS:
-            p, q = x[i + di:i + di + AGAIN], y[j + dj:j + dj + AGAIN]
-            if len(p) == AGAIN == len(q) and (p == q).all():
+            p = u[di:di + AGAIN]
+            if len(p) == AGAIN and p == v[dj:dj + AGAIN]:
                 best = di, dj
                 break
         if best is None:

@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import random
+import time
 
 import numpy as np
 import pytest
@@ -408,3 +409,32 @@ def test_pipeline_stages_on_edge_cases(spark, edge_docs, no_docs):
             docs = corpus_pipeline.materialize(out, "stage")
     first = corpus_pipeline.keep_languages(spark, edge_docs, SF_SMALL)
     assert first.where("text IS NULL OR doc_id = 8").count() == 0 and {r["score"] for r in first.collect()} == {"clash"}
+
+
+def test_stretches_are_aligned_and_extended_without_a_step_for_every_pair_of_words():
+    def plain(x, y):
+        row = [0] * (len(y) + 1)
+        for w in x:
+            last = 0
+            for j, v in enumerate(y, 1):
+                last, row[j] = row[j], last + 1 if w == v else max(row[j], row[j - 1])
+        return row[-1]
+
+    rng = np.random.default_rng(5)
+    for size in (0, 1, 2, 9, 60, 128):
+        for words in (2, 7, 300):
+            x, y = (rng.integers(0, words, n, dtype=np.uint32) for n in (size, int(rng.integers(0, 129))))
+            assert chaining._equal_between(x, y) == plain(x.tolist(), y.tolist())
+    x, y = np.arange(3000, dtype=np.uint32), rng.permutation(3000).astype(np.uint32)
+    begin = time.process_time()
+    assert chaining._equal_between(x, x[1:]) == 2999 and chaining._equal_between(x, y) >= 1
+    assert time.process_time() - begin < 1  # 18 million steps otherwise
+    x = rng.integers(0, 1 << 30, 5000, dtype=np.uint32)
+    for breaks in ([], [0], [31], [32], [33, 2000], [127, 128, 160, 161, 4999]):
+        y = x.copy()
+        y[breaks] += 1
+        runs = chaining._alike(x, y)
+        assert sum(n for _, _, n in runs) == 5000 - len(breaks)
+        assert all((x[i:i + n] == y[j:j + n]).all() for i, j, n in runs)
+    assert chaining._alike(x, np.concatenate((x[:100], x[102:]))) == [(0, 0, 100), (102, 100, 4898)]
+    assert chaining._alike(x[:3], x[:3]) == [(0, 0, 3)] and chaining._alike(x[:0], x) == []
