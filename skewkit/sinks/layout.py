@@ -15,6 +15,9 @@ from skewkit.session import materialize, scratch_path
 from skewkit.sinks.writers import DEFAULT_TARGET_FILE_BYTES
 from skewkit.sources.files import SMALL_FILE_BYTES, list_files
 
+#: How far the edge of a clustered file may lie from its even share, as a part of a file's rows; edges looked up a row at most.
+EDGE_SLACK, MAX_STARTS = 0.1, 256
+
 
 def write_bucketed(df: DataFrame, key: str, buckets: int, name: str = "bucketed", path: str | None = None) -> DataFrame:
     """``df`` written once into ``buckets`` hash buckets of ``key``, sorted inside, and read back as a catalog table.
@@ -63,11 +66,29 @@ def z_order(columns: Mapping[str, Sequence]) -> Column:
     return key
 
 
+def _file_starts(keyed: DataFrame, files: int) -> list[int]:
+    """The key each file but the first starts at, from one aggregate; none where a single key reaches over an edge.
+
+    Each is the roundest number within ``EDGE_SLACK`` of a file's rows around the even share, so files end where
+    squares of the Z-order curve do and not a few cells into the next.
+    """
+    if not 1 < files <= MAX_STARTS:
+        return []
+    shares = [(i + d) / files for i in range(1, files) for d in (-EDGE_SLACK, EDGE_SLACK)]
+    found = keyed.agg(F.percentile_approx("_z", shares, max(10_000, 100 * files)).alias("z")).first()["z"]
+    edges = list(zip(found[::2], found[1::2]))
+    if any(low >= high for low, high in edges):
+        return []
+    return [high >> (bit := (low ^ high).bit_length() - 1) << bit for low, high in edges]
+
+
 def clustered_write(df: DataFrame, path: str, columns: Sequence[str], files: int, cuts: int = 63) -> str:
     """``df`` in ``files`` files clustered along a Z-order curve over ``columns``; returns the path.
 
     A filter on any of the columns then prunes row groups by their statistics, where a plain sort serves the
     first column alone. The cuts are approximate quantiles from one aggregate: they shape the files, never the rows.
+    The files' edges are quantiles of the key (:func:`_file_starts`); where keys are too few or too many files are
+    asked for, Spark's sampled range partitions, which also split the rows of one key.
     """
     if files < 1:
         raise ValueError("files must be >= 1")
@@ -80,8 +101,13 @@ def clustered_write(df: DataFrame, path: str, columns: Sequence[str], files: int
         return path
     keyed = df.withColumns({f"_z_{c}": n for c, n in numbers.items()}).withColumn(
         "_z", z_order({f"_z_{c}": sorted(set(found[c])) for c in columns}))
-    (keyed.repartitionByRange(files, "_z", *columns).sortWithinPartitions("_z", *columns).select(*df.columns)
-     .write.mode("overwrite").parquet(path))
+    starts = _file_starts(keyed, files)
+    if starts:
+        file = F.size(F.filter(F.array(*[F.lit(s).cast("bigint") for s in starts]), lambda start: start <= F.col("_z")))
+        placed = keyed.repartitionById(files, file)
+    else:
+        placed = keyed.repartitionByRange(files, "_z", *columns)
+    placed.sortWithinPartitions("_z", *columns).select(*df.columns).write.mode("overwrite").parquet(path)
     return path
 
 

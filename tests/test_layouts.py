@@ -100,6 +100,24 @@ def test_clustered_files_prune_on_both_columns(spark):
     assert row_groups_read(z, "sale_date", *dates) <= 6
 
 
+def test_clustered_files_end_at_the_same_keys_in_every_run(spark):
+    df = spark.range(40_000).select((F.col("id") % 200).alias("a"), F.expr("id div 200").alias("b"))
+    found = []
+    for run in range(3):
+        path = clustered_write(df, scratch_path(spark, f"edges-{run}"), ["a", "b"], files=16)
+        assert rows(spark.read.parquet(path)) == rows(df)
+        found.append([row_groups_read(path, c, x, x) for c in ("a", "b") for x in range(0, 200, 7)])
+        assert len(files_of(path)) == 16 and max(pq.ParquetFile(f).metadata.num_rows for f in files_of(path)) <= 1.3 * 2500
+    assert found[0] == found[1] == found[2] and max(found[0]) <= 5
+
+
+def test_clustered_files_of_one_key_are_split(spark):
+    df = spark.range(8000).select(F.when(F.col("id") % 10 > 0, F.lit(5)).otherwise(F.col("id")).alias("a"), "id")
+    path = clustered_write(df, scratch_path(spark, "hot"), ["a", "id"], files=8, cuts=1)
+    assert rows(spark.read.parquet(path)) == rows(df)
+    assert len(files_of(path)) == 8 and max(pq.ParquetFile(f).metadata.num_rows for f in files_of(path)) <= 2000
+
+
 def test_z_order_interleaves_bits(spark):
     df = spark.createDataFrame([(x, y) for x in range(4) for y in range(4)] + [(None, 3)], "x int, y int")
     got = {(r["x"], r["y"]): r["z"] for r in df.withColumn("z", z_order({"x": [1, 2, 3], "y": [1, 2, 3]})).collect()}
